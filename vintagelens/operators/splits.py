@@ -63,8 +63,9 @@ def stratified_split(
     """Tag rows so that each label has the exact number of training rows.
 
     Of a label's ``n`` rows the ``n - ceil(n * (1 - share))`` with the lowest hashes train.
-    Counting hash slices finds the slice with the cut, and only the rows of that slice are
+    Counting hash slices finds the slice with the cut, and only the hashes of that slice are
     ranked. The cut, one hash per label, is then broadcast; its size is the number of labels.
+    Rows with the same key stay on the same side.
     """
     hashed = df.withColumn("_hash", row_hash(keys, seed)).withColumn("_slice", F.col("_hash").substr(1, SLICE_DIGITS))
     in_label = Window.partitionBy(label)
@@ -82,13 +83,18 @@ def stratified_split(
         .where((F.col("_train") > F.col("_upto") - F.col("_n")) & (F.col("_train") <= F.col("_upto")))
         .select(label, "_slice", (F.col("_train") - F.col("_upto") + F.col("_n")).alias("_rank"))
     )
-    by_hash = Window.partitionBy(label).orderBy("_hash")
+    upto = F.sum("_n").over(
+        Window.partitionBy(label, "_rank").orderBy("_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
     cuts = (
         hashed.select(label, "_slice", "_hash")
         .join(F.broadcast(located), [label, "_slice"], "inner")
-        .withColumn("_place", F.row_number().over(by_hash))
-        .where(F.col("_place") == F.col("_rank"))
-        .select(label, F.col("_hash").alias("_cut"))
+        .groupBy(label, "_rank", "_hash")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_upto", upto)
+        .where(F.col("_upto") >= F.col("_rank"))
+        .groupBy(label)
+        .agg(F.min("_hash").alias("_cut"))
     )
     split = F.when(F.col("_hash") <= F.col("_cut"), "train").otherwise("test")
     return (

@@ -5,7 +5,9 @@ and prediction tables) are derived here with SQL that reads the same in Spark an
 standard SQL engines, so that a query and its check start from the same rows. Only
 integer arithmetic, integer sums and text functions are used. ``{table}`` names a source.
 
-Event days 1 to 31 stand for 31 monthly snapshots from January 2023 on.
+Event days 1 to 31 stand for 31 monthly snapshots from January 2023 on. Tables differ in
+the customers they hold, so that joins meet missing keys: financials need a positive
+balance, risk features an event other than a view, labels a click, purchase or error.
 """
 
 from __future__ import annotations
@@ -115,7 +117,7 @@ select cast(c_custkey as string) as Customer_ID,
        case when c_custkey % 31 = 0 then '__-333__'
             else concat(cast(c_custkey % 900 as string), '.', {_CENTS}) end as Monthly_Balance
 from {{customer}}
-where c_custkey % 5 <> 0
+where c_acctbal > 0
 """,
     "clickstream_raw": f"""
 select Customer_ID,
@@ -163,7 +165,7 @@ select Customer_ID,
        case when max(user_id + slot) % 7 = 1 then null else cast(max(user_id % 30) as double) end
          as Changed_Credit_Limit
 from {_EVENTS}
-where user_id % 4 <> 0
+where event_type <> 'view'
 group by Customer_ID, snapshot_date
 """,
     "label_store": f"""
@@ -173,7 +175,7 @@ select concat(Customer_ID, '_', cast(max(slot) as string)) as loan_id,
        '30dpd_6mob' as label_def,
        snapshot_date
 from {_EVENTS}
-where user_id % 3 <> 0
+where event_type in ('click', 'purchase', 'error')
 group by Customer_ID, snapshot_date
 """,
     "predictions": f"""
