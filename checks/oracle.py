@@ -193,12 +193,6 @@ oracle("loan_schema_cast", "select * from loan_typed ")
 oracle("clickstream_silver", "select * from click_silver ")
 oracle("select_by_prefix", "select Customer_ID, snapshot_date, columns('^fe_') from clickstream_raw ")
 oracle("fill_numeric_zero", f"select {zero_filled(LOANS)} from loan_typed ")
-oracle(
-    "drop_incomplete",
-    f"""select l.*, {", ".join(schemas.RISK_FEATURES)}
-from label_store l join cust_fin_risk r using (Customer_ID, snapshot_date)
-where {" and ".join(f"{x} is not null" for x in schemas.RISK_FEATURES)}""",
-)
 oracle(
     "actual_bads",
     """select loan_id, snapshot_date, installment_num, dpd, case when dpd >= 30 then 1 else 0 end as dpd_flag
@@ -316,7 +310,9 @@ oracle("two_way_fill_by_date", filled("both"))
 STEPS["training_joined"] = f"""
 select l.*, {FEATURES} from label_store l
 left join features_filled f on l.Customer_ID = f.Customer_ID and l.snapshot_date = f.snapshot_date"""
+COMPLETE = " and ".join(f"{x} is not null" for x in ["label", *schemas.MODEL_FEATURES])
 oracle("training_frame", "select * from training_joined ")
+oracle("drop_incomplete", f"select * from training_joined where {COMPLETE}")
 STEPS["pairs"] = """
 select Customer_ID, snapshot_date, model_name, label, model_predictions
 from label_store join predictions using (Customer_ID, snapshot_date)
@@ -507,5 +503,5 @@ on c.Customer_ID = f.Customer_ID and c.snapshot_date = f.snapshot_date""",
 oracle(
     "training_set_pipeline",
     f"""select * from (select *, {SPLIT} as split from training_joined
-where {" and ".join(f"{x} is not null" for x in ["label", *schemas.MODEL_FEATURES])}) t where split is not null""",
+where {COMPLETE}) t where split is not null""",
 )

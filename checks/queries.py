@@ -187,7 +187,7 @@ def fill_numeric_zero(spark, d):
 
 @query
 def drop_incomplete(spark, d):
-    return rows.drop_incomplete(features.training_frame(derive(spark, d, "label_store"), derive(spark, d, "cust_fin_risk")))
+    return rows.drop_incomplete(training_frame(spark, d))
 
 
 @query

@@ -45,9 +45,7 @@ def histogram(df: DataFrame, edges: DataFrame, groups: list[str], value: str, bu
     """
     x = F.col(value).cast("double")
     lowest, highest = F.get("edges", F.lit(0)), F.element_at("edges", -1)
-    edges_below = sum(
-        (F.when(F.get("edges", F.lit(i)) < x, 1).otherwise(0) for i in range(buckets + 1)), start=F.lit(0)
-    )
+    edges_below = F.expr(" + ".join(f"if(get(edges, {i}) < double(`{value}`), 1, 0)" for i in range(buckets + 1)))
     within = (x >= lowest) & (x <= highest)
     return (
         df.where(F.col(value).isNotNull())

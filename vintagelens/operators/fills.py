@@ -60,9 +60,17 @@ def fill_by_date(
 
 
 def _nearest(column: str, direction: str, key: str, order: str) -> Column:
-    by = Window.partitionBy(key).orderBy(order)
-    earlier = F.last(column, ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    later = F.first(column, ignorenulls=True).over(by.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    """Nearest value at or before the row, at or after it, or the first of these two.
+
+    Looking ahead is written as looking back in descending order: a frame that runs to the
+    end of the partition would be evaluated anew for every row. Both orders share a shuffle.
+    """
+
+    def latest(ordering: Column) -> Column:
+        frame = Window.partitionBy(key).orderBy(ordering).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.last(column, ignorenulls=True).over(frame)
+
+    earlier, later = latest(F.asc(order)), latest(F.desc(order))
     return {"forward": earlier, "backward": later, "both": F.coalesce(earlier, later)}[direction]
 
 

@@ -9,77 +9,91 @@ then give the counts below each range. The result does not depend on where the c
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+# The value axis is cut into BASE * BASE ranges, found digit by digit.
+BASE = 16
+# Pair counts are summed in a lower part of this many bits and the rest.
+PART_BITS = 20
 
 
-def percentiles(
-    df: DataFrame, groups: list[str], value: str, probabilities: list[float], ranges: int = RANGES
-) -> DataFrame:
+def percentiles(df: DataFrame, groups: list[str], value: str, probabilities: list[float]) -> DataFrame:
     """Exact percentiles per group with linear interpolation.
 
     One row per group: ``n`` values and the array ``percentiles`` in the given order.
     """
     cells = (
-        _ranged(df.where(F.col(value).isNotNull() & ~F.isnan(value)), groups, value, [], ranges)
+        _ranged(df.where(F.col(value).isNotNull() & ~F.isnan(value)), groups, value, [])
         .groupBy(*groups, "_range", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    in_group = Window.partitionBy(*groups)
+    ranked = _with_wanted_ranks(cells, groups, probabilities).select(
+        *groups, "n", "_value", "_n", (F.col("_below") + F.col("_upto")).alias("_last"), F.explode("_wanted").alias("_w")
+    )
+    # A value covers the zero-based ranks [last - n, last).
+    rank = F.col("_w.rank")
+    ends = (
+        ranked.where((rank >= F.col("_last") - F.col("_n")) & (rank < F.col("_last")))
+        .groupBy(*groups, "n", F.col("_w.i").alias("i"))
+        .agg(
+            F.max(F.when(~F.col("_w.upper"), F.col("_value"))).alias("lo"),
+            F.max(F.when(F.col("_w.upper"), F.col("_value"))).alias("hi"),
+            F.max("_w.t").alias("t"),
+        )
+    )
+    width = F.col("hi") - F.col("lo")
+    between = F.when(F.col("t") >= 0.5, F.col("hi") - width * (1 - F.col("t"))).otherwise(F.col("lo") + width * F.col("t"))
+    # At most len(probabilities) entries are collected per group.
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("i", between.alias("v")))), lambda s: s["v"])
+    return ends.groupBy(*groups, "n").agg(in_order.alias("percentiles"))
+
+
+def _with_wanted_ranks(cells: DataFrame, groups: list[str], probabilities: list[float]) -> DataFrame:
+    """Cells of the ranges that hold a wanted rank, with their running count ``_upto``.
+
+    Range totals tell which ranges those are, two per probability at most, so that only
+    they are sorted.
+    """
+    by_group = Window.partitionBy(*groups)
     totals = (
         cells.groupBy(*groups, "_range")
         .agg(F.sum("_n").alias("_n_range"))
         .select(
             *groups,
             "_range",
-            (F.sum("_n_range").over(in_group.orderBy("_range")) - F.col("_n_range")).alias("_below"),
-            F.sum("_n_range").over(in_group).alias("n"),
+            "_n_range",
+            (F.sum("_n_range").over(by_group.orderBy("_range")) - F.col("_n_range")).alias("_below"),
+            F.sum("_n_range").over(by_group).alias("n"),
         )
     )
-    upto = F.sum("_n").over(Window.partitionBy(*groups, "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0))
-    same = [F.col(f"c.{g}").eqNullSafe(F.col(f"t.{g}")) for g in [*groups, "_range"]]
-    ranked = (
-        cells.withColumn("_upto", upto)
-        .alias("c")
-        .join(totals.alias("t"), same)
-        .select(*[f"c.{g}" for g in groups], "n", "_value", "_n", (F.col("_below") + F.col("_upto")).alias("_last"))
-    )
 
-    # A value covers the zero-based ranks [last - n, last). Keep those a probability needs.
-    def covers(rank: Column) -> Column:
-        return (rank >= F.col("_last") - F.col("_n")) & (rank < F.col("_last"))
-
-    wanted = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    covers(F.floor(_position(p))) | covers(F.ceil(_position(p))),
-                    F.struct(
-                        F.lit(i).alias("i"),
-                        F.when(covers(F.floor(_position(p))), F.col("_value")).alias("lo"),
-                        F.when(covers(F.ceil(_position(p))), F.col("_value")).alias("hi"),
-                        (_position(p) - F.floor(_position(p))).alias("t"),
-                    ),
-                )
-                for i, p in enumerate(probabilities)
-            ]
-        )
+    position = "p * (n - 1)"
+    ends = ", ".join(
+        f"named_struct('i', i, 'upper', {upper}, 'rank', {end}({position}), 't', {position} - floor({position}))"
+        for upper, end in (("false", "floor"), ("true", "ceil"))
     )
-    ends = (
-        ranked.select(*groups, "n", F.explode(wanted).alias("_w"))
-        .groupBy(*groups, "n", "_w.i")
-        .agg(F.max("_w.lo").alias("lo"), F.max("_w.hi").alias("hi"), F.max("_w.t").alias("t"))
+    listed = ", ".join(f"{float(p)!r}D" for p in probabilities)
+    wanted = F.expr(
+        f"filter(flatten(transform(array({listed}), (p, i) -> array({ends}))), "
+        "w -> w.rank >= _below and w.rank < _below + _n_range)"
+    )
+    needed = totals.withColumn("_wanted", wanted).where(F.size("_wanted") > 0)
+    same = [F.col(f"c.{g}").eqNullSafe(F.col(f"t.{g}")) for g in [*groups, "_range"]]
+    upto = F.sum("_n").over(
+        Window.partitionBy(*groups, "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        cells.alias("c")
+        .join(needed.alias("t"), same)
+        .select(*[f"c.{g}" for g in groups], "c._range", "_value", "_n", "n", "_below", "_wanted")
+        .withColumn("_upto", upto)
     )
-    width = F.col("hi") - F.col("lo")
-    between = F.when(F.col("t") >= 0.5, F.col("hi") - width * (1 - F.col("t"))).otherwise(F.col("lo") + width * F.col("t"))
-    # At most len(probabilities) entries are collected per group.
-    in_order = F.transform(F.array_sort(F.collect_list(F.struct("i", between.alias("v")))), lambda s: s["v"])
-    return ends.groupBy(*groups, "n").agg(in_order.alias("percentiles"))
 
 
-def auc(df: DataFrame, groups: list[str], label: str = "label", score: str = "score", ranges: int = RANGES) -> DataFrame:
+def auc(df: DataFrame, groups: list[str], label: str = "label", score: str = "score") -> DataFrame:
     """Area under the ROC curve per group, ties counted half.
 
     One row per group: ``n_pos``, ``n_neg`` and ``roc_auc``, NULL if a class is absent.
@@ -87,21 +101,28 @@ def auc(df: DataFrame, groups: list[str], label: str = "label", score: str = "sc
     """
     usable = df.where(F.col(label).isNotNull() & F.col(score).isNotNull() & ~F.isnan(score))
     cells = (
-        _ranged(usable, groups, score, [F.col(label).alias("_label")], ranges)
+        _ranged(usable, groups, score, [F.col(label).alias("_label")])
         .groupBy(*groups, "_range", "_value")
         .agg(F.count_if(F.col("_label") == 1).alias("_pos"), F.count_if(F.col("_label") != 1).alias("_neg"))
     )
     below = F.sum("_neg").over(
-        Window.partitionBy(*groups, "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*groups, "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ) - F.col("_neg")
-    # Twice the number of (positive, lower negative) pairs, plus once the tied ones.
-    inside = cells.withColumn("_wins", _pairs("_pos", 2 * below + F.col("_neg")))
-    per_range = inside.groupBy(*groups, "_range").agg(
-        F.sum("_wins").alias("_wins"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg")
+    # Twice the lower negatives plus the tied ones, in two parts whose products with a
+    # count of up to 2**40 rows stay inside 64 bits. Decimals enter with the range totals.
+    beaten = cells.select(*groups, "_range", "_pos", "_neg", (2 * below + F.col("_neg")).alias("_beaten"))
+    upper, lower = F.shiftright("_beaten", PART_BITS), F.col("_beaten").bitwiseAND(2**PART_BITS - 1)
+    ranges = beaten.groupBy(*groups, "_range").agg(
+        F.sum(F.col("_pos") * upper).alias("_upper"),
+        F.sum(F.col("_pos") * lower).alias("_lower"),
+        F.sum("_pos").alias("_pos"),
+        F.sum("_neg").alias("_neg"),
     )
-    lower = F.sum("_neg").over(Window.partitionBy(*groups).orderBy("_range")) - F.col("_neg")
+    wins = F.col("_upper").cast("decimal(19,0)") * F.lit(2**PART_BITS).cast("decimal(19,0)") + F.col("_lower")
+    per_range = ranges.withColumn("_wins", wins.cast("decimal(38,0)"))
+    below = F.sum("_neg").over(Window.partitionBy(*groups).orderBy("_range")) - F.col("_neg")
     totals = (
-        per_range.withColumn("_wins", F.col("_wins") + _pairs("_pos", 2 * lower))
+        per_range.withColumn("_wins", F.col("_wins") + _pairs("_pos", 2 * below))
         .groupBy(*groups)
         .agg(F.sum("_wins").alias("_wins"), F.sum("_pos").alias("n_pos"), F.sum("_neg").alias("n_neg"))
     )
@@ -114,23 +135,32 @@ def _pairs(count: str, other: Column) -> Column:
     return F.col(count).cast("decimal(19,0)") * other.cast("decimal(19,0)")
 
 
-def _position(probability: float) -> Column:
-    return F.lit(probability) * (F.col("n") - 1)
+def _ranged(df: DataFrame, groups: list[str], value: str, carried: list[Column]) -> DataFrame:
+    """``df`` with ``_value`` and the number ``_range`` of the value range it falls into.
 
+    The cuts are the same for all groups, so no range of a group holds more than about
+    1 in BASE * BASE of all distinct values, however large the group is.
+    """
+    ranges = BASE * BASE
+    steps = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
+    cuts = df.agg(F.expr(f"percentile_approx(double(`{value}`), array({steps}), 10000)")).scalar()
+    return (
+        df.select(*groups, F.col(value).cast("double").alias("_value"), *carried, cuts.alias("_cuts"))
+        .withColumn("_high", F.expr(_digit(lambda i: f"get(_cuts, {i * BASE + BASE - 1})")))
+        .withColumn("_low", F.expr(_digit(lambda i: f"get(_cuts, _high * {BASE} + {i})")))
+        .withColumn("_range", F.col("_high") * BASE + F.col("_low"))
+        .drop("_cuts", "_high", "_low")
+    )
 
-def _ranged(df: DataFrame, groups: list[str], value: str, carried: list[Column], ranges: int) -> DataFrame:
-    """``df`` with ``_value`` and the number ``_range`` of the value range it falls into."""
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(F.col(value).cast("double"), steps, 10_000)).scalar()
-    with_cuts = df.select(*groups, F.col(value).cast("double").alias("_value"), *carried, cuts.alias("_cuts"))
-    return with_cuts.withColumn("_range", _locate(F.col("_value"), F.col("_cuts"), 0, ranges - 1)).drop("_cuts")
 
+def _digit(cut: Callable[[int], str], first: int = 0, last: int = BASE - 1) -> str:
+    """Binary search among sorted cuts as nested conditions, which stay inside generated code.
 
-def _locate(value: Column, cuts: Column, first: int, last: int) -> Column:
-    """Binary search among sorted cuts, as nested conditions that stay inside generated code."""
+    One digit of base 16 keeps the generated method small enough to be compiled by the JVM;
+    a single search among all cuts would not be.
+    """
     if first == last:
-        return F.lit(first)
+        return str(first)
     middle = (first + last) // 2
-    return F.when(value <= cuts[middle], _locate(value, cuts, first, middle)).otherwise(
-        _locate(value, cuts, middle + 1, last)
-    )
+    lower, upper = _digit(cut, first, middle), _digit(cut, middle + 1, last)
+    return f"if(_value <= {cut(middle)}, {lower}, {upper})"

@@ -30,7 +30,8 @@ def build_session(app: str = "vintagelens", master: str | None = None, **conf: s
 
     On a cluster leave ``master`` out: it comes from spark-submit, as do executor sizes.
     """
-    builder = SparkSession.builder.appName(app)
+    # Recording the Python line of every expression multiplies the time to build a plan.
+    builder = SparkSession.builder.appName(app).config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
     for key, value in conf.items():
