@@ -145,18 +145,19 @@ def score_density(df: DataFrame, groups: list[str], value: str, points: int = GR
     first = F.greatest(F.lit(0), F.ceil((F.col("_x") - reach - F.col("_start")) / F.col("_step")).cast("int"))
     last = F.least(F.lit(points - 1), F.floor((F.col("_x") + reach - F.col("_start")) / F.col("_step")).cast("int"))
     z = (F.col("_start") + F.col("point") * F.col("_step") - F.col("_x")) / F.col("_h")
-    scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
-    return (
+    sums = (
         cells.join(F.broadcast(settings), groups, "inner")
         .withColumn("point", F.explode(F.sequence(first, last)))
-        .groupBy(*groups, "point", "_n", "_h", "_start", "_step")
+        .groupBy(*groups, "point")
         .agg(F.sum(F.col("_w") * F.exp(-0.5 * z * z)).alias("_sum"))
-        .select(
-            *groups,
-            "point",
-            (F.col("_start") + F.col("point") * F.col("_step")).alias("score"),
-            (F.col("_sum") / scale).alias("density"),
-        )
+    )
+    grid = settings.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    scale = F.col("_n") * F.col("_h") * math.sqrt(2 * math.pi)
+    return grid.join(sums, [*groups, "point"], "left").select(
+        *groups,
+        "point",
+        (F.col("_start") + F.col("point") * F.col("_step")).alias("score"),
+        (F.coalesce("_sum", F.lit(0.0)) / scale).alias("density"),
     )
 
 
@@ -173,9 +174,10 @@ def _contribution(expected: Column, actual: Column, floor: float | None) -> Colu
 def _one_month_on(df: DataFrame, snapshot: str) -> DataFrame:
     """Re-date a per-snapshot table to the snapshots whose previous month it is.
 
-    A month end is the month before of several days: 28 February precedes 28 to 31 March.
+    28 February is one month before each of 28 to 31 March; 31 January before no day at all.
     """
     day = F.col(snapshot)
     next_month = F.add_months(day, 1)
     last = F.when(day == F.last_day(day), F.last_day(next_month)).otherwise(next_month)
-    return df.withColumn(snapshot, F.explode(F.sequence(next_month, last)))
+    following = F.filter(F.sequence(next_month, last), lambda d: F.add_months(d, -1) == day)
+    return df.withColumn(snapshot, F.explode(following))
