@@ -390,7 +390,7 @@ oracle(
     """select snapshot_date, cast(bin as int) as bin, n_rows,
        cast(n_rows as double) / sum(n_rows) over (partition by snapshot_date) as share from own_bins """,
 )
-oracle("psi", f"select model_name, {nine('psi')} as psi from window_psi ")
+oracle("psi", f"select {nine('psi')} as psi from window_psi ")
 oracle("psi_by_snapshot", f"select 'm1' as model_name, snapshot_date, {nine('psi')} as psi from snapshot_psi ")
 
 STEPS["snapshot_auc"] = """

@@ -395,8 +395,8 @@ def binned_distribution(spark, d):
 def psi(spark, d):
     predictions = derive(spark, d, "predictions")
     development = F.col("snapshot_date") <= F.lit(DEVELOPMENT_END).cast("date")
-    index = drift.psi(predictions.where(development), predictions.where(~development), ["model_name"], "model_predictions")
-    return index.select("model_name", nine_places("psi").alias("psi"))
+    index = drift.psi(predictions.where(development), predictions.where(~development), [], "model_predictions")
+    return index.select(nine_places("psi").alias("psi"))
 
 
 @query

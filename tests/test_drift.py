@@ -35,10 +35,10 @@ def test_psi_of_identical_samples_is_zero(spark):
     assert drift.psi(df, df, ["g"], "v").first().psi == pytest.approx(0.0, abs=1e-12)
 
 
-@pytest.mark.parametrize("shift", [0.05, 0.4])
-def test_psi_equals_brute_force(spark, shift):
+@pytest.mark.parametrize("shift, groups", [(0.05, ["g"]), (0.4, ["g"]), (0.1, [])])
+def test_psi_equals_brute_force(spark, shift, groups):
     expected, actual = samples(2), samples(3, shift)
-    got = drift.psi(frame(spark, expected), frame(spark, actual), ["g"], "v").first().psi
+    got = drift.psi(frame(spark, expected), frame(spark, actual), groups, "v").first().psi
     assert got == pytest.approx(brute_psi(expected, actual), abs=1e-9) and got > 0
 
 

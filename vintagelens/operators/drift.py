@@ -47,10 +47,10 @@ def histogram(df: DataFrame, edges: DataFrame, groups: list[str], value: str, bu
     lowest, highest = F.get("edges", F.lit(0)), F.element_at("edges", -1)
     edges_below = F.expr(" + ".join(f"if(get(edges, {i}) < double(`{value}`), 1, 0)" for i in range(buckets + 1)))
     within = (x >= lowest) & (x <= highest)
+    rows = df.where(F.col(value).isNotNull())
+    binned = rows.join(F.broadcast(edges), groups, "inner") if groups else rows.withColumn("edges", edges.scalar())
     return (
-        df.where(F.col(value).isNotNull())
-        .join(F.broadcast(edges), groups, "inner")
-        .where(within)
+        binned.where(within)
         .groupBy(*groups, F.greatest(edges_below, F.lit(1)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
@@ -93,7 +93,10 @@ def psi(
     buckets: int = BUCKETS,
     floor: float | None = EMPTY_SHARE,
 ) -> DataFrame:
-    """PSI of ``actual`` against ``expected``, per group, on quantile bins of ``expected``."""
+    """PSI of ``actual`` against ``expected`` on quantile bins of ``expected``.
+
+    One row per group, or one in all if there are no groups.
+    """
     edges = breakpoints(expected, groups, value, buckets)
     return stability_index(
         histogram(expected, edges, groups, value, buckets),
