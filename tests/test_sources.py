@@ -33,6 +33,13 @@ def test_feed_keeps_text(spark, feed):
     assert sorted((r.Customer_ID, r.value) for r in df.collect())[:2] == [("007", "3_"), ("10", "x")]
 
 
+def test_feed_file_with_other_columns_is_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        feeds.read_feed(spark, str(tmp_path)).collect()
+
+
 def test_bronze_period_is_the_union_of_its_snapshots(spark, feed):
     raw = feeds.read_feed(spark, feed)
     period = sorted(map(tuple, feeds.bronze(raw, "2023-01-01", "2023-03-01").collect()), key=str)

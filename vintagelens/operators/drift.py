@@ -38,20 +38,22 @@ def breakpoints(df: DataFrame, groups: list[str], value: str, buckets: int = BUC
     return percentiles(df, groups, value, probabilities).select(*groups, checked.alias("edges"))
 
 
-def histogram(df: DataFrame, edges: DataFrame, groups: list[str], value: str, buckets: int = BUCKETS) -> DataFrame:
+def histogram(
+    df: DataFrame, edges: DataFrame, groups: list[str], value: str, buckets: int = BUCKETS, tags: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows per bin: right-closed bins numbered from 1, the first also closed on the left.
 
-    Values outside the edges are not counted. Counting happens before the shuffle.
+    Values outside the edges are not counted. Counting happens before the shuffle. A group
+    may have several sets of edges, told apart by the columns ``tags`` of ``edges``.
     """
     x = F.col(value).cast("double")
     lowest, highest = F.get("edges", F.lit(0)), F.element_at("edges", -1)
     edges_below = F.expr(" + ".join(f"if(get(edges, {i}) < double(`{value}`), 1, 0)" for i in range(buckets + 1)))
-    within = (x >= lowest) & (x <= highest)
     rows = df.where(F.col(value).isNotNull())
     binned = rows.join(F.broadcast(edges), groups, "inner") if groups else rows.withColumn("edges", edges.scalar())
     return (
-        binned.where(within)
-        .groupBy(*groups, F.greatest(edges_below, F.lit(1)).alias("bin"))
+        binned.where((x >= lowest) & (x <= highest))
+        .groupBy(*groups, *tags, F.greatest(edges_below, F.lit(1)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
 
@@ -62,18 +64,16 @@ def shares(counts: DataFrame, groups: list[str]) -> DataFrame:
     return counts.withColumn("share", F.col("n_rows") / total)
 
 
-def stability_index(
-    expected_counts: DataFrame, actual_counts: DataFrame, groups: list[str], floor: float | None = EMPTY_SHARE
-) -> DataFrame:
-    """PSI per group from two histograms over the same bins.
+def stability_index(counts: DataFrame, groups: list[str], floor: float | None = EMPTY_SHARE) -> DataFrame:
+    """PSI per group from histograms over the same bins, told apart by ``side``.
 
-    A bin that is empty on one side takes the share ``floor``; with ``floor=None`` the
-    index is infinite. Groups that lack one of the sides are left out.
+    ``side`` is ``expected`` or ``actual``. A bin that is empty on one side takes the share
+    ``floor``; with ``floor=None`` the index is infinite. Groups that lack one of the sides
+    are left out.
     """
-    sides = expected_counts.withColumn("side", F.lit("e")).unionByName(actual_counts.withColumn("side", F.lit("a")))
-    bins = sides.groupBy(*groups, "bin").agg(
-        F.sum(F.when(F.col("side") == "e", F.col("n_rows")).otherwise(0)).alias("n_e"),
-        F.sum(F.when(F.col("side") == "a", F.col("n_rows")).otherwise(0)).alias("n_a"),
+    bins = counts.groupBy(*groups, "bin").agg(
+        F.sum(F.when(F.col("side") == "expected", F.col("n_rows")).otherwise(0)).alias("n_e"),
+        F.sum(F.when(F.col("side") == "actual", F.col("n_rows")).otherwise(0)).alias("n_a"),
     )
     in_group = Window.partitionBy(*groups)
     totals = bins.withColumns({"t_e": F.sum("n_e").over(in_group), "t_a": F.sum("n_a").over(in_group)})
@@ -98,12 +98,11 @@ def psi(
     One row per group, or one in all if there are no groups.
     """
     edges = breakpoints(expected, groups, value, buckets)
-    return stability_index(
-        histogram(expected, edges, groups, value, buckets),
-        histogram(actual, edges, groups, value, buckets),
-        groups,
-        floor,
+    expected_counts, actual_counts = (
+        histogram(df, edges, groups, value, buckets).withColumn("side", F.lit(side))
+        for df, side in ((expected, "expected"), (actual, "actual"))
     )
+    return stability_index(expected_counts.unionByName(actual_counts), groups, floor)
 
 
 def psi_by_snapshot(
@@ -116,13 +115,17 @@ def psi_by_snapshot(
 ) -> DataFrame:
     """PSI of every snapshot against the snapshot one month before it.
 
-    Only breakpoints and histograms move to the following month, not the rows.
+    Each row is counted twice in one pass: on the edges of its own snapshot, as expected
+    value of the month after, and on those of the month before, as actual value. Only
+    edges and counts move to the following month, not the rows.
     """
     keys = [*groups, snapshot]
-    edges = breakpoints(predictions, keys, value, buckets)
-    expected = histogram(predictions, edges, keys, value, buckets)
-    actual = histogram(predictions, _one_month_on(edges, snapshot), keys, value, buckets)
-    return stability_index(_one_month_on(expected, snapshot), actual, keys, floor)
+    own = breakpoints(predictions, keys, value, buckets)
+    before = own.withColumn(snapshot, F.explode(_one_month_after(snapshot)))
+    edges = own.withColumn("side", F.lit("expected")).unionByName(before.withColumn("side", F.lit("actual")))
+    counts = histogram(predictions, edges, keys, value, buckets, tags=("side",))
+    compared_in = F.when(F.col("side") == "expected", _one_month_after(snapshot)).otherwise(F.array(snapshot))
+    return stability_index(counts.withColumn(snapshot, F.explode(compared_in)), keys, floor)
 
 
 def score_density(df: DataFrame, groups: list[str], value: str, points: int = GRID_POINTS) -> DataFrame:
@@ -174,13 +177,12 @@ def _contribution(expected: Column, actual: Column, floor: float | None) -> Colu
     return (a - e) * F.ln(a / e)
 
 
-def _one_month_on(df: DataFrame, snapshot: str) -> DataFrame:
-    """Re-date a per-snapshot table to the snapshots whose previous month it is.
+def _one_month_after(snapshot: str) -> Column:
+    """All days whose day one month before is the snapshot.
 
     28 February is one month before each of 28 to 31 March; 31 January before no day at all.
     """
     day = F.col(snapshot)
     next_month = F.add_months(day, 1)
     last = F.when(day == F.last_day(day), F.last_day(next_month)).otherwise(next_month)
-    following = F.filter(F.sequence(next_month, last), lambda d: F.add_months(d, -1) == day)
-    return df.withColumn(snapshot, F.explode(following))
+    return F.filter(F.sequence(next_month, last), lambda d: F.add_months(d, -1) == day)

@@ -5,31 +5,21 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from vintagelens import schemas
 from vintagelens.operators import modelling
 from vintagelens.operators.features import model_features
-from vintagelens.operators.fills import fill_history
 from vintagelens.plans.datamart import Datamart
 from vintagelens.sources.snapshots import read_all, snapshot_between, write_snapshots
 
 PREDICTION_PARTITIONS = ["model_name", "snapshot_date"]
 
 
-def scoring_features(engagement: DataFrame, risk: DataFrame, direction: str = "both", base: str = "risk") -> DataFrame:
-    """Features of the customers to score.
-
-    Fills see the snapshots they are given. A single snapshot with unique customers has
-    nothing to fill from.
-    """
-    return fill_history(model_features(engagement, risk, base), schemas.MODEL_FEATURES, direction)
-
-
 def score_snapshots(
     model: PipelineModel, model_name: str, engagement: DataFrame, risk: DataFrame, start: str, end: str
 ) -> DataFrame:
     """Scores of a closed period, each snapshot by its own features only.
 
-    No window is needed for that: with unique keys a fill inside one snapshot is the identity.
+    A fill inside one snapshot has nothing to fill from, as its keys are unique, so the
+    period needs no window and no shuffle beyond the join.
     """
     features = model_features(snapshot_between(engagement, start, end), snapshot_between(risk, start, end), "risk")
     return modelling.score(model, features, model_name)

@@ -9,8 +9,11 @@ from vintagelens.functions.cleaning import parse_date
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """CSV feed with a header. Every column is a string: no inference pass over the data."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+    """CSV feed with a header. Every column is a string: no inference pass over the data.
+
+    Each file's header is checked, so a file with other or reordered columns is an error.
+    """
+    return spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(path)
 
 
 def bronze(raw: DataFrame, start: str, end: str) -> DataFrame:
