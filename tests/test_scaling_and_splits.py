@@ -10,7 +10,7 @@ from vintagelens.operators import scaling, splits
 
 
 def test_scaler(spark):
-    train = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, 5.0)], "a double, k double")
+    train = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (None, 5.0), (float("nan"), 5.0)], "a double, k double")
     fitted = {r.feature: (r.mean, r.std) for r in scaling.scaler_fit(train, ["a", "k"]).collect()}
     assert fitted == {"a": (2.0, 1.0), "k": (5.0, 0.0)}
     new = spark.createDataFrame([("x", 4.0, 7.0), ("y", None, 5.0)], "id string, a double, k double")

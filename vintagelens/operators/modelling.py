@@ -75,7 +75,8 @@ def preparation(train: DataFrame, features: list[str]) -> PipelineModel:
 
     def term(c: str) -> str:
         std = p[f"std_{c}"] or 1.0
-        return f"coalesce((`{c}` - double('{p[f'mean_{c}']!r}')) / double('{std!r}'), 0D) AS `{c}{_SCALED}`"
+        value = f"(`{c}` - double('{p[f'mean_{c}']!r}')) / double('{std!r}')"
+        return f"nanvl(coalesce({value}, 0D), 0D) AS `{c}{_SCALED}`"
 
     statement = "SELECT *, " + ", ".join(term(c) for c in features) + " FROM __THIS__"
     assembler = VectorAssembler(inputCols=[c + _SCALED for c in features], outputCol="features")

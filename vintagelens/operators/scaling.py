@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 
 def scaler_row(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row with ``mean_<c>`` and ``std_<c>`` per column; NULLs are ignored."""
+    """One row with ``mean_<c>`` and ``std_<c>`` per column; NULLs and NaNs are ignored."""
+    present = {c: F.when(~F.isnan(c), F.col(c)) for c in columns}
     return df.agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in columns], *[F.stddev_pop(c).alias(f"std_{c}") for c in columns]
+        *[F.avg(v).alias(f"mean_{c}") for c, v in present.items()],
+        *[F.stddev_pop(v).alias(f"std_{c}") for c, v in present.items()],
     )
 
 
