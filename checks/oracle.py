@@ -141,16 +141,11 @@ STEPS["limit_median"] = """
 select snapshot_date, quantile_disc(Changed_Credit_Limit, 0.5) as median from fin_parsed
 where Changed_Credit_Limit is not null group by snapshot_date"""
 STEPS["fin_silver"] = f"""
-select * replace (round(cast(coalesce(Changed_Credit_Limit, median) as double), 2) as Changed_Credit_Limit)
-       exclude (median),
+select * exclude (median, Changed_Credit_Limit),
+       round(cast(coalesce(Changed_Credit_Limit, median) as double), 2) as Changed_Credit_Limit,
        {ratio("Total_EMI_per_month")} as EMI_to_Monthly_Income_Ratio,
        {ratio("Outstanding_Debt")} as Debt_to_Monthly_Income_Ratio
 from fin_parsed left join limit_median using (snapshot_date)"""
-STEPS["fin_silver"] = STEPS["fin_silver"].replace(
-    "select * replace (round(cast(coalesce(Changed_Credit_Limit, median) as double), 2) as Changed_Credit_Limit)\n       exclude (median),",
-    "select * exclude (median, Changed_Credit_Limit),\n"
-    "       round(cast(coalesce(Changed_Credit_Limit, median) as double), 2) as Changed_Credit_Limit,",
-)
 STEPS["click_silver"] = (
     f"select Customer_ID, {day('snapshot_date')} as snapshot_date, "
     + ", ".join(f"{whole(f'fe_{i}')} as fe_{i}" for i in range(1, 7))

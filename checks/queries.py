@@ -15,8 +15,7 @@ from vintagelens.operators import drift, features, fills, impute, modelling, mon
 from vintagelens.operators import silver, splits
 from vintagelens.plans import feature_store, label_store, scoring, training
 from vintagelens.session import apply_settings, new_table_path
-from vintagelens.sources import feeds, snapshots
-from vintagelens.sources.calendar import snapshot_calendar
+from vintagelens.sources import calendar, feeds, snapshots
 from vintagelens.sources.derived import derive
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,9 +88,7 @@ def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trained(spark: SparkSession, sf_dir: str) -> training.Trained:
     def build() -> training.Trained:
         rows_, path = training_rows(spark, sf_dir), new_table_path(spark, "model")
-        return training.train(
-            rows_, schemas.MODEL_FEATURES, MODEL, TRAIN_DATE, path, CHECK_GRID, CHECK_DRAWS
-        )
+        return training.train(rows_, schemas.MODEL_FEATURES, MODEL, TRAIN_DATE, path, CHECK_GRID, CHECK_DRAWS)
 
     return stored(spark, sf_dir, "trained", build)
 
@@ -145,11 +142,8 @@ def metric_trend(spark, d):
 
 
 @query
-def snapshot_calendar_(spark, d):
-    return snapshot_calendar(derive(spark, d, "loan_snapshots"), "snapshot_date")
-
-
-QUERIES["snapshot_calendar"] = QUERIES.pop("snapshot_calendar_")
+def snapshot_calendar(spark, d):
+    return calendar.snapshot_calendar(derive(spark, d, "loan_snapshots"), "snapshot_date")
 
 
 # Projections, filters, predicates
@@ -193,8 +187,8 @@ def drop_incomplete(spark, d):
 @query
 def actual_bads(spark, d):
     flag = delinquency.past_due_flag(30).alias("dpd_flag")
-    past_due = silver.loans(derive(spark, d, "loan_snapshots")).select("loan_id", "snapshot_date", "installment_num", "dpd", flag)
-    return rows.rows_at_instalment(past_due, 7)
+    loans = silver.loans(derive(spark, d, "loan_snapshots"))
+    return rows.rows_at_instalment(loans.select("loan_id", "snapshot_date", "installment_num", "dpd", flag), 7)
 
 
 @query
@@ -209,9 +203,9 @@ def dq_attributes(spark, d):
 
 @query
 def top_rows(spark, d):
-    order = ["snapshot_date", "loan_id", "installment_num", F.desc("due_amt"), "loan_amt", F.desc("dpd"), "paid_amt", "overdue_amt"]
-    silver_rows = silver.loans(derive(spark, d, "loan_snapshots"))
-    return rows.top_rows(silver_rows.select("snapshot_date", "loan_id", "installment_num", "due_amt", "loan_amt", "dpd", "paid_amt", "overdue_amt"), 20, order)
+    shown = ["snapshot_date", "loan_id", "installment_num", "due_amt", "loan_amt", "dpd", "paid_amt", "overdue_amt"]
+    order = [F.desc(x) if x in ("due_amt", "dpd") else x for x in shown]
+    return rows.top_rows(silver.loans(derive(spark, d, "loan_snapshots")).select(*shown), 20, order)
 
 
 # Scalar functions
@@ -372,9 +366,7 @@ def snapshot_counts(spark, d):
 
 @query
 def split_stats(spark, d):
-    return splits.split_stats(
-        training.split_rows(derive(spark, d, "label_store"), TRAIN_DATE)
-    )
+    return splits.split_stats(training.split_rows(derive(spark, d, "label_store"), TRAIN_DATE))
 
 
 @query
@@ -415,9 +407,8 @@ def auc_gini(spark, d):
 @query
 def score_density(spark, d):
     density = drift.score_density(derive(spark, d, "predictions"), ["model_name", "snapshot_date"], "model_predictions")
-    return density.select(
-        "model_name", "snapshot_date", "point", nine_places("score").alias("score"), nine_places("density").alias("density")
-    )
+    rounded = [nine_places(x).alias(x) for x in ("score", "density")]
+    return density.select("model_name", "snapshot_date", "point", *rounded)
 
 
 @query

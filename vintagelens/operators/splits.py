@@ -65,7 +65,8 @@ def stratified_split(
     Of a label's ``n`` rows the ``n - ceil(n * (1 - share))`` with the lowest hashes train.
     Counting hash slices finds the slice with the cut, and only the hashes of that slice are
     ranked. The cut, one hash per label, is then broadcast; its size is the number of labels.
-    Rows with the same key stay on the same side.
+    Rows with the same key stay on the same side. The keys are read three times, so ``df``
+    should be a stored table.
     """
     hashed = df.withColumn("_hash", row_hash(keys, seed)).withColumn("_slice", F.col("_hash").substr(1, SLICE_DIGITS))
     in_label = Window.partitionBy(label)

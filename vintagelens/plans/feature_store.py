@@ -24,7 +24,7 @@ def run(spark: SparkSession, feeds: dict[str, str], mart: Datamart, start: str,
     for feed in FEATURE_FEEDS:
         write_snapshots(bronze(read_feed(spark, feeds[feed]), start, end), mart.feature_bronze(feed))
         raw = snapshot_between(read_all(spark, mart.feature_bronze(feed)), start, end)
-        write_snapshots(SILVER[feed](raw), mart.feature_silver(feed))
+        write_snapshots(SILVER[feed](raw), mart.feature_silver(feed), rebalance=False)
     cleaned = [snapshot_between(read_all(spark, mart.feature_silver(f)), start, end) for f in FEATURE_FEEDS]
     write_snapshots(features.feature_store(*cleaned), mart.feature_store)
     return snapshot_between(read_all(spark, mart.feature_store), start, end)

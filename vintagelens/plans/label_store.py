@@ -28,7 +28,7 @@ def run(
     """
     ingest_loans(spark, feed, mart, start, end)
     ledger = snapshot_between(read_all(spark, mart.loan_bronze), start, end)
-    write_snapshots(silver.loans(ledger), mart.loan_silver)
+    write_snapshots(silver.loans(ledger), mart.loan_silver, rebalance=False)
     loans = snapshot_between(read_all(spark, mart.loan_silver), start, end)
     write_snapshots(silver.labels(loans, days, months_on_book), mart.label_store)
     return snapshot_between(read_all(spark, mart.label_store), start, end)

@@ -12,25 +12,25 @@ from pyspark.sql.types import StructType
 SNAPSHOT = "snapshot_date"
 
 
-def write_snapshots(df: DataFrame, path: str, partition_by: Sequence[str] = (SNAPSHOT,)) -> None:
+def write_snapshots(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (SNAPSHOT,), rebalance: bool = True
+) -> None:
     """Write the snapshots in ``df``, replacing those and leaving all others in place.
 
     The rebalance hint gathers the rows of a snapshot so that each becomes a few files of
     the advisory size, and lets AQE split a snapshot that holds a large share of the rows.
+    Rows read from a table with the same partitions and changed one by one lie together
+    already: they are written with ``rebalance=False``, without a shuffle.
     """
+    rows = df.hint("rebalance", *[F.col(c) for c in partition_by]) if rebalance else df
     (
-        df.hint("rebalance", *[F.col(c) for c in partition_by])
-        .write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def read_all(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Whole table. A known schema saves the footer read that inference needs."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
