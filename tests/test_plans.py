@@ -6,7 +6,7 @@ import pytest
 
 from checks.queries import QUERIES
 from vintagelens import schemas
-from vintagelens.operators import fills, splits
+from vintagelens.operators import drift, fills, splits
 from vintagelens.plans import label_store
 from vintagelens.sources.derived import derive
 from vintagelens.sources.snapshots import read_all, read_listed, read_one, write_snapshots
@@ -58,3 +58,10 @@ def test_snapshot_reads_prune_partitions_and_columns(spark, sf_dir, tmp_path):
         assert "ReadSchema: struct<model_predictions:double>" in text
     split = splits.time_split(read_all(spark, path), "2024-09-01")
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan(split)
+
+
+def test_drift_counts_its_cells_once(spark, sf_dir, tmp_path):
+    write_snapshots(derive(spark, sf_dir, "predictions"), str(tmp_path))
+    df = drift.psi_by_snapshot(read_all(spark, str(tmp_path)), ["model_name"])
+    df.collect()
+    assert "ReusedExchange" in plan(df)

@@ -28,13 +28,17 @@ KERNEL_REACH = 39
 def breakpoints(df: DataFrame, groups: list[str], value: str, buckets: int = BUCKETS) -> DataFrame:
     """Distinct quantile edges per group, ascending, as the array ``edges``.
 
-    Fewer than two bins is an error, as there is nothing to compare.
+    Fewer than two bins is an error, as there is nothing to compare. Rows without a group
+    are left out.
     """
     probabilities = [i / buckets for i in range(buckets + 1)]
     edges = F.array_distinct("percentiles")
-    checked = F.when(
-        F.size(edges) > 2, edges
-    ).otherwise(F.raise_error(F.lit("too few distinct values to form bins")).cast("array<double>"))
+    too_few = F.raise_error(F.lit("too few distinct values to form bins")).cast("array<double>")
+    checked = F.when(F.size(edges) > 2, edges).otherwise(too_few)
+    # Stated here, because the optimizer would push it into one of two uses of the cell counts
+    # and thereby keep them from sharing one shuffle.
+    for group in groups:
+        df = df.where(F.col(group).isNotNull())
     return percentiles(df, groups, value, probabilities).select(*groups, checked.alias("edges"))
 
 
@@ -43,8 +47,8 @@ def histogram(
 ) -> DataFrame:
     """Rows per bin: right-closed bins numbered from 1, the first also closed on the left.
 
-    Values outside the edges are not counted. Counting happens before the shuffle. A group
-    may have several sets of edges, told apart by the columns ``tags`` of ``edges``.
+    Values outside the edges are not counted. Counting happens before the shuffle. Counts
+    are kept apart by the columns ``tags``, of the rows or of several edges of one group.
     """
     x = F.col(value).cast("double")
     lowest, highest = F.get("edges", F.lit(0)), F.element_at("edges", -1)
@@ -98,11 +102,11 @@ def psi(
     One row per group, or one in all if there are no groups.
     """
     edges = breakpoints(expected, groups, value, buckets)
-    expected_counts, actual_counts = (
-        histogram(df, edges, groups, value, buckets).withColumn("side", F.lit(side))
-        for df, side in ((expected, "expected"), (actual, "actual"))
+    expected, actual = (
+        df.select(*groups, value, F.lit(side).alias("side")) for df, side in ((expected, "expected"), (actual, "actual"))
     )
-    return stability_index(expected_counts.unionByName(actual_counts), groups, floor)
+    counts = histogram(expected.unionByName(actual), edges, groups, value, buckets, tags=("side",))
+    return stability_index(counts, groups, floor)
 
 
 def psi_by_snapshot(
@@ -121,8 +125,12 @@ def psi_by_snapshot(
     """
     keys = [*groups, snapshot]
     own = breakpoints(predictions, keys, value, buckets)
-    before = own.withColumn(snapshot, F.explode(_one_month_after(snapshot)))
-    edges = own.withColumn("side", F.lit("expected")).unionByName(before.withColumn("side", F.lit("actual")))
+    # One expansion rather than a union of both uses: a union would compute the edges twice.
+    in_own = F.array(F.struct(F.lit("expected").alias("side"), F.col(snapshot).alias("day")))
+    in_next = F.transform(_one_month_after(snapshot), lambda d: F.struct(F.lit("actual").alias("side"), d.alias("day")))
+    edges = own.select(*groups, "edges", F.explode(F.concat(in_own, in_next)).alias("_use")).select(
+        *groups, F.col("_use.day").alias(snapshot), F.col("_use.side").alias("side"), "edges"
+    )
     counts = histogram(predictions, edges, keys, value, buckets, tags=("side",))
     compared_in = F.when(F.col("side") == "expected", _one_month_after(snapshot)).otherwise(F.array(snapshot))
     return stability_index(counts.withColumn(snapshot, F.explode(compared_in)), keys, floor)
