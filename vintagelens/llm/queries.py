@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vintagelens.llm import mixing
+from vintagelens.llm import bpe, mixing
 from vintagelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +23,18 @@ def query(build):
     return build
 
 
+@query
+def op1_bpe(spark, d):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    decoded = bpe.decode(bpe.encode(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op9_mixing(spark, d):
     mixed = mixing.mix(table(spark, d, "documents"))
