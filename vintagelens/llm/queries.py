@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelens.llm import bpe, mixing
+from vintagelens.llm import bpe, langid, mixing, toxicity
 from vintagelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def held_out(key: str = "doc_id"):
+    """A quarter of the rows, on which models are measured and from which they never learn."""
+    return F.crc32(F.col(key).cast("string")) % 4 == 2
+
+
 def query(build):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(prepare(spark), sf_dir)
@@ -35,6 +40,20 @@ def op1_bpe(spark, d):
     )
 
 
+@query
+def op3_language(spark, d):
+    docs = table(spark, d, "documents")
+    model = langid.learn(docs.where(~held_out()))
+    return langid.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_toxicity(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    model = toxicity.learn(docs, labels.where(~held_out()))
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op9_mixing(spark, d):
     mixed = mixing.mix(table(spark, d, "documents"))
