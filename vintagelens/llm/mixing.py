@@ -24,7 +24,7 @@ from vintagelens.llm.common import WORD, mix as mix_bits, stored
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_COPIES = 3.0
 # Documents of a source that one task pairs, and residuals that one task of the tree combines.
-CELL_ROWS = 20_000
+CELL_ROWS = 2_000
 FAN_IN = 1_000
 # Fractions closer than this to a whole number are whole.
 CLOSE = 1e-9
