@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelens.llm import bpe, langid, mixing, toxicity
+from vintagelens.llm import ann, bpe, langid, mixing, toxicity, warc
 from vintagelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,33 @@ def op5_toxicity(spark, d):
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op6_warc(spark, d):
+    pages = table(spark, d, "pages")
+    archives, index_folder = warc.new_folder(pages, "warc"), warc.new_folder(pages, "warc-index")
+    captures = warc.write(pages, archives)
+    found = warc.lookup(warc.index(captures, index_folder), archives, captures.distinct(), payloads=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op6_warc"] = """
+with p as (
+  select page_id, coalesce(html, '') html, octet_length(encode(coalesce(html, ''))) payload_bytes,
+    sha1(coalesce(html, '')) payload_digest from pages),
+f as (select payload_digest, max(page_id) first from p where payload_bytes >= 1000 group by payload_digest)
+select page_id, payload_bytes, payload_digest,
+  case when first is null or first = page_id then 'response' else 'revisit' end record_type,
+  case when first <> page_id then first end refers_to
+from p left join f using (payload_digest)
+"""
+
+
+@query
+def op7_ann(spark, d):
+    vectors = table(spark, d, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 @query
 def op9_mixing(spark, d):
     mixed = mixing.mix(table(spark, d, "documents"))
