@@ -30,10 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelens.llm.common import stored
+from vintagelens.llm.common import stored_in_buckets
 
 # Text bytes whose words one chunk numbers.
 CHUNK_BYTES = 32 << 20
+# The most frequent words of a chunk are numbered by frequency, which makes the numbers compress.
+FREQUENT = 1 << 16
 # Longer pre-tokens are merged by a heap instead of a scan for the lowest rank.
 SCAN_BYTES = 48
 
@@ -127,11 +129,11 @@ class _Numbers(dict):
 
 
 CHUNK_TYPE = (
-    "chunk long, keys array<long>, counts binary, codes binary,"
+    "chunk long, keys array<long>, counts binary, codes binary, frequent binary,"
     " words array<struct<part: int, lengths: binary, bytes: binary>>"
 )
 CHUNK_ARROW = pa.schema([
-    ("chunk", pa.int64()), ("keys", pa.list_(pa.int64())), ("counts", pa.binary()), ("codes", pa.binary()),
+    ("chunk", pa.int64()), ("keys", pa.list_(pa.int64())), ("counts", pa.binary()), ("codes", pa.binary()), ("frequent", pa.binary()),
     ("words", pa.list_(pa.struct([("part", pa.int32()), ("lengths", pa.binary()), ("bytes", pa.binary())]))),
 ])
 
@@ -154,11 +156,14 @@ def _chunk_row(number: int, keys: list, codes: list[np.ndarray], words: _Numbers
             place[list(old)] = np.arange(at, at + len(old))
             at += len(old)
             lengths = pack(np.fromiter(map(len, raws), np.int64, len(raws)))
-            packed.append({"part": part, "lengths": lengths, "bytes": zstandard.compress(b"".join(raws), 3)})
+            packed.append({"part": part, "lengths": lengths, "bytes": zstandard.compress(b"".join(raws), 9)})
     flat = np.concatenate([np.zeros(0, np.uint32), *codes]).astype(np.int64)
+    frequent = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")[:FREQUENT]
+    number_of = place + np.uint32(FREQUENT)
+    number_of[frequent] = np.arange(len(frequent))
     row = {
         "chunk": number, "keys": keys, "counts": pack(np.array([len(c) for c in codes])),
-        "codes": pack(place[flat]), "words": packed,
+        "codes": pack(number_of[flat]), "frequent": pack(place[frequent]), "words": packed,
     }
     return pa.RecordBatch.from_pylist([row], schema=CHUNK_ARROW)
 
@@ -234,6 +239,10 @@ def _assemble(chunk: pa.Table, words: pa.Table) -> pa.Table:
     begins = np.cumsum(sizes) - sizes
     for row in chunk.to_pylist():
         codes, counts = unpack(row["codes"]).astype(np.int64), unpack(row["counts"]).astype(np.int64)
+        frequent = np.zeros(FREQUENT, np.int64)
+        listed = unpack(row["frequent"])
+        frequent[: len(listed)] = listed
+        codes = np.where(codes < FREQUENT, frequent[np.minimum(codes, FREQUENT - 1)], codes - FREQUENT)
         edges = np.concatenate([[0], np.cumsum(counts)])
         step = max(1, len(row["keys"]) // 16)
         for first in range(0, len(row["keys"]), step):
@@ -261,11 +270,11 @@ def encode(
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     chunks = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_cut(parts, chunk_bytes), CHUNK_TYPE)
-    chunks = stored(chunks, "bpe-chunks", "none")
+    chunks = stored_in_buckets(chunks, "bpe-chunks", "chunk", parts)
     shared = spark.sparkContext.broadcast(ranks)
     words = chunks.select("chunk", F.explode("words").alias("w")).select("chunk", "w.*").repartition(parts, "part")
     ids = words.mapInArrow(_encode_words(shared, pattern), IDS_TYPE)
-    by_chunk = chunks.select("chunk", "keys", "counts", "codes").groupBy("chunk")
+    by_chunk = chunks.select("chunk", "keys", "counts", "codes", "frequent").groupBy("chunk")
     return by_chunk.cogroup(ids.groupBy("chunk")).applyInArrow(_assemble, ENCODED_TYPE)
 
 
