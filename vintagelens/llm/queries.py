@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelens.llm import ann, bpe, langid, mixing, toxicity, warc
+from vintagelens.llm import ann, bpe, fingerprint, langid, mixing, toxicity, warc
 from vintagelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,11 @@ def op7_ann(spark, d):
 def op9_mixing(spark, d):
     mixed = mixing.mix(table(spark, d, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query
+def op10_fingerprints(spark, d):
+    found = fingerprint.edits(table(spark, d, "documents"))
+    hashed = found.withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
+    marks = ["fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    return hashed.select("doc_id", "n_chars", "edited_sha256", *marks)

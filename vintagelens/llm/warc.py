@@ -132,8 +132,11 @@ def write(pages: DataFrame, folder: str, smallest_shared: int = SMALLEST_SHARED,
     """
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), payload.alias("payload"))
-    rows = rows.withColumn("digest", F.when(F.length("payload") >= smallest_shared, F.sha1("payload")))
-    known = rows.where(F.col("digest").isNotNull()).groupBy("digest")
+    # A small payload stands for itself: a key of its own keeps such rows spread over the tasks.
+    alone = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
+    shared = F.length("payload") >= smallest_shared
+    rows = rows.withColumn("digest", F.when(shared, F.sha1("payload")).otherwise(alone))
+    known = rows.where(shared).groupBy("digest")
     firsts = known.agg(F.max("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     stamp = "".join(c for c in date if c.isdigit())
 
