@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelens.llm import ann, bpe, fingerprint, langid, mixing, toxicity, warc
+from vintagelens.llm import ann, bpe, fingerprint, jaccard, langid, mixing, toxicity, warc
 from vintagelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,11 @@ def op7_ann(spark, d):
     return ann.search(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+@query
+def op8_jaccard(spark, d):
+    return jaccard.groups(table(spark, d, "documents"))
+
+
 @query
 def op9_mixing(spark, d):
     mixed = mixing.mix(table(spark, d, "documents"))
