@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelens.llm import ann, bpe, fingerprint, jaccard, langid, mixing, toxicity, warc
+from vintagelens.llm import ann, bpe, fingerprint, jaccard, langid, mixing, repeats, toxicity, warc
 from vintagelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,18 @@ def op3_language(spark, d):
     return langid.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op4_repeats(spark, d):
+    kept = repeats.remove(table(spark, d, "documents"))
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op5_toxicity(spark, d):
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
