@@ -2,11 +2,11 @@
 
 A paragraph is a run of words that a word of the right hash closes, about one word in
 ``2 ** level``; the level grows with the length of the text, so that a fingerprint covers the
-whole text with some ten to forty paragraphs, and an edit moves no boundary but its own. The
+whole text with some seven to twenty paragraphs, and an edit moves no boundary but its own. The
 table adds each distinct paragraph digest to three cells: a count, the digests' xor, and their
 checks' xor. Two tables of one level subtract cell by cell; peeling, cell by cell with a count
 of one and the right check, recovers the digests on either side. A difference that does not
-peel is taken anew in a table of three times the cells. Texts of unlike level are compared at
+peel is taken anew in a table of twice the cells. Texts of unlike level are compared at
 the coarser one.
 """
 
@@ -19,11 +19,14 @@ from pyspark.sql import functions as F
 
 from vintagelens.llm.common import empty_text
 
-CELLS = 48
+# Cells of a fingerprint's table.
+CELLS = 30
+# A difference starts with this many cells per digest of both sets, and doubles them on failure.
+CELLS_PER_DIGEST = 1.5
 RETRIES = 2
 ROUNDS = 10
 # Characters of a text per unit of 2 ** level.
-GRAIN = 64
+GRAIN = 40
 
 DIGESTS = "struct<h: bigint, out: array<bigint>>"
 CELL = "struct<n: int, k: bigint, c: bigint>"
@@ -40,7 +43,8 @@ def let(value: Column, use) -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """The text cut at blanks; an empty text has no words."""
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
 
 
 def level(text: Column) -> Column:
@@ -69,10 +73,10 @@ def _check(key: Column) -> Column:
     return F.xxhash64(key, F.lit(7))
 
 
-def _placed(key: Column, sign: Column, cells: int) -> Column:
+def _placed(key: Column, sign: Column, cells: Column) -> Column:
     """A digest with its check and its three cells, one in each third of the table."""
-    third = cells // 3
-    place = lambda j: (F.pmod(F.xxhash64(key, F.lit(100 + j)), F.lit(third)) + j * third).cast("int")
+    third = (cells / 3).cast("int")
+    place = lambda j: (F.pmod(F.xxhash64(key, F.lit(100 + j)), third) + third * j).cast("int")
     return F.struct(
         key.alias("k"), sign.alias("s"), _check(key).alias("c"), place(0).alias("p0"), place(1).alias("p1"), place(2).alias("p2")
     )
@@ -90,10 +94,11 @@ def _combined(cell: Column, number: Column, keys: Column, sign: int) -> Column:
     return F.aggregate(keys, cell, step)
 
 
-def sketch(digests_: Column, cells: int = CELLS) -> Column:
-    """The lookup table of the digests: an array of cells."""
+def sketch(digests_: Column, cells: Column | int = CELLS) -> Column:
+    """The lookup table of the digests: an array of cells, whose number is a multiple of three."""
+    cells = F.lit(cells) if isinstance(cells, int) else cells
     keys = F.transform(digests_, lambda d: _placed(d, F.lit(1), cells))
-    numbers = F.sequence(F.lit(0), F.lit(cells - 1))
+    numbers = F.sequence(F.lit(0), cells - 1)
     return let(keys, lambda k: F.transform(numbers, lambda i: _combined(no_cell(), i, k, 1)))
 
 
@@ -110,7 +115,7 @@ FOUND = "array<struct<k: bigint, n: int>>"
 STATE = f"struct<cells: array<{CELL}>, found: {FOUND}>"
 
 
-def peel(difference: Column, cells: int, rounds: int = ROUNDS) -> Column:
+def peel(difference: Column, cells: Column, rounds: int = ROUNDS) -> Column:
     """Digests of a difference of tables, with n = 1 (only in the first) or -1; null if it fails."""
 
     def one_round(state: Column, _: Column) -> Column:
@@ -133,28 +138,31 @@ def peel(difference: Column, cells: int, rounds: int = ROUNDS) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, one_round, finish)
 
 
-def difference(one: Column, other: Column, cells: int = CELLS, retries: int = RETRIES) -> Column:
+def difference(one: Column, other: Column, retries: int = RETRIES) -> Column:
     """Digests in one set only, by sketch, subtraction and peeling, in larger tables on failure.
 
     If the largest fails, the sets themselves are compared.
     """
-    tries = []
-    for attempt in range(retries + 1):
-        size = cells * 3**attempt
-        tries.append(peel(subtract(sketch(one, size), sketch(other, size)), size, ROUNDS + 4 * attempt))
+    start = (F.ceil((F.size(one) + F.size(other)) * CELLS_PER_DIGEST / 3) * 3).cast("int")
+    start = F.greatest(start, F.lit(6))
+
+    def attempt(number: int) -> Column:
+        cells = start * 2**number
+        return let(cells, lambda m: peel(subtract(sketch(one, m), sketch(other, m)), m, ROUNDS + 4 * number))
+
     only = lambda a, b, n: F.transform(
         F.array_except(a, b), lambda k: F.struct(k.alias("k"), F.lit(n).alias("n"))
     )
     plain = F.concat(only(one, other, 1), only(other, one, -1)).cast(FOUND)
-    return F.coalesce(*tries, plain)
+    return F.coalesce(*[attempt(k) for k in range(retries + 1)], plain)
 
 
-def likeness(one: Column, other: Column, cells: int = CELLS) -> Column:
+def likeness(one: Column, other: Column) -> Column:
     """Shared share of both digest sets (Jaccard), from their sizes and the peeled difference."""
-    apart = F.size(difference(one, other, cells)).cast("double")
+    apart = F.size(difference(one, other)).cast("double")
     together = F.size(one) + F.size(other)
-    shared = (together - apart) / 2
-    return F.when(together == 0, F.lit(1.0)).otherwise(shared / (together - shared))
+    value = lambda d: (together - d) / (together + d)
+    return F.when(together == 0, F.lit(1.0)).otherwise(let(apart, value))
 
 
 def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
@@ -232,17 +240,17 @@ def edits(docs: DataFrame, cells: int = CELLS) -> DataFrame:
         for side, text in (("own", F.col("text")), ("edit", F.col("edited")), ("next", F.col("next_text")))
         for name, column in (("level", level(text)), ("words", words(text)))
     ])
-    rows = rows.withColumns({f"set_{s}": digests(F.col(f"words_{s}"), F.col(f"level_{s}")) for s in ("own", "edit", "next")})
+    rows = rows.withColumns({f"set_{s}": digests(F.col(f"words_{s}"), F.col(f"level_{s}")) for s in ("own", "edit")})
 
-    def compared(side: str) -> tuple[Column, Column]:
-        common = F.greatest("level_own", f"level_{side}")
-        at = lambda s: F.when(F.col(f"level_{s}") == common, F.col(f"set_{s}")).otherwise(
-            digests(F.col(f"words_{s}"), common)
-        )
-        return at("own"), at(side)
+    def at(side: str, common: Column) -> Column:
+        """A set at a common level: the one at hand, or a coarser one."""
+        return F.when(F.col(f"level_{side}") == common, F.col(f"set_{side}")).otherwise(digests(F.col(f"words_{side}"), common))
 
-    pairs = {f"{name}_{side}": c for side in ("edit", "next") for name, c in zip(("a", "b"), compared(side), strict=True)}
-    rows = rows.withColumns(pairs)
+    for_edit, for_next = F.greatest("level_own", "level_edit"), F.greatest("level_own", "level_next")
+    rows = rows.withColumns({
+        "a_edit": at("own", for_edit), "b_edit": at("edit", for_edit),
+        "a_next": at("own", for_next), "b_next": digests(F.col("words_next"), for_next),
+    })
     rows = rows.withColumns({f"sketch_{s}": sketch(F.col(f"set_{s}"), cells) for s in ("own", "edit")})
     return rows.select(
         "doc_id",
@@ -250,6 +258,6 @@ def edits(docs: DataFrame, cells: int = CELLS) -> DataFrame:
         "edited",
         as_text(F.col("level_own"), F.col("set_own"), F.col("sketch_own")).alias("fingerprint"),
         as_text(F.col("level_edit"), F.col("set_edit"), F.col("sketch_edit")).alias("edited_fingerprint"),
-        likeness(F.col("a_edit"), F.col("b_edit"), cells).alias("near_edited"),
-        likeness(F.col("a_next"), F.col("b_next"), cells).alias("near_next"),
+        likeness(F.col("a_edit"), F.col("b_edit")).alias("near_edited"),
+        likeness(F.col("a_next"), F.col("b_next")).alias("near_next"),
     )
