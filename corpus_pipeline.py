@@ -1,23 +1,72 @@
-"""Corpus pipeline: each stage takes (spark, docs, sf_dir) and returns what it keeps."""
+"""Corpus pipeline: each stage takes (spark, docs, sf_dir) and returns what it keeps.
+
+The stages read whole tables and keep the columns of ``documents``; the last returns token ids.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vintagelens.llm import mixing
+from vintagelens.llm import bpe, jaccard, lines, mixing, toxicity
 from vintagelens.llm.common import prepare, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled ones, does not predict as toxic."""
+    prepare(spark)
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    rejected = toxicity.score(docs, model).where("predicted = 1").select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the lines of templates that an earlier document has.
+
+    A document of which no text is left goes.
+    """
+    prepare(spark)
+    left = lines.dedup(docs).select("doc_id", F.col("text").alias("_left"), F.size("dropped").alias("_dropped"))
+    joined = docs.join(left.where("_dropped > 0"), "doc_id", "left")
+    text = F.when(F.col("_dropped") > 0, F.col("_left")).otherwise(F.col("text"))
+    joined = joined.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
+    emptied = (F.col("_dropped") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return joined.where(~F.coalesce(emptied, F.lit(False))).select(*COLUMNS)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group of near copies."""
+    prepare(spark)
+    first = jaccard.groups(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(first, "doc_id", "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated as often as the mix takes them; a document without copies goes."""
     prepare(spark)
     copies = mixing.mix(docs).where("copies > 0").select("doc_id", "copies")
-    return docs.join(copies, "doc_id").selectExpr(*COLUMNS, "explode(sequence(1, copies)) as _copy").drop("_copy")
+    return docs.join(copies, "doc_id").selectExpr(*COLUMNS, "explode(sequence(1L, copies)) as _copy").drop("_copy")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text: doc_id, n_tokens, ids."""
+    prepare(spark)
+    ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-STAGES = [("mixing sources to target weights", mix_sources)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_recurring_lines),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("mixing sources to target weights", mix_sources),
+    ("byte-level BPE encoding", tokens),
+]
 ORACLE_SQL = None
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelens.llm import ann, bpe, fingerprint, jaccard, langid, mixing, repeats, toxicity, warc
+from vintagelens.llm import ann, bpe, fingerprint, jaccard, langid, lines, mixing, repeats, toxicity, warc
 from vintagelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,17 @@ def op1_bpe(spark, d):
     )
 
 
+@query
+def op2_lines(spark, d):
+    left = lines.dedup(table(spark, d, "documents"))
+    return left.select(
+        "doc_id",
+        "n_lines",
+        F.size("dropped").cast("long").alias("n_dropped"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op3_language(spark, d):
     docs = table(spark, d, "documents")
