@@ -6,7 +6,7 @@ the operator's result on its own, in a different way where there is one.
 
 from __future__ import annotations
 
-from checks.queries import DEVELOPMENT_END, LOAN_MONTH, MONTH, TRAIN_DATE
+from checks.queries import DEVELOPMENT_END, FLAT_MONTH, LOAN_MONTH, MONTH, MOVED_FEATURES, RERUN_GONE, TRAIN_DATE
 from vintagelens import schemas
 from vintagelens.sources.derived import TABLES, portable_sql
 
@@ -171,6 +171,11 @@ oracle(
 where snapshot_date in (date '2022-12-01', date '2023-02-01', date '2023-07-01', date '2024-01-01')""",
 )
 oracle("write_predictions", "select * from predictions")
+oracle(
+    "label_store_rerun",
+    f"""select {LABELS} from label_store where snapshot_date <> date '{RERUN_GONE}'
+union all select {LABELS.replace("label_def", "'60dpd_6mob' as label_def")} from label_store """,
+)
 oracle(
     "snapshot_calendar",
     """select cast(unnest(generate_series(min(snapshot_date), max(snapshot_date), interval 1 month)) as date) as snapshot_date
@@ -250,6 +255,25 @@ oracle(
     f"select loan_id, snapshot_date, overdue_amt, due_amt, {MISSED} as installments_missed from loan_snapshots ",
 )
 oracle("days_past_due", "select * from loan_silver ")
+# A cycle of 400 years has 4,800 months and 146,097 days: the dates themselves would not fit.
+STEPS["loan_late"] = """
+select loan_id, snapshot_date, coalesce(installment_num, 0) as installment_num, coalesce(overdue_amt, 0) as overdue_amt,
+       coalesce(cast(case when missed > 2147483647 then 2147483647 else missed end as int), 0) as installments_missed
+from (select *, ceil(cast(overdue_amt as double) / nullif(cast(cast(
+        cast(due_amt as double) * pow(10.0::double, -3 * (installment_num % 5)) as float) as double), 0)) as missed
+      from loan_snapshots ) m"""
+STEPS["loan_later"] = """
+select *, least(installments_missed, 70000000) as months,
+       cast(case when overdue_amt <= 0 then 0 when installments_missed > 0 then
+         (least(installments_missed, 70000000) // 4800) * 146097 + datediff('day',
+           cast(snapshot_date - to_months(cast(least(installments_missed, 70000000) % 4800 as int)) as date), snapshot_date)
+       end as int) as dpd
+from loan_late """
+oracle(
+    "arrears_edge",
+    """select loan_id, snapshot_date, installment_num, installments_missed, dpd, case when dpd >= 30 then 1 else 0 end as label
+from loan_later """,
+)
 oracle("loan_label", labels(31, 3))
 oracle(
     "parse_snapshot_date",
@@ -279,7 +303,7 @@ left join engagement e on e.Customer_ID = r.Customer_ID and e.snapshot_date = r.
 oracle(
     "join_full_outer",
     f"""select Customer_ID, snapshot_date, {FEATURES}
-from (select * from engagement where snapshot_date >= date '2023-04-01') e
+from engagement e
 full join cust_fin_risk r using (Customer_ID, snapshot_date)""",
 )
 
@@ -301,7 +325,21 @@ STEPS["features_filled"] = filled("both")
 oracle("forward_fill", filled("forward"))
 oracle("backward_fill", filled("backward"))
 oracle("two_way_fill", filled("both"))
-oracle("two_way_fill_by_date", filled("both"))
+STEPS["features_doubled"] = f"""
+select Customer_ID, snapshot_date, {FEATURES} from features_joined
+union all select Customer_ID, snapshot_date, {", ".join(f"{b} as {a}" for a, b in zip(schemas.MODEL_FEATURES, MOVED_FEATURES))}
+from features_joined """
+STEPS["features_by_date"] = f"""
+select Customer_ID, snapshot_date, {", ".join(f"max({x}) as {x}" for x in schemas.MODEL_FEATURES)}
+from features_doubled group by Customer_ID, snapshot_date"""
+STEPS["features_carried"] = (
+    f"select Customer_ID, snapshot_date, {', '.join(nearest(x, 'both') for x in schemas.MODEL_FEATURES)} from features_by_date "
+)
+oracle(
+    "two_way_fill_by_date",
+    f"""select d.Customer_ID, d.snapshot_date, {", ".join(f"coalesce(d.{x}, c.{x}) as {x}" for x in schemas.MODEL_FEATURES)}
+from features_doubled d join features_carried c on d.Customer_ID = c.Customer_ID and d.snapshot_date = c.snapshot_date""",
+)
 STEPS["training_joined"] = f"""
 select l.*, {FEATURES} from label_store l
 left join features_filled f on l.Customer_ID = f.Customer_ID and l.snapshot_date = f.snapshot_date"""
@@ -449,7 +487,17 @@ PERIOD = (
     f"case when snapshot_date between {_AT['oot_start']} and {_AT['oot_end']} then 'oot' "
     f"when snapshot_date between {_AT['train_test_start']} and {_AT['train_test_end']} then 'train_test' end"
 )
-SPLIT = f"case when {PERIOD} = 'oot' then 'oot' when {PERIOD} = 'train_test' then {THRESHOLD} end"
+
+
+def split_exactly(source: str) -> str:
+    """Rows of the two periods: the label's lowest hashes train, the exact share of them."""
+    return f"""select * exclude (period, k, n),
+       case when period = 'oot' then 'oot' when k <= n - ceil(cast(n * 0.2 as decimal(28,6))) then 'train' else 'test' end as split
+from (select *, row_number() over (partition by period, label order by {HASH}) as k,
+             count(*) over (partition by period, label) as n
+      from (select *, {PERIOD} as period from {source}) p where period is not null) t"""
+
+
 oracle(
     "split_windows",
     "select train_date, "
@@ -467,7 +515,7 @@ oracle("stratified_split_by_threshold", f"select *, {THRESHOLD} as split from la
 oracle(
     "split_stats",
     f"""select split, count(*) as n_rows, cast(sum(label) as bigint) as n_bad, cast(sum(label) as double) / count(*) as label_mean
-from (select *, {SPLIT} as split from label_store ) t where split is not null group by split""",
+from ({split_exactly("label_store ")}) s group by split""",
 )
 
 # Monitoring
@@ -478,6 +526,26 @@ select 'm1' as model_name, snapshot_date, psi as predict_psi, roc_auc,
        case when roc_auc is null then 'NO LABELS' when roc_auc < 0.65 then 'RETRAIN' else 'CLEAR' end as auc_status
 from snapshot_psi left join snapshot_auc using (snapshot_date)"""
 oracle("monitor_report", f"select * replace ({nine('predict_psi')} as predict_psi) from report ")
+STEPS["flat"] = f"""
+select * replace (case when snapshot_date = date '{FLAT_MONTH}' then 0.5 else model_predictions end as model_predictions)
+from predictions """
+STEPS["flat_edges"] = edges("flat", "snapshot_date")
+STEPS["flat_own_bins"] = binned("flat", "flat_edges", "snapshot_date")
+STEPS["flat_next_edges"] = STEPS["next_edges"].replace("snapshot_edges", "flat_edges")
+STEPS["flat_expected"] = STEPS["expected_bins"].replace("own_bins", "flat_own_bins")
+STEPS["flat_actual"] = binned("flat", "flat_next_edges", "snapshot_date")
+STEPS["flat_psi"] = psi("flat_expected", "flat_actual", "snapshot_date")
+STEPS["flat_report"] = f"""
+select 'm1' as model_name, d.snapshot_date,
+       case when d.snapshot_date <> date '{FLAT_MONTH}' + to_months(1) then psi end as predict_psi
+from (select distinct cast(n.snapshot_date as date) as snapshot_date from flat_next_edges n
+      join flat f on n.snapshot_date = f.snapshot_date) d left join flat_psi p on d.snapshot_date = p.snapshot_date"""
+oracle(
+    "monitor_flat_month",
+    f"""select model_name, snapshot_date, {nine('predict_psi')} as predict_psi,
+case when predict_psi > 0.25 then 'CRITICAL' when predict_psi > 0.1 then 'WARNING'
+     when predict_psi is null then 'NO BINS' else 'STABLE' end as psi_status from flat_report """,
+)
 oracle("alert_tier", "select model_name, snapshot_date, psi_status, auc_status from report ")
 oracle(
     "monitor_history",
@@ -497,6 +565,27 @@ on c.Customer_ID = f.Customer_ID and c.snapshot_date = f.snapshot_date""",
 )
 oracle(
     "training_set_pipeline",
-    f"""select * from (select *, {SPLIT} as split from training_joined
-where {COMPLETE}) t where split is not null""",
+    split_exactly(f"training_joined where {COMPLETE}"),
+)
+STEPS["clicks_joined"] = f"""
+select l.*, {", ".join(f"fe_{i}" for i in range(1, 7))} from label_store l
+left join click_silver c on l.Customer_ID = c.Customer_ID and l.snapshot_date = c.snapshot_date"""
+oracle("clickstream_training_set", split_exactly("clicks_joined "))
+
+# What SQL can say of trained models
+
+STEPS["trained_rows"] = split_exactly(f"training_joined where {COMPLETE}")
+oracle(
+    "split_auc_counts",
+    """select split, count(*) as n_rows, cast(sum(label) as bigint) as n_bad, cast(sum(label) as double) / count(*) as label_mean
+from trained_rows group by split""",
+)
+oracle(
+    "score_backfill_keys",
+    """select Customer_ID, snapshot_date, 'm1' as model_name, true as in_range from cust_fin_risk
+where snapshot_date between date '2023-01-01' and date '2030-01-01'""",
+)
+oracle(
+    "feature_importance_sum",
+    f"select count(*) as n_features, 1.0::double as total from (select unnest({schemas.MODEL_FEATURES}) as feature ) t",
 )

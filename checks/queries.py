@@ -27,10 +27,14 @@ MONTH = "2023-05-01"
 TRAIN_DATE = "2024-09-01"
 DEVELOPMENT_END = "2023-12-01"
 MODEL = "m1"
+MOVED_FEATURES = [*schemas.MODEL_FEATURES[1:], schemas.MODEL_FEATURES[0]]
 
-# A small space for the checks; a real run takes the full grids and 100 draws.
-CHECK_GRID = {"n_estimators": [2, 3], "max_depth": [2, 3], "learning_rate": [0.1], "min_child_weight": [1, 5]}
+# The checks search the scheduled trainer's whole grid with fewer draws than its 100: with three
+# folds and the refit, that is seven fits. Only the number of draws is lowered.
 CHECK_DRAWS = 2
+PIPELINE_DRAWS = 1
+FLAT_MONTH = "2023-05-01"
+RERUN_GONE = "2023-05-01"
 
 
 def query(build: Query) -> Query:
@@ -80,15 +84,24 @@ def risk_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return tuple(derive(spark, sf_dir, t) for t in ("label_store", "engagement", "cust_fin_risk"))
 
 
+def step_store(spark: SparkSession) -> training.Store:
+    def store(name: str, table: DataFrame) -> DataFrame:
+        path = new_table_path(spark, name)
+        table.write.parquet(path)
+        return spark.read.schema(table.schema).parquet(path)
+
+    return store
+
+
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    build = lambda: training.training_set(*risk_tables(spark, sf_dir), TRAIN_DATE)
+    build = lambda: training.training_set(*risk_tables(spark, sf_dir), TRAIN_DATE, store=step_store(spark))
     return snapshots.read_all(spark, stored_table(spark, sf_dir, "training_set", build))
 
 
 def trained(spark: SparkSession, sf_dir: str) -> training.Trained:
     def build() -> training.Trained:
         rows_, path = training_rows(spark, sf_dir), new_table_path(spark, "model")
-        return training.train(rows_, schemas.MODEL_FEATURES, MODEL, TRAIN_DATE, path, CHECK_GRID, CHECK_DRAWS)
+        return training.train(rows_, schemas.MODEL_FEATURES, MODEL, TRAIN_DATE, path, draws=CHECK_DRAWS)
 
     return stored(spark, sf_dir, "trained", build)
 
@@ -141,6 +154,18 @@ def metric_trend(spark, d):
     return monitoring.metric_trend(monitor_table(spark, d), "predict_psi")
 
 
+@query
+def label_store_rerun(spark, d):
+    """Labels written, rerun with a snapshot gone, and with a second definition beside the first."""
+    labels, path, whole = derive(spark, d, "label_store"), new_table_path(spark, "labels"), ("1990-01-01", "2100-01-01")
+    other = labels.withColumn("label_def", F.lit("60dpd_6mob"))
+    label_store.write_labels(labels, path, "30dpd_6mob", *whole)
+    label_store.write_labels(other, path, "60dpd_6mob", *whole)
+    rerun = labels.where(F.col("snapshot_date") != F.lit(RERUN_GONE).cast("date"))
+    label_store.write_labels(rerun, path, "30dpd_6mob", *whole)
+    return snapshots.read_all(spark, path).select(*schemas.LABEL_COLUMNS)
+
+
 @query
 def snapshot_calendar(spark, d):
     return calendar.snapshot_calendar(derive(spark, d, "loan_snapshots"), "snapshot_date")
@@ -288,6 +313,16 @@ def loan_label(spark, d):
     return silver.labels(silver.loans(derive(spark, d, "loan_snapshots")), days=31, months_on_book=3)
 
 
+@query
+def arrears_edge(spark, d):
+    """Arrears far beyond any calendar: amounts due are cut to as little as 1e-12 of what they were."""
+    loans = derive(spark, d, "loan_snapshots")
+    small = F.col("due_amt").cast("double") * F.pow(F.lit(10.0), -3 * (F.col("installment_num") % 5))
+    late = silver.loans(loans.withColumn("due_amt", small.cast("float")))
+    label = delinquency.past_due_flag(30).alias("label")
+    return late.select("loan_id", "snapshot_date", "installment_num", "installments_missed", "dpd", label)
+
+
 @query
 def parse_snapshot_date(spark, d):
     return derive(spark, d, "loan_feed").select(
@@ -330,18 +365,14 @@ def join_risk_left(spark, d):
 
 @query
 def join_full_outer(spark, d):
-    # The two sides cover different snapshots, so that each has rows the other lacks.
-    engagement = snapshots.snapshot_between(derive(spark, d, "engagement"), "2023-04-01", "2030-01-01")
-    return features.model_features(engagement, derive(spark, d, "cust_fin_risk"), "both").select(
-        *KEYS, *schemas.MODEL_FEATURES
-    )
+    return _model_features(spark, d, "both")
 
 
 @query
 def training_frame(spark, d):
     labels, engagement, risk = risk_tables(spark, d)
-    filled = fills.fill_history(features.model_features(engagement, risk), schemas.MODEL_FEATURES)
-    return features.training_frame(labels, filled)
+    joined = step_store(spark)("features", features.model_features(engagement, risk))
+    return features.training_frame(labels, fills.fill_history(joined, schemas.MODEL_FEATURES))
 
 
 @query
@@ -366,7 +397,8 @@ def snapshot_counts(spark, d):
 
 @query
 def split_stats(spark, d):
-    return splits.split_stats(training.split_rows(derive(spark, d, "label_store"), TRAIN_DATE))
+    labels = snapshots.read_all(spark, label_table(spark, d))
+    return splits.split_stats(training.split_rows(labels, TRAIN_DATE))
 
 
 @query
@@ -428,8 +460,13 @@ def scaler_transform(spark, d):
 # Fills and splits
 
 
+def feature_rows(spark: SparkSession, d: str) -> DataFrame:
+    path = stored_table(spark, d, "features", lambda: _model_features(spark, d, "engagement"))
+    return snapshots.read_all(spark, path).select(*KEYS, *schemas.MODEL_FEATURES)
+
+
 def _fill(spark: SparkSession, d: str, direction: str) -> DataFrame:
-    return fills.fill_history(_model_features(spark, d, "engagement"), schemas.MODEL_FEATURES, direction)
+    return fills.fill_history(feature_rows(spark, d), schemas.MODEL_FEATURES, direction)
 
 
 @query
@@ -449,8 +486,10 @@ def two_way_fill(spark, d):
 
 @query
 def two_way_fill_by_date(spark, d):
-    """The plan for histories too long for one task, on the same rows."""
-    return fills.fill_by_date(_model_features(spark, d, "engagement"), schemas.MODEL_FEATURES, "both")
+    """Rows that share a date: each row twice, the second time with the columns' values moved on."""
+    rows_ = feature_rows(spark, d)
+    moved = [F.col(b).alias(a) for a, b in zip(schemas.MODEL_FEATURES, MOVED_FEATURES, strict=True)]
+    return fills.fill_history(rows_.unionByName(rows_.select(*KEYS, *moved)), schemas.MODEL_FEATURES, "both")
 
 
 @query
@@ -483,6 +522,15 @@ def monitor_report(spark, d):
     return report.withColumn("predict_psi", nine_places("predict_psi"))
 
 
+@query
+def monitor_flat_month(spark, d):
+    """A month of equal scores: no PSI for the month after it, all others as ever."""
+    predictions = derive(spark, d, "predictions")
+    flat = F.when(F.col("snapshot_date") == F.lit(FLAT_MONTH).cast("date"), 0.5).otherwise(F.col("model_predictions"))
+    report = monitoring.monitor_report(predictions.withColumn("model_predictions", flat), derive(spark, d, "label_store"))
+    return report.select("model_name", "snapshot_date", nine_places("predict_psi").alias("predict_psi"), "psi_status")
+
+
 @query
 def alert_tier(spark, d):
     return monitor_table(spark, d).select("model_name", "snapshot_date", "psi_status", "auc_status")
@@ -494,7 +542,7 @@ def alert_tier(spark, d):
 @query
 def train_gbt(spark, d):
     train = training_rows(spark, d).where(F.col("split") == "train")
-    model = modelling.fit(train, schemas.MODEL_FEATURES, {"n_estimators": 3, "max_depth": 2})
+    model = modelling.fit(train, schemas.MODEL_FEATURES, {"n_estimators": 25, "max_depth": 3})
     return modelling.score(model, train, MODEL)
 
 
@@ -553,7 +601,33 @@ def feature_store_pipeline(spark, d):
 
 @query
 def training_set_pipeline(spark, d):
-    return training.training_set(*risk_tables(spark, d), TRAIN_DATE)
+    return training.training_set(*risk_tables(spark, d), TRAIN_DATE, store=step_store(spark))
+
+
+@query
+def clickstream_training_set(spark, d):
+    clicks = silver.clickstream(derive(spark, d, "clickstream_raw"))
+    return training.clickstream_training_set(derive(spark, d, "label_store"), clicks, TRAIN_DATE, step_store(spark))
+
+
+@query
+def score_backfill_keys(spark, d):
+    """Keys of all scores, and whether each lies in range: what SQL can say of a model's output."""
+    inside = F.col("model_predictions").between(0, 1).alias("in_range")
+    return score_backfill(spark, d).select(*KEYS, "model_name", inside)
+
+
+@query
+def split_auc_counts(spark, d):
+    """Rows and labels of each split of the trained model's report."""
+    return trained(spark, d).report.select("split", "n_rows", "n_bad", "label_mean")
+
+
+@query
+def feature_importance_sum(spark, d):
+    """Number of features in the importances, and their sum, which is one."""
+    weights = feature_importance(spark, d)
+    return weights.agg(F.count(F.lit(1)).alias("n_features"), F.round(F.sum("importance"), 6).alias("total"))
 
 
 @query
@@ -562,7 +636,7 @@ def train_pipeline(spark, d):
     rows_path = new_table_path(spark, "rows")
     training_set_pipeline(spark, d).write.parquet(rows_path)
     rows_ = spark.read.parquet(rows_path)
-    return training.train(rows_, schemas.MODEL_FEATURES, MODEL, TRAIN_DATE, path, CHECK_GRID, 1).report
+    return training.train(rows_, schemas.MODEL_FEATURES, MODEL, TRAIN_DATE, path, draws=PIPELINE_DRAWS).report
 
 
 @query

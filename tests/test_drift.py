@@ -57,6 +57,17 @@ def test_constant_sample_is_an_error(spark):
         drift.psi(df, df, ["g"], "v").collect()
 
 
+def test_one_constant_month_leaves_the_others(spark):
+    days = {"2023-01-01": samples(1), "2023-02-01": [0.5] * 20, "2023-03-01": samples(3), "2023-04-01": samples(4)}
+    rows = [("m", dt.date.fromisoformat(day), v) for day, values in days.items() for v in values]
+    df = spark.createDataFrame(rows, "model_name string, snapshot_date date, model_predictions double")
+    got = {str(r.snapshot_date): r.psi for r in drift.psi_by_snapshot(df, ["model_name"]).collect()}
+    assert set(got) == {"2023-02-01", "2023-03-01", "2023-04-01"} and got["2023-03-01"] is None
+    assert got["2023-04-01"] == pytest.approx(brute_psi(days["2023-03-01"], days["2023-04-01"]), abs=1e-9)
+    with pytest.raises(Exception, match="too few distinct values"):
+        drift.psi_by_snapshot(df, ["model_name"], strict=True).collect()
+
+
 def test_group_without_counterpart_is_left_out(spark):
     assert drift.psi(frame(spark, samples(1)), frame(spark, samples(1), "other"), ["g"], "v").count() == 0
 

@@ -24,14 +24,11 @@ def result(df):
 
 
 @pytest.mark.parametrize("direction", ["both", "forward", "backward"])
-def test_both_plans_equal_brute_force(spark, direction):
+def test_equals_brute_force(spark, direction):
     rows = history(3)
     expected = brute(rows, direction)
     df = frame(spark, rows)
-    assert result(fills.fill_by_window(df, COLUMNS, direction)) == expected
-    assert result(fills.fill_by_date(df, COLUMNS, direction)) == expected
     assert result(fills.fill_history(df, COLUMNS, direction)) == expected
-    assert result(fills.fill_history(df, COLUMNS, direction, longest_history=1)) == expected
 
 
 def brute(rows, direction):
@@ -63,11 +60,24 @@ def test_fill_is_idempotent_and_keeps_values(spark):
 
 def test_rows_that_share_a_date_and_null_keys(spark):
     rows = [("h", 1, None, 1.0), ("h", 1, 4.0, None), ("h", 2, None, None), (None, 1, 7.0, None), (None, 2, None, 3.0)]
-    got = sorted(fills.fill_by_date(frame(spark, rows), COLUMNS, "both").collect(), key=str)
+    got = sorted(fills.fill_history(frame(spark, rows), COLUMNS, "both").collect(), key=str)
     assert len(got) == 5
     assert all((r.a, r.b) == ((4.0, 1.0) if r.Customer_ID else (7.0, 3.0)) for r in got)
 
 
+def test_rows_that_share_a_date_in_any_order(spark):
+    rows = [("h", 1, None, None), ("h", 1, 4.0, None), ("h", 2, 1.0, None), ("h", 2, 9.0, None), ("h", 3, None, None)]
+    for own in (rows, rows[::-1]):
+        got = sorted((r.snapshot_date, r.a) for r in fills.fill_history(frame(spark, own), COLUMNS, "forward").collect())
+        assert got == [(1, 4.0), (1, 4.0), (2, 1.0), (2, 9.0), (3, 9.0)]
+
+
+def test_fill_within_a_date(spark):
+    rows = [("h", 1, None, 2.0), ("h", 1, 4.0, None), ("h", 2, None, None), ("g", 1, None, 1.0)]
+    got = sorted(str((r.Customer_ID, r.snapshot_date, r.a, r.b)) for r in fills.fill_within_date(frame(spark, rows), COLUMNS).collect())
+    assert got == ["('g', 1, None, 1.0)", "('h', 1, 4.0, 2.0)", "('h', 1, 4.0, 2.0)", "('h', 2, None, None)"]
+
+
 def test_edges(spark):
     rows = [("all null", 1, None, None), ("all null", 2, None, None), ("single", 1, 5.0, None), ("head", 1, None, 0.0), ("head", 2, 3.0, None)]
     got = result(fills.fill_history(frame(spark, rows), COLUMNS))

@@ -14,7 +14,8 @@ from vintagelens.sources.snapshots import read_all, read_listed, read_one, write
 # Queries that train or store something before they return.
 JOBS = {
     "train_gbt", "random_search", "split_auc", "feature_importance", "model_registry",
-    "score_snapshot", "score_backfill", "train_pipeline", "score_pipeline",
+    "score_snapshot", "score_backfill", "train_pipeline", "score_pipeline", "score_backfill_keys", "split_auc_counts",
+    "feature_importance_sum",
 }
 
 
@@ -29,10 +30,15 @@ def test_no_python_rows_and_no_unkeyed_joins(spark, sf_dir, name):
         assert node not in text
 
 
-def test_fill_shuffles_once(spark, sf_dir, tmp_path):
+def test_fill_runs_no_job_before_it_is_asked_to(spark, sf_dir, tmp_path):
     write_snapshots(derive(spark, sf_dir, "cust_fin_risk"), str(tmp_path))
-    filled = fills.fill_history(read_all(spark, str(tmp_path)), schemas.RISK_FEATURES)
-    assert plan(filled).count("Exchange hashpartitioning") == 1
+    rows = read_all(spark, str(tmp_path))
+    spark.sparkContext.setJobGroup("fill", "fill")
+    text = plan(fills.fill_history(rows, schemas.RISK_FEATURES))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("fill")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # The window runs over rows that a grouping by customer and date has reduced.
+    assert "Window" in text and text.index("Window") < text.index("HashAggregate(keys=[Customer_ID")
 
 
 def test_label_store_does_not_shuffle_its_ledger(spark, sf_dir, tmp_path):

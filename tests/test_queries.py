@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import connect, difference
-
+from checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,7 @@ def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, sf_dir, name):
     found, _ = difference(spark, duck, name, sf_dir)
     assert not found

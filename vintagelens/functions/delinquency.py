@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: beyond this many months the date type itself overflows.
-LONGEST_ARREARS_MONTHS = 60_000_000
+# Fixed value: some months more, and the date type overflows. Longer arrears count as this long.
+LONGEST_ARREARS_MONTHS = 70_000_000
+LARGEST_INT = 2**31 - 1
 
 
 def installments_missed(overdue: str = "overdue_amt", due: str = "due_amt") -> Column:
-    """Overdue amount in instalments, rounded up; NULL where nothing is due."""
-    return F.ceil(F.try_divide(F.col(overdue), F.col(due))).try_cast("int")
+    """Overdue amount in instalments, rounded up; NULL where nothing is due.
+
+    A number beyond the type's range is its largest or smallest value.
+    """
+    number = F.ceil(F.try_divide(F.col(overdue).cast("double"), F.col(due).cast("double")))
+    # The least of a NULL and a number would be the number.
+    within = F.greatest(F.least(number, F.lit(LARGEST_INT)), F.lit(-LARGEST_INT))
+    return F.when(number.isNotNull(), within).cast("int")
 
 
 def first_missed_date(missed: str = "installments_missed", snapshot: str = "snapshot_date") -> Column:
-    n = F.col(missed)
-    in_range = (n > 0) & (n <= LONGEST_ARREARS_MONTHS)
-    return F.when(in_range, F.add_months(F.col(snapshot), -F.when(in_range, n)))
+    months = F.least(F.col(missed), F.lit(LONGEST_ARREARS_MONTHS))
+    return F.when(F.col(missed) > 0, F.add_months(F.col(snapshot), -months))
 
 
 def days_past_due(

@@ -19,7 +19,8 @@ def gini(auc: Column | str) -> Column:
 
 def psi_status(psi: Column | str) -> Column:
     c = F.col(psi) if isinstance(psi, str) else psi
-    return F.when(c > PSI_CRITICAL, "CRITICAL").when(c > PSI_WARNING, "WARNING").when(c.isNotNull(), "STABLE")
+    known = F.when(c > PSI_CRITICAL, "CRITICAL").when(c > PSI_WARNING, "WARNING").when(c.isNotNull(), "STABLE")
+    return known.otherwise("NO BINS")
 
 
 def auc_status(auc: Column | str) -> Column:

@@ -1,8 +1,8 @@
 """Distribution drift: breakpoints, histograms, population stability index and density.
 
-Tables of breakpoints and of density settings are broadcast to the rows they describe.
-They hold one row per group, a model and snapshot, with at most ``buckets + 1`` numbers:
-their size follows the calendar, never the number of rows.
+Tables of breakpoints and of density settings hold one row per group, a model and snapshot,
+with at most ``buckets + 1`` numbers. They are joined without hints: the groups are the
+caller's, and Spark broadcasts them where their measured size allows it.
 """
 
 from __future__ import annotations
@@ -25,15 +25,18 @@ GRID_MARGIN = 3
 KERNEL_REACH = 39
 
 
-def breakpoints(df: DataFrame, groups: list[str], value: str, buckets: int = BUCKETS) -> DataFrame:
+def breakpoints(
+    df: DataFrame, groups: list[str], value: str, buckets: int = BUCKETS, strict: bool = True
+) -> DataFrame:
     """Distinct quantile edges per group, ascending, as the array ``edges``.
 
-    Fewer than two bins is an error, as there is nothing to compare. Rows without a group
-    are left out.
+    Fewer than two bins leave nothing to compare: an error, or with ``strict=False`` NULL for
+    that group. Rows without a group are left out.
     """
     probabilities = [i / buckets for i in range(buckets + 1)]
     edges = F.array_distinct("percentiles")
-    too_few = F.raise_error(F.lit("too few distinct values to form bins")).cast("array<double>")
+    error = F.raise_error(F.lit("too few distinct values to form bins"))
+    too_few = (error if strict else F.lit(None)).cast("array<double>")
     checked = F.when(F.size(edges) > 2, edges).otherwise(too_few)
     # Stated here, because the optimizer would push it into one of two uses of the cell counts
     # and thereby keep them from sharing one shuffle.
@@ -54,7 +57,7 @@ def histogram(
     lowest, highest = F.get("edges", F.lit(0)), F.element_at("edges", -1)
     edges_below = F.expr(" + ".join(f"if(get(edges, {i}) < double(`{value}`), 1, 0)" for i in range(buckets + 1)))
     rows = df.where(F.col(value).isNotNull())
-    binned = rows.join(F.broadcast(edges), groups, "inner") if groups else rows.withColumn("edges", edges.scalar())
+    binned = rows.join(edges, groups, "inner") if groups else rows.withColumn("edges", edges.scalar())
     return (
         binned.where((x >= lowest) & (x <= highest))
         .groupBy(*groups, *tags, F.greatest(edges_below, F.lit(1)).alias("bin"))
@@ -116,15 +119,19 @@ def psi_by_snapshot(
     buckets: int = BUCKETS,
     floor: float | None = EMPTY_SHARE,
     snapshot: str = "snapshot_date",
+    strict: bool = False,
 ) -> DataFrame:
     """PSI of every snapshot against the snapshot one month before it.
 
+    Where that snapshot has too few distinct values to form bins, the PSI is NULL, or with
+    ``strict=True`` the job fails.
+
     Each row is counted twice in one pass: on the edges of its own snapshot, as expected
     value of the month after, and on those of the month before, as actual value. Only
     edges and counts move to the following month, not the rows.
     """
     keys = [*groups, snapshot]
-    own = breakpoints(predictions, keys, value, buckets)
+    own = breakpoints(predictions, keys, value, buckets, strict)
     # One expansion rather than a union of both uses: a union would compute the edges twice.
     in_own = F.array(F.struct(F.lit("expected").alias("side"), F.col(snapshot).alias("day")))
     in_next = F.transform(_one_month_after(snapshot), lambda d: F.struct(F.lit("actual").alias("side"), d.alias("day")))
@@ -133,7 +140,13 @@ def psi_by_snapshot(
     )
     counts = histogram(predictions, edges, keys, value, buckets, tags=("side",))
     compared_in = F.when(F.col("side") == "expected", _one_month_after(snapshot)).otherwise(F.array(snapshot))
-    return stability_index(counts.withColumn(snapshot, F.explode(compared_in)), keys, floor)
+    index = stability_index(counts.withColumn(snapshot, F.explode(compared_in)), keys, floor)
+    if strict:
+        return index
+    # Snapshots that follow one without bins: they have no index, but they are not left out.
+    blank = own.where(F.col("edges").isNull()).select(*groups, F.explode(_one_month_after(snapshot)).alias(snapshot))
+    unknown = own.select(*keys).join(blank, keys, "left_semi").withColumn("psi", F.lit(None).cast("double"))
+    return index.unionByName(unknown)
 
 
 def score_density(df: DataFrame, groups: list[str], value: str, points: int = GRID_POINTS) -> DataFrame:
@@ -160,7 +173,7 @@ def score_density(df: DataFrame, groups: list[str], value: str, points: int = GR
     last = F.least(F.lit(points - 1), F.floor((F.col("_x") + reach - F.col("_start")) / F.col("_step")).cast("int"))
     z = (F.col("_start") + F.col("point") * F.col("_step") - F.col("_x")) / F.col("_h")
     sums = (
-        cells.join(F.broadcast(settings), groups, "inner")
+        cells.join(settings, groups, "inner")
         .withColumn("point", F.explode(F.sequence(first, last)))
         .groupBy(*groups, "point")
         .agg(F.sum(F.col("_w") * F.exp(-0.5 * z * z)).alias("_sum"))

@@ -1,9 +1,9 @@
 """Forward and backward fill of a customer's history.
 
-The plain plan is a window per customer, which costs one shuffle and needs the history of
-one customer to fit a task. Whether it does is measured first. Otherwise the second plan
-runs the window over one row per customer and date, whose number per customer is bounded
-by the calendar, and joins the result back, where AQE splits the hot customer.
+One plan for every size: the rows are reduced to one per customer and date, the window runs
+over these, and the result is joined back to the rows. A window partition then has at most one
+row per date of the calendar, and the two joins and groupings are by customer and date, whose
+hot values AQE splits. The input is read twice, so it should be a stored table.
 """
 
 from __future__ import annotations
@@ -11,9 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Histories longer than this leave the plain window plan.
-LONGEST_HISTORY = 1_000_000
-
 
 def fill_history(
     df: DataFrame,
@@ -21,41 +18,31 @@ def fill_history(
     direction: str = "both",
     key: str = "Customer_ID",
     order: str = "snapshot_date",
-    longest_history: int = LONGEST_HISTORY,
 ) -> DataFrame:
     """Fill NULLs from the customer's nearest earlier value, else from the nearest later one.
 
-    ``direction`` is ``both``, ``forward`` or ``backward``; ``forward`` uses no future
-    values. Values that are present, 0 included, never change.
+    ``direction`` is ``both``, ``forward`` or ``backward``; ``forward`` uses no future values.
+    Values that are present, 0 included, never change. Rows that share a customer and a date
+    share the date's highest value as the one they are filled from, so the order of the rows
+    does not matter. Rows without a customer are one history.
     """
-    if _longest(df, key) <= longest_history:
-        return fill_by_window(df, columns, direction, key, order)
-    return fill_by_date(df, columns, direction, key, order)
+    dates = df.groupBy(key, order).agg(*[F.max(c).alias(c) for c in columns])
+    carried = dates.select(key, order, *[_nearest(c, direction, key, order).alias(c) for c in columns])
+    return _filled_from(df, carried, columns, key, order)
 
 
-def fill_by_window(
-    df: DataFrame, columns: list[str], direction: str, key: str = "Customer_ID", order: str = "snapshot_date"
+def fill_within_date(
+    df: DataFrame, columns: list[str], key: str = "Customer_ID", order: str = "snapshot_date"
 ) -> DataFrame:
-    """One window over the rows of each customer."""
-    filled = {c: _nearest(c, direction, key, order) for c in columns}
-    return df.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
-
+    """Fill NULLs from rows of the same customer and date only: no other snapshot is used."""
+    dates = df.groupBy(key, order).agg(*[F.max(c).alias(c) for c in columns])
+    return _filled_from(df, dates, columns, key, order)
 
-def fill_by_date(
-    df: DataFrame, columns: list[str], direction: str, key: str = "Customer_ID", order: str = "snapshot_date"
-) -> DataFrame:
-    """Window over one row per customer and date, then a join back to the rows.
 
-    Rows that share a date share the date's highest value as the one they may be filled with.
-    """
-    dates = df.groupBy(key, order).agg(*[F.max(c).alias(c) for c in columns])
-    carried = dates.select(
-        F.col(key).alias("_key"),
-        F.col(order).alias("_order"),
-        *[_nearest(c, direction, key, order).alias(f"_{c}") for c in columns],
-    )
+def _filled_from(df: DataFrame, dates: DataFrame, columns: list[str], key: str, order: str) -> DataFrame:
+    values = dates.select(F.col(key).alias("_key"), F.col(order).alias("_order"), *[F.col(c).alias(f"_{c}") for c in columns])
     same = F.col(key).eqNullSafe(F.col("_key")) & F.col(order).eqNullSafe(F.col("_order"))
-    joined = df.join(carried, same, "left")
+    joined = df.join(values, same, "left")
     return joined.select(*[F.coalesce(c, f"_{c}").alias(c) if c in columns else F.col(c) for c in df.columns])
 
 
@@ -72,9 +59,3 @@ def _nearest(column: str, direction: str, key: str, order: str) -> Column:
 
     earlier, later = latest(F.asc(order)), latest(F.desc(order))
     return {"forward": earlier, "backward": later, "both": F.coalesce(earlier, later)}[direction]
-
-
-def _longest(df: DataFrame, key: str) -> int:
-    """Rows of the customer with the longest history; reads the key column only."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n").alias("n")).first().n or 0

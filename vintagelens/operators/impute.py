@@ -24,10 +24,11 @@ def snapshot_median(df: DataFrame, value: str, valid: Column | None = None, by:
 def with_median(df: DataFrame, value: str, valid: Column | None = None, by: str = "snapshot_date") -> DataFrame:
     """``df`` plus the ``median`` of its snapshot, NULL where the snapshot has no valid value.
 
-    The broadcast side has one row per calendar date, whatever the size of ``df``.
+    The medians have one row per value of ``by``; Spark broadcasts them where their measured
+    size allows it.
     """
     medians = snapshot_median(df, value, valid, by).select(by, "median")
-    return df.join(F.broadcast(medians), by, "left")
+    return df.join(medians, by, "left")
 
 
 def impute_age(df: DataFrame, lowest: int = 18, highest: int = 100) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.storagelevel import StorageLevel
 from vintagelens.functions.scores import gini
 from vintagelens.operators.ranking import auc
 from vintagelens.operators.scaling import scaler_row
-from vintagelens.operators.splits import SEED, split_stats
+from vintagelens.operators.splits import SEED, split_stats, stratified_folds
 from vintagelens.session import shared_dir
 
 # The search spaces of the laboratory and of the scheduled trainer.
@@ -42,6 +42,8 @@ SCHEDULED_GRID = {**LAB_GRID, "n_estimators": [25, 50, 75], "max_depth": [2, 3,
 DRAWS = 100
 FOLDS = 3
 SEARCH_SEED = 42
+# Fits that run at the same time.
+PARALLELISM = 2
 
 # How the names of the grid map to parameters of the classifier.
 PARAMETER_NAMES = {
@@ -115,20 +117,21 @@ def random_search(
     folds: int = FOLDS,
     metric: str = "auc",
     label: str = "label",
-    parallelism: int = 2,
+    parallelism: int = PARALLELISM,
 ) -> SearchResult:
     """Cross-validated random search, then a refit of the best point on all of ``train``.
 
     ``metric`` is ``auc`` (on probabilities) or ``auc_hard`` (on predicted classes, which
-    is balanced accuracy). Folds come from a hash of the key, so they do not move between runs.
+    is balanced accuracy). Folds hold even counts of each label; they follow a hash of the key
+    and do not move between runs. The metric uses every distinct score.
     """
     prepared = preparation(train, features)
-    fold = F.pmod(F.xxhash64(*keys, F.lit(SEARCH_SEED)), F.lit(folds)).cast("int").alias("fold")
-    vectors = prepared.transform(train).select(F.col(label).cast("double").alias(label), "features", fold)
+    folded = stratified_folds(train, label, keys, folds, SEARCH_SEED)
+    vectors = prepared.transform(folded).select(F.col(label).cast("double").alias(label), "features", "fold")
     points = draw_params(grid, draws)
     gbt = classifier(label=label)
     raw = {"auc": "rawPrediction", "auc_hard": "prediction"}[metric]
-    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC")
+    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC", numBins=0)
     shared_dir(train.sparkSession)
     search = CrossValidator(
         estimator=gbt,

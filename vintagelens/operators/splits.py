@@ -63,44 +63,68 @@ def stratified_split(
     """Tag rows so that each label has the exact number of training rows.
 
     Of a label's ``n`` rows the ``n - ceil(n * (1 - share))`` with the lowest hashes train.
-    Counting hash slices finds the slice with the cut, and only the hashes of that slice are
-    ranked. The cut, one hash per label, is then broadcast; its size is the number of labels.
     Rows with the same key stay on the same side. The keys are read three times, so ``df``
     should be a stored table.
     """
+    test_rows = F.ceil((F.col("_total") * F.lit(1 - train_share)).cast("decimal(28,6)"))
+    hashed = _with_cuts(df, label, keys, F.array(F.col("_total") - test_rows), seed)
+    split = F.when(F.col("_hash") <= F.col("_cuts")[0], "train").otherwise("test")
+    return hashed.withColumn("split", split).select(*df.columns, "split")
+
+
+def stratified_folds(df: DataFrame, label: str, keys: list[str], folds: int, seed: int = SEED) -> DataFrame:
+    """Number rows 0 to ``folds - 1`` in the column ``fold``, with even counts of each label.
+
+    The counts of a label differ by one row at most between folds, if keys are unique; rows
+    with the same key share a fold.
+    """
+    ends = F.array(*[F.floor(F.col("_total") * i / folds) for i in range(1, folds)])
+    hashed = _with_cuts(df, label, keys, ends, seed)
+    below = F.filter("_cuts", lambda cut: cut < F.col("_hash"))
+    return hashed.withColumn("fold", F.size(below)).select(*df.columns, "fold")
+
+
+def _with_cuts(df: DataFrame, label: str, keys: list[str], ranks: Column, seed: int) -> DataFrame:
+    """Rows with ``_hash`` and ``_cuts``: the hashes at the wanted ranks of the row's label.
+
+    ``ranks`` is an array of ascending row counts, stated by the label's ``_total``; a rank of
+    0 has a cut below all hashes. Counting hash slices finds the slices with the cuts, and only
+    the hashes of those slices are ranked, so no label has to fit a task.
+    """
     hashed = df.withColumn("_hash", row_hash(keys, seed)).withColumn("_slice", F.col("_hash").substr(1, SLICE_DIGITS))
     in_label = Window.partitionBy(label)
     slices = hashed.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     ranked = slices.select(
-        label,
+        F.col(label).alias("_label"),
         "_slice",
         "_n",
         F.sum("_n").over(in_label.orderBy("_slice")).alias("_upto"),
         F.sum("_n").over(in_label).alias("_total"),
     )
-    test_rows = F.ceil((F.col("_total") * F.lit(1 - train_share)).cast("decimal(28,6)"))
     located = (
-        ranked.withColumn("_train", F.col("_total") - test_rows)
-        .where((F.col("_train") > F.col("_upto") - F.col("_n")) & (F.col("_train") <= F.col("_upto")))
-        .select(label, "_slice", (F.col("_train") - F.col("_upto") + F.col("_n")).alias("_rank"))
+        ranked.select("*", F.posexplode(ranks).alias("_i", "_at"))
+        .where((F.col("_at") > F.col("_upto") - F.col("_n")) & (F.col("_at") <= F.col("_upto")))
+        .select("_label", "_slice", "_i", (F.col("_at") - F.col("_upto") + F.col("_n")).alias("_rank"))
     )
     upto = F.sum("_n").over(
-        Window.partitionBy(label, "_rank").orderBy("_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_label", "_slice", "_i").orderBy("_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    cuts = (
-        hashed.select(label, "_slice", "_hash")
-        .join(F.broadcast(located), [label, "_slice"], "inner")
-        .groupBy(label, "_rank", "_hash")
+    found = (
+        hashed.groupBy(F.col(label).alias("_label"), "_slice", "_hash")
         .agg(F.count(F.lit(1)).alias("_n"))
+        .join(located, ["_label", "_slice"], "inner")
         .withColumn("_upto", upto)
         .where(F.col("_upto") >= F.col("_rank"))
-        .groupBy(label)
+        .groupBy("_label", "_i")
         .agg(F.min("_hash").alias("_cut"))
     )
-    split = F.when(F.col("_hash") <= F.col("_cut"), "train").otherwise("test")
-    return (
-        hashed.join(F.broadcast(cuts), label, "left").withColumn("split", split).select(*df.columns, "split")
+    # A few cuts a label; a rank of 0 found none and is below every hash.
+    listed = found.groupBy("_label").agg(F.map_from_entries(F.collect_list(F.struct("_i", "_cut"))).alias("_found"))
+    wanted = ranked.select("_label", F.transform(ranks, lambda _, i: i).alias("_places")).distinct()
+    cuts = wanted.join(listed, "_label", "left").select(
+        "_label", F.transform("_places", lambda i: F.coalesce(F.col("_found")[i], F.lit(""))).alias("_cuts")
     )
+    return hashed.join(cuts, F.col(label) == F.col("_label"), "left")
 
 
 def split_stats(df: DataFrame, label: str = "label", split: str = "split") -> DataFrame:

@@ -22,9 +22,9 @@ def feature_store(attributes: DataFrame, financials: DataFrame, clickstream: Dat
 def run(spark: SparkSession, feeds: dict[str, str], mart: Datamart, start: str, end: str) -> DataFrame:
     """Bronze, silver and gold of a period; ``feeds`` names the CSV path of each feed."""
     for feed in FEATURE_FEEDS:
-        write_snapshots(bronze(read_feed(spark, feeds[feed]), start, end), mart.feature_bronze(feed))
+        write_snapshots(bronze(read_feed(spark, feeds[feed]), start, end), mart.feature_bronze(feed), period=(start, end))
         raw = snapshot_between(read_all(spark, mart.feature_bronze(feed)), start, end)
-        write_snapshots(SILVER[feed](raw), mart.feature_silver(feed), rebalance=False)
+        write_snapshots(SILVER[feed](raw), mart.feature_silver(feed), rebalance=False, period=(start, end))
     cleaned = [snapshot_between(read_all(spark, mart.feature_silver(f)), start, end) for f in FEATURE_FEEDS]
-    write_snapshots(features.feature_store(*cleaned), mart.feature_store)
+    write_snapshots(features.feature_store(*cleaned), mart.feature_store, period=(start, end))
     return snapshot_between(read_all(spark, mart.feature_store), start, end)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vintagelens.functions.delinquency import label_definition
 from vintagelens.operators import silver
 from vintagelens.plans.datamart import Datamart
 from vintagelens.sources.feeds import bronze, read_feed
@@ -16,7 +18,12 @@ def label_store(ledger: DataFrame, days: int = 30, months_on_book: int = 6) -> D
 
 
 def ingest_loans(spark: SparkSession, feed: str, mart: Datamart, start: str, end: str) -> None:
-    write_snapshots(bronze(read_feed(spark, feed), start, end), mart.loan_bronze)
+    write_snapshots(bronze(read_feed(spark, feed), start, end), mart.loan_bronze, period=(start, end))
+
+
+def write_labels(labels: DataFrame, path: str, definition: str, start: str, end: str) -> None:
+    """Replace the labels of one definition in the period; other definitions stay beside them."""
+    write_snapshots(labels, path, ["label_def", "snapshot_date"], period=(start, end), within={"label_def": definition})
 
 
 def run(
@@ -28,7 +35,9 @@ def run(
     """
     ingest_loans(spark, feed, mart, start, end)
     ledger = snapshot_between(read_all(spark, mart.loan_bronze), start, end)
-    write_snapshots(silver.loans(ledger), mart.loan_silver, rebalance=False)
+    write_snapshots(silver.loans(ledger), mart.loan_silver, rebalance=False, period=(start, end))
     loans = snapshot_between(read_all(spark, mart.loan_silver), start, end)
-    write_snapshots(silver.labels(loans, days, months_on_book), mart.label_store)
-    return snapshot_between(read_all(spark, mart.label_store), start, end)
+    definition = label_definition(days, months_on_book)
+    write_labels(silver.labels(loans, days, months_on_book), mart.label_store, definition, start, end)
+    stored = read_all(spark, mart.label_store).where(F.col("label_def") == definition)
+    return snapshot_between(stored, start, end)

@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vintagelens import schemas
 from vintagelens.operators.monitoring import monitor_report
 from vintagelens.plans.datamart import Datamart
 from vintagelens.sources.snapshots import read_all, snapshot_between, write_snapshots
 
 
-def run(spark: SparkSession, mart: Datamart, model_name: str, start: str, end: str | None = None) -> DataFrame:
+def run(
+    spark: SparkSession,
+    mart: Datamart,
+    model_name: str,
+    start: str,
+    end: str | None = None,
+    label_def: str = schemas.LABEL_DEFINITION,
+) -> DataFrame:
     """Report one snapshot, or every snapshot of a period, and add it to the history.
 
     Returns the whole history of the model in date order.
@@ -21,8 +29,9 @@ def run(spark: SparkSession, mart: Datamart, model_name: str, start: str, end: s
     scored = read_all(spark, mart.predictions).where(
         (F.col("model_name") == model_name) & day.between(month_before, F.lit(end).cast("date"))
     )
-    labels = snapshot_between(read_all(spark, mart.label_store), start, end)
+    labels = snapshot_between(read_all(spark, mart.label_store), start, end).where(F.col("label_def") == label_def)
     report = snapshot_between(monitor_report(scored, labels), start, end)
-    write_snapshots(report, mart.monitor, ["model_name", "snapshot_date"])
+    columns, period = ["model_name", "snapshot_date"], (start, end)
+    write_snapshots(report, mart.monitor, columns, period=period, within={"model_name": model_name})
     history = read_all(spark, mart.monitor)
     return history.where(F.col("model_name") == model_name).orderBy("snapshot_date")

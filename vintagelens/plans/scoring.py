@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from vintagelens import schemas
 from vintagelens.operators import modelling
 from vintagelens.operators.features import model_features
+from vintagelens.operators.fills import fill_within_date
 from vintagelens.plans.datamart import Datamart
 from vintagelens.sources.snapshots import read_all, snapshot_between, write_snapshots
 
@@ -18,15 +20,19 @@ def score_snapshots(
 ) -> DataFrame:
     """Scores of a closed period, each snapshot by its own features only.
 
-    A fill inside one snapshot has nothing to fill from, as its keys are unique, so the
-    period needs no window and no shuffle beyond the join.
+    Rows that share a customer and a snapshot fill each other's gaps; nothing is taken from
+    another snapshot.
     """
     features = model_features(snapshot_between(engagement, start, end), snapshot_between(risk, start, end), "risk")
-    return modelling.score(model, features, model_name)
+    return modelling.score(model, fill_within_date(features, schemas.MODEL_FEATURES), model_name)
 
 
-def write_predictions(predictions: DataFrame, path: str) -> None:
-    write_snapshots(predictions, path, PREDICTION_PARTITIONS)
+def write_predictions(
+    predictions: DataFrame, path: str, model_name: str | None = None, period: tuple[str, str] | None = None
+) -> None:
+    """Replace the scores of the period, those of snapshots that have none any more included."""
+    within = {"model_name": model_name} if model_name else None
+    write_snapshots(predictions, path, PREDICTION_PARTITIONS, period=period, within=within)
 
 
 def run(
@@ -41,6 +47,6 @@ def run(
     else:
         engagement, risk = read_all(spark, mart.engagement), read_all(spark, mart.risk)
         predictions = score_snapshots(model, model_name, engagement, risk, start, end)
-    write_predictions(predictions, mart.predictions)
+    write_predictions(predictions, mart.predictions, model_name, (start, end))
     stored = read_all(spark, mart.predictions)
     return snapshot_between(stored.where(stored.model_name == model_name), start, end)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -13,12 +14,13 @@ from vintagelens.operators import modelling
 from vintagelens.operators.features import model_features, training_frame
 from vintagelens.operators.fills import fill_history
 from vintagelens.operators.rows import columns_with_prefix, drop_incomplete, is_usable
-from vintagelens.operators.splits import hash_split, split_windows, time_split
+from vintagelens.operators.splits import split_windows, stratified_split, time_split
 from vintagelens.plans.datamart import Datamart
-from vintagelens.sources.calendar import month_range
-from vintagelens.sources.snapshots import read_all, read_listed, snapshot_between, write_snapshots
+from vintagelens.sources.snapshots import read_all, snapshot_between, write_snapshots
+
+# Writes a table under a name and reads it back.
+Store = Callable[[str, DataFrame], DataFrame]
 
-FIRST_SNAPSHOT = "2023-01-01"
 SPLIT_KEYS = ["Customer_ID", "snapshot_date", "loan_id"]
 
 
@@ -30,28 +32,47 @@ class Trained:
     trials: DataFrame
 
 
-def filled_training_frame(labels: DataFrame, engagement: DataFrame, risk: DataFrame, direction: str = "both") -> DataFrame:
-    """Complete labelled rows with engagement and risk features, gaps filled from the history."""
-    features = fill_history(model_features(engagement, risk, "engagement"), schemas.MODEL_FEATURES, direction)
+def filled_training_frame(
+    labels: DataFrame, engagement: DataFrame, risk: DataFrame, direction: str = "both", store: Store | None = None
+) -> DataFrame:
+    """Complete labelled rows with engagement and risk features, gaps filled from the history.
+
+    ``store`` writes a table and reads it back: the fill reads the joined features twice.
+    """
+    joined = model_features(engagement, risk, "engagement")
+    features = fill_history(store("features", joined) if store else joined, schemas.MODEL_FEATURES, direction)
     return drop_incomplete(training_frame(labels, features))
 
 
 def split_rows(frame: DataFrame, train_date: str) -> DataFrame:
-    """Rows of the two periods with ``split`` as train, test or oot."""
-    tagged = hash_split(time_split(frame, train_date), SPLIT_KEYS)
-    in_period = F.when(F.col("period") == "oot", "oot").otherwise(F.col("split"))
-    return tagged.withColumn("split", in_period).drop("period")
+    """Rows of the two periods with ``split`` as train, test or oot.
+
+    Train and test have the exact share of each label. ``frame`` should be a stored table.
+    """
+    tagged = time_split(frame, train_date)
+    development = tagged.where(F.col("period") == "train_test").drop("period")
+    later = tagged.where(F.col("period") == "oot").drop("period").withColumn("split", F.lit("oot"))
+    return stratified_split(development, "label", SPLIT_KEYS).unionByName(later)
 
 
 def training_set(
-    labels: DataFrame, engagement: DataFrame, risk: DataFrame, train_date: str, direction: str = "both"
+    labels: DataFrame,
+    engagement: DataFrame,
+    risk: DataFrame,
+    train_date: str,
+    direction: str = "both",
+    store: Store | None = None,
 ) -> DataFrame:
-    return split_rows(filled_training_frame(labels, engagement, risk, direction), train_date)
+    frame = filled_training_frame(labels, engagement, risk, direction, store)
+    return split_rows(store("frame", frame) if store else frame, train_date)
 
 
-def clickstream_training_set(labels: DataFrame, clickstream: DataFrame, train_date: str) -> DataFrame:
+def clickstream_training_set(
+    labels: DataFrame, clickstream: DataFrame, train_date: str, store: Store | None = None
+) -> DataFrame:
     """The laboratory's variant: labels with the clickstream family, missing features kept."""
-    return split_rows(training_frame(labels, clickstream), train_date)
+    frame = training_frame(labels, clickstream)
+    return split_rows(store("frame", frame) if store else frame, train_date)
 
 
 def window_dates(train_date: str) -> dict[str, str]:
@@ -70,11 +91,12 @@ def train(
     grid: dict[str, list] = modelling.SCHEDULED_GRID,
     draws: int = modelling.DRAWS,
     metric: str = "auc",
+    parallelism: int = modelling.PARALLELISM,
 ) -> Trained:
     """Search, report and save. ``rows`` should be a stored table: it is read several times."""
     spark = rows.sparkSession
     found = modelling.random_search(
-        rows.where(F.col("split") == "train"), features, SPLIT_KEYS, grid, draws, metric=metric
+        rows.where(F.col("split") == "train"), features, SPLIT_KEYS, grid, draws, metric=metric, parallelism=parallelism
     )
     modelling.save_model(found.model, path)
     report = modelling.split_report(found.model, rows)
@@ -92,34 +114,49 @@ def run(
     draws: int = modelling.DRAWS,
     metric: str = "auc",
     direction: str = "both",
+    first_snapshot: str | None = None,
+    label_def: str = schemas.LABEL_DEFINITION,
+    parallelism: int = modelling.PARALLELISM,
 ) -> Trained:
     """Train on the stored label and feature tables and register the model.
 
+    The history starts with the first snapshot of the tables, or with ``first_snapshot``.
+
     ``source`` is ``risk`` (engagement and financial-risk tables, as the scheduled trainer)
     or ``clickstream`` (silver clickstream, as the laboratory).
     """
     name = model_name or "credit_model_" + train_date.replace("-", "_")
+    stored = f"{mart.training_sets}/{name}"
+
+    def store(step: str, table: DataFrame) -> DataFrame:
+        path = f"{stored}-{step}"
+        table.write.mode("overwrite").parquet(path)
+        return spark.read.schema(table.schema).parquet(path)
+
     if source == "clickstream":
         w = window_dates(train_date)
         labels, clicks = (
             snapshot_between(read_all(spark, path), w["train_test_start"], w["oot_end"])
             for path in (mart.label_store, mart.feature_silver("clickstream"))
         )
-        rows = clickstream_training_set(labels, clicks, train_date)
+        rows = clickstream_training_set(labels.where(F.col("label_def") == label_def), clicks, train_date, store)
         features = columns_with_prefix(clicks, schemas.CLICKSTREAM_PREFIX)
         grid = grid or modelling.LAB_GRID
     else:
-        months = month_range(FIRST_SNAPSHOT, train_date)
-        tables = [read_listed(spark, path, months) for path in (mart.label_store, mart.engagement, mart.risk)]
+        day = F.col("snapshot_date")
+        wanted = day <= F.lit(train_date).cast("date")
+        if first_snapshot:
+            wanted = wanted & (day >= F.lit(first_snapshot).cast("date"))
+        tables = [read_all(spark, path).where(wanted) for path in (mart.label_store, mart.engagement, mart.risk)]
+        tables[0] = tables[0].where(F.col("label_def") == label_def)
         if not all(is_usable(t) for t in tables):
             raise ValueError(f"no labels or features up to {train_date}")
-        rows = training_set(*tables, train_date, direction)
+        rows = training_set(*tables, train_date, direction, store)
         features = schemas.MODEL_FEATURES
         grid = grid or modelling.SCHEDULED_GRID
     # The joined and filled rows are stored once: scaling, search and report all read them.
-    stored = f"{mart.training_sets}/{name}"
     rows.write.mode("overwrite").parquet(stored)
-    trained = train(spark.read.parquet(stored), features, name, train_date, mart.model(name), grid, draws, metric)
+    trained = train(spark.read.parquet(stored), features, name, train_date, mart.model(name), grid, draws, metric, parallelism)
     write_snapshots(trained.registry, mart.registry, ["model_name"])
     scores = trained.registry.select(
         F.lit(train_date).cast("date").alias("snapshot_date"),

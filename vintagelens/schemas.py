@@ -87,3 +87,6 @@ PREDICTION_COLUMNS = ["Customer_ID", "snapshot_date", "model_name", "model_predi
 MONITOR_COLUMNS = [
     "snapshot_date", "model_name", "predict_psi", "roc_auc", "psi_status", "auc_status",
 ]
+
+# Fixed value: the label definition that training and monitoring use unless told otherwise.
+LABEL_DEFINITION = "30dpd_6mob"

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,22 +14,51 @@ SNAPSHOT = "snapshot_date"
 
 
 def write_snapshots(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (SNAPSHOT,), rebalance: bool = True
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (SNAPSHOT,),
+    rebalance: bool = True,
+    period: tuple[str | dt.date, str | dt.date] | None = None,
+    within: Mapping[str, str] | None = None,
 ) -> None:
     """Write the snapshots in ``df``, replacing those and leaving all others in place.
 
+    With a closed ``period``, a snapshot in it that ``df`` no longer has is removed as well;
+    ``within`` limits that to partitions with the given values of other partition columns.
+
     The rebalance hint gathers the rows of a snapshot so that each becomes a few files of
     the advisory size, and lets AQE split a snapshot that holds a large share of the rows.
     Rows read from a table with the same partitions and changed one by one lie together
     already: they are written with ``rebalance=False``, without a shuffle.
     """
     rows = df.hint("rebalance", *[F.col(c) for c in partition_by]) if rebalance else df
+    written = Observation()
+    if period is not None:
+        # One entry per partition: as many as the calendar has dates.
+        values = F.struct(*[F.col(c).cast("string").alias(c) for c in partition_by])
+        rows = rows.observe(written, F.collect_set(values).alias("partitions"))
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    if period is not None:
+        kept = {tuple(p[c] for c in partition_by) for p in written.get.get("partitions") or []}
+        _remove_absent(df.sparkSession, path, list(partition_by), kept, period, within or {})
+
+
+def _remove_absent(spark: SparkSession, path: str, columns: list[str], kept: set, period, within) -> None:
+    """Delete the partition folders of the period that the last write did not fill."""
+    first, last = (_date(d).isoformat() for d in period)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *[f"{c}=*" for c in columns]]))
+    files = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for folder in files.globStatus(pattern) or []:
+        parts = [unquote(p.split("=", 1)[1]) for p in folder.getPath().toString().rstrip("/").split("/")[-len(columns) :]]
+        values = dict(zip(columns, parts, strict=True))
+        inside = first <= values[SNAPSHOT] <= last and all(values[c] == v for c, v in within.items())
+        if inside and tuple(parts) not in kept:
+            files.delete(folder.getPath(), True)
 
 
 def read_all(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
