@@ -205,8 +205,9 @@ def join(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tuple
     keys = outlines.select("set_id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
     shared = shared.where("low < high").select("key", "low")
-    # A star per key: enough to connect all sets that share it.
-    stars = keys.join(shared, "key").where("set_id <> low").select(F.col("low").alias("a"), F.col("set_id").alias("b"))
+    # A star per key: enough to connect all sets that share it. The shared keys grow with the
+    # input, so they are merged with all keys and not sent to every executor at any size.
+    stars = keys.join(shared.hint("merge"), "key").where("set_id <> low").select(F.col("low").alias("a"), F.col("set_id").alias("b"))
     clusters = components(stars)
 
     members = outlines.select("doc_id", "n", "set_id")
