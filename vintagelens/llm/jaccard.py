@@ -204,7 +204,8 @@ def join(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tuple
     )
     keys = outlines.select("set_id", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-    shared = shared.where("low < high").select("key", "low")
+    # Stored, so that the join has a plain shuffle on either side and hot keys can be split.
+    shared = stored(shared.where("low < high").select("key", "low"), "jaccard-shared")
     # A star per key: enough to connect all sets that share it. The shared keys grow with the
     # input, so they are merged with all keys and not sent to every executor at any size.
     stars = keys.join(shared.hint("merge"), "key").where("set_id <> low").select(F.col("low").alias("a"), F.col("set_id").alias("b"))
@@ -216,7 +217,8 @@ def join(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tuple
     firsts = stored(firsts, "jaccard-candidates")
     sizes = firsts.groupBy("label").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
     blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
-    placed = firsts.join(sizes.select("label", blocks.alias("blocks")), "label")
+    sizes = stored(sizes.select("label", blocks.alias("blocks")), "jaccard-clusters")
+    placed = firsts.join(sizes, "label")
     block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(block, x).alias("i"), F.greatest(block, x).alias("j")))
     # Repeated rows of one doc_id: any of them whose set is the wanted one would do, so take each text once.
@@ -238,7 +240,7 @@ def groups(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Dat
     labels = components(links).withColumnRenamed("node", "set_id")
     full = members.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     full = stored(full.select("doc_id", "n", "label"), "jaccard-members")
-    least = full.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    least = stored(full.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id")), "jaccard-least")
     joined = full.join(least, "label", "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))

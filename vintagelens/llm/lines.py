@@ -167,7 +167,9 @@ def recurring_lines(
     texts = texts.withColumn("h", F.xxhash64("text"))
     rows = stored(texts.mapInArrow(_find_leaves(fewest_tokens, leading), "doc_id long, h long, line int, leaf long"), "line-leaves")
     shared = rows.groupBy("leaf").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    places = rows.join(shared.select("leaf"), "leaf").groupBy("doc_id", "h").agg(F.collect_set(F.struct("line", "leaf")).alias("places"))
+    # Stored, so that the join has a plain shuffle on either side and hot leaves can be split.
+    shared = stored(shared.select("leaf"), "line-shared")
+    places = rows.join(shared, "leaf").groupBy("doc_id", "h").agg(F.collect_set(F.struct("line", "leaf")).alias("places"))
     taken = texts.join(places, ["doc_id", "h"]).select("doc_id", "h", "text", "places")
     lines = stored(taken.mapInArrow(_take_lines, "doc_id long, h long, line int, leaf long, masked string"), "line-texts")
 

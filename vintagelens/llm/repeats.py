@@ -279,7 +279,9 @@ def repeated_spans(
     groups = found.groupBy("head").agg(
         F.count(F.lit(1)).alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most")
     )
-    again = stored(found.join(groups.where("n > 1").drop("n"), "head"), "repeat-groups")
+    # Stored, so that the join has a plain shuffle on either side and hot groups can be split.
+    groups = stored(groups.where("n > 1").drop("n"), "repeat-heads")
+    again = stored(found.join(groups, "head"), "repeat-groups")
     covered = lambda df: df.select("doc_id", "h", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
     alike = covered(again.where("least = most"))
 
@@ -288,7 +290,7 @@ def repeated_spans(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "h", "place")).alias("one")
     )
     counts = classes.groupBy("head").agg(F.count(F.lit(1)).alias("classes"))
-    known = classes.join(counts, "head")
+    known = stored(classes.join(stored(counts, "repeat-counts"), "head"), "repeat-known")
     mixed = stored(mixed.join(known, ["head", "whole"]), "repeat-classes")
     repeated = covered(mixed.where("n > 1"))
     is_one = F.struct("doc_id", "h", "place").eqNullSafe(F.col("one"))
