@@ -587,5 +587,5 @@ where snapshot_date between date '2023-01-01' and date '2030-01-01'""",
 )
 oracle(
     "feature_importance_sum",
-    f"select count(*) as n_features, 1.0::double as total from (select unnest({schemas.MODEL_FEATURES}) as feature ) t",
+    f"select cast({len(schemas.MODEL_FEATURES)} as bigint) as n_features, 1.0::double as total from (select count(*) as n from label_store ) t",
 )
