@@ -87,6 +87,12 @@ def steps(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.R
             first = last
 
 
+def steps_of(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes and offsets of texts on the driver, step by step: numpy's working arrays stay small."""
+    batch = pa.record_batch([pa.array(texts, pa.string())], names=["text"])
+    return ((data, offsets) for _, data, offsets in steps([batch], "text"))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64."""
     with np.errstate(over="ignore"):

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintagelens.llm.common import BYTE_VALUE, LOWER, mix, steps, stream, utf8
+from vintagelens.llm.common import BYTE_VALUE, LOWER, mix, steps, steps_of, stream
 
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
@@ -81,9 +81,10 @@ def kernel(rows: list[np.ndarray], landmarks: list[np.ndarray]) -> np.ndarray:
 def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Model of the given texts, of which evenly spaced ones of each language are the landmarks."""
     names = sorted(set(languages))
-    data, offsets = utf8(pa.array(texts, pa.string()))
-    slots, ends = slots_of_step(data, offsets)
-    rows = np.split(slots, ends[1:-1])
+    rows = []
+    for data, offsets in steps_of(texts):
+        slots, ends = slots_of_step(data, offsets)
+        rows += np.split(slots, ends[1:-1])
     by_language = [[i for i, name in enumerate(languages) if name == wanted] for wanted in names]
     share = max(2, landmarks // len(names))
     chosen = [own[int(k)] for own in by_language for k in np.linspace(0, len(own) - 1, min(share, len(own)))]
