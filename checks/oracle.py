@@ -280,6 +280,26 @@ oracle(
     f"select loan_id, {day('loan_start_date')} as loan_start_date, {day('snapshot_date')} as snapshot_date from loan_feed ",
 )
 
+# Quality counts
+
+oracle(
+    "dq_feed",
+    f"""select count(*) as n_raw, count(*) filter (d is null) as n_no_date,
+count(*) filter (not d between date '1993-01-01' and date '1997-12-01') as n_outside,
+count(*) filter (d between date '1993-01-01' and date '1997-12-01') as n_kept
+from (select {day('snapshot_date')} as d from loan_feed ) t""",
+)
+oracle(
+    "dq_loans",
+    """select snapshot_date, count(*) as n_rows, count(*) filter (overdue_amt > 0 and dpd is null) as n_unknown_dpd
+from loan_silver group by snapshot_date""",
+)
+oracle(
+    "dq_missing_medians",
+    """select snapshot_date, count(*) as n_rows from fin_parsed group by snapshot_date
+having count(case when month(snapshot_date) % 4 <> 0 then Changed_Credit_Limit end) = 0""",
+)
+
 # Joins
 
 oracle(

@@ -226,6 +226,24 @@ def dq_attributes(spark, d):
     return silver.attribute_quality(derive(spark, d, "attributes_raw"))
 
 
+@query
+def dq_feed(spark, d):
+    return feeds.feed_counts(derive(spark, d, "loan_feed"), "1993-01-01", "1997-12-01")
+
+
+@query
+def dq_loans(spark, d):
+    return silver.loan_quality(silver.loans(derive(spark, d, "loan_snapshots")))
+
+
+@query
+def dq_missing_medians(spark, d):
+    """Every fourth snapshot loses its limits first, so that there is something to count."""
+    raw = derive(spark, d, "financials_raw")
+    gone = F.when(F.month("snapshot_date") % 4 != 0, F.col("Changed_Credit_Limit"))
+    return silver.missing_medians(raw.withColumn("Changed_Credit_Limit", gone))
+
+
 @query
 def top_rows(spark, d):
     shown = ["snapshot_date", "loan_id", "installment_num", "due_amt", "loan_amt", "dpd", "paid_amt", "overdue_amt"]

@@ -126,3 +126,16 @@ def test_importances_are_sorted(spark, sf_dir):
     model = modelling.fit(rows, schemas.MODEL_FEATURES, {"n_estimators": 2, "max_depth": 2})
     weights = [r.importance for r in modelling.feature_importance(spark, model, schemas.MODEL_FEATURES).collect()]
     assert len(weights) == 17 and weights == sorted(weights, reverse=True) and sum(weights) == pytest.approx(1)
+
+
+def test_rerun_leaves_no_label_that_has_gone(spark, sf_dir, tmp_path):
+    labels, path = derive(spark, sf_dir, "label_store"), str(tmp_path)
+    days = sorted(r[0] for r in labels.select("snapshot_date").distinct().collect())
+    period = (str(days[0]), str(days[-2]))
+    label_store.write_labels(labels, path, "30dpd_6mob", str(days[0]), str(days[-1]))
+    label_store.write_labels(labels.withColumn("label_def", F.lit("30dpd_3mob")), path, "30dpd_3mob", *map(str, days[::len(days) - 1]))
+    fewer = labels.where(~F.col("snapshot_date").isin(days[1], days[-1]))
+    label_store.write_labels(fewer, path, "30dpd_6mob", *period)
+    left = {(r.label_def, r.snapshot_date) for r in read_all(spark, path).select("label_def", "snapshot_date").distinct().collect()}
+    # The last snapshot is outside of the period that was run again.
+    assert left == {("30dpd_3mob", d) for d in days} | {("30dpd_6mob", d) for d in days if d != days[1]}

@@ -83,3 +83,16 @@ def test_hot_key_stays_on_one_side(spark):
     )
     got = splits.stratified_split(df, "label", ["id"])
     assert got.count() == 300 and got.where("id = 'hot'").select("split").distinct().count() == 1
+
+
+def test_folds_have_even_counts_of_each_label(spark):
+    rows = [(f"k{i}", int(i % 11 == 0)) for i in range(500)] + [("alone", 7)]
+    df = spark.createDataFrame(rows, "key string, label int")
+    folded = splits.stratified_folds(df, "label", ["key"], 3)
+    counts = {}
+    for r in folded.groupBy("label", "fold").count().collect():
+        counts.setdefault(r.label, {})[r.fold] = r["count"]
+    assert set(counts[0]) == set(counts[1]) == {0, 1, 2} and sum(counts[7].values()) == 1
+    assert all(max(c.values()) - min(c.values()) <= 1 for k, c in counts.items() if k != 7)
+    again = splits.stratified_folds(df.repartition(5), "label", ["key"], 3)
+    assert sorted(map(tuple, folded.collect())) == sorted(map(tuple, again.collect()))

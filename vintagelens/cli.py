@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import argparse
 
-from vintagelens.operators.modelling import DRAWS
+from vintagelens.operators.modelling import DRAWS, PARALLELISM
 from vintagelens.plans import feature_store, label_store, monitoring, scoring, training
 from vintagelens.plans.datamart import FEATURE_FEEDS, Datamart
+from vintagelens.schemas import LABEL_DEFINITION
 from vintagelens.session import build_session
 
 
@@ -45,6 +46,10 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--draws", type=int, default=DRAWS)
     train.add_argument("--metric", choices=["auc", "auc_hard"], default="auc")
     train.add_argument("--fill", choices=["both", "forward"], default="both")
+    train.add_argument("--firstsnapshot", help="first snapshot of the history; by default the first there is")
+    train.add_argument("--parallelism", type=int, default=PARALLELISM, help="fits that run at the same time")
+
+    train.add_argument("--labeldef", default=LABEL_DEFINITION)
 
     for name, text in (("score", "score snapshots"), ("monitor", "report drift and quality")):
         command = commands.add_parser(name, help=text)
@@ -53,6 +58,8 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--modelname", required=True)
         if name == "score":
             command.add_argument("--source", choices=["risk", "clickstream"], default="risk")
+        else:
+            command.add_argument("--labeldef", default=LABEL_DEFINITION)
     return top
 
 
@@ -69,13 +76,14 @@ def main(argv: list[str] | None = None) -> None:
         feature_store.run(spark, feeds, mart, a.start, a.end or a.start).show(5)
     elif a.command == "train":
         trained = training.run(
-            spark, mart, a.snapshotdate, a.modelname, a.source, draws=a.draws, metric=a.metric, direction=a.fill
-        )
+            spark, mart, a.snapshotdate, a.modelname, a.source, draws=a.draws, metric=a.metric, direction=a.fill,
+            first_snapshot=a.firstsnapshot, label_def=a.labeldef, parallelism=a.parallelism,
+        )
         trained.report.show()
     elif a.command == "score":
         scoring.run(spark, mart, a.modelname, a.snapshotdate, a.end, a.source).show()
     else:
-        monitoring.run(spark, mart, a.modelname, a.snapshotdate, a.end).show()
+        monitoring.run(spark, mart, a.modelname, a.snapshotdate, a.end, a.labeldef).show()
 
 
 def _period(command: argparse.ArgumentParser) -> None:

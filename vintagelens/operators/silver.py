@@ -44,6 +44,20 @@ def loans(bronze: DataFrame) -> DataFrame:
     )
 
 
+def loan_quality(silver: DataFrame) -> DataFrame:
+    """Loans of each snapshot, and those overdue whose days past due are unknown, as nothing is due."""
+    unknown = (F.col("overdue_amt") > 0) & F.col("dpd").isNull()
+    return counts_where(silver, {"n_unknown_dpd": unknown})
+
+
+def missing_medians(bronze: DataFrame) -> DataFrame:
+    """Snapshots of the financials none of whose limits is valid: their gaps stay NULL."""
+    parsed = parsed_financials(bronze)
+    valid = F.count("Changed_Credit_Limit")
+    counts = parsed.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n_rows"), valid.alias("n_valid"))
+    return counts.where("n_valid = 0").drop("n_valid")
+
+
 def labels(silver: DataFrame, days: int = 30, months_on_book: int = 6) -> DataFrame:
     """Default label of each loan at the given month on book."""
     return silver.where(F.col("mob") == months_on_book).select(

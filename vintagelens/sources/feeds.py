@@ -16,6 +16,18 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).csv(path)
 
 
+def feed_counts(raw: DataFrame, start: str, end: str) -> DataFrame:
+    """What ``bronze`` does with the rows of a feed: one row of counts."""
+    day = F.col("snapshot_date") if dict(raw.dtypes)["snapshot_date"] == "date" else parse_date("snapshot_date")
+    inside = day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return raw.agg(
+        F.count(F.lit(1)).alias("n_raw"),
+        F.count_if(day.isNull()).alias("n_no_date"),
+        F.count_if(~inside).alias("n_outside"),
+        F.count_if(inside).alias("n_kept"),
+    )
+
+
 def bronze(raw: DataFrame, start: str, end: str) -> DataFrame:
     """Raw rows of all snapshots in the closed period, values as read.
 
