@@ -14,6 +14,8 @@ from vintagelens.llm.common import prepare, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# Half of the operator's default: workers of a long pipeline share memory with what went before.
+CHUNK_BYTES = 16 << 20
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +58,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text: doc_id, n_tokens, ids."""
     prepare(spark)
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, chunk_bytes=CHUNK_BYTES)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
