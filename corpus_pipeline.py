@@ -26,32 +26,42 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
 
 
+def by_row(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with what an operator found for a doc_id and the hash ``h`` of its text."""
+    own = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
+    found = found.dropDuplicates(["doc_id", "h"]).withColumnRenamed("doc_id", "_id")
+    return own.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("h")), how)
+
+
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines of templates that an earlier document has.
 
     A document of which no text is left goes.
     """
     prepare(spark)
-    left = lines.dedup(docs).select("doc_id", F.col("text").alias("_left"), F.size("dropped").alias("_dropped"))
-    joined = docs.join(left.where("_dropped > 0"), "doc_id", "left")
-    text = F.when(F.col("_dropped") > 0, F.col("_left")).otherwise(F.col("text"))
-    joined = joined.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    emptied = (F.col("_dropped") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return joined.where(~F.coalesce(emptied, F.lit(False))).select(*COLUMNS)
+    left = lines.dedup(docs).where(F.size("dropped") > 0)
+    joined = by_row(docs, left.select("doc_id", "h", F.col("text").alias("_left")), "left")
+    emptied = F.col("_left").isNotNull() & ~F.col("_left").rlike(r"[^\x20\x09-\x0D]")
+    kept = joined.where(~emptied).withColumn("text", F.coalesce("_left", "text"))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies."""
+    """The document with the smallest doc_id of each group of near copies.
+
+    Rows that repeat a doc_id stay or go together; rows without one stay.
+    """
     prepare(spark)
-    first = jaccard.groups(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*COLUMNS)
+    later = jaccard.groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(later, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated as often as the mix takes them; a document without copies goes."""
     prepare(spark)
-    copies = mixing.mix(docs).where("copies > 0").select("doc_id", "copies")
-    return docs.join(copies, "doc_id").selectExpr(*COLUMNS, "explode(sequence(1L, copies)) as _copy").drop("_copy")
+    copies = mixing.mix(docs).where("copies > 0").select("doc_id", "h", "copies")
+    taken = by_row(docs, copies, "inner")
+    return taken.selectExpr(*COLUMNS, "explode(sequence(1L, copies)) as _copy").drop("_copy")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

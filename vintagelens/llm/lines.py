@@ -190,8 +190,8 @@ def recurring_lines(
     return lines.join(dropped, ["leaf", "masked"]).where("doc_id <> first").select("doc_id", "h", "line", "template")
 
 
-KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64()), ("dropped", pa.list_(pa.int32()))])
-KEPT_TYPE = "doc_id long, text string, n_lines long, dropped array<int>"
+KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64()), ("dropped", pa.list_(pa.int32()))])
+KEPT_TYPE = "doc_id long, h long, text string, n_lines long, dropped array<int>"
 
 
 def _drop(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,12 +201,12 @@ def _drop(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lines, gone = row["text"].split("\n"), sorted(row["lines"] or [])
             skip = set(gone)
             text = "\n".join(x for i, x in enumerate(lines) if i not in skip) if gone else row["text"]
-            out.append({"doc_id": row["doc_id"], "text": text, "n_lines": len(lines), "dropped": gone})
+            out.append({"doc_id": row["doc_id"], "h": row["h"], "text": text, "n_lines": len(lines), "dropped": gone})
         yield pa.RecordBatch.from_pylist(out, schema=KEPT_ARROW)
 
 
 def dedup(docs: DataFrame, **settings) -> DataFrame:
-    """doc_id, text (what is left), n_lines, dropped (numbers of the dropped lines, from 0).
+    """doc_id, h (hash of the whole text), text (what is left), n_lines, dropped (line numbers, from 0).
 
     Reads doc_id and text; other columns are left out. A null text is empty: one empty line,
     which stays. Rows without a doc_id, and rows that repeat a doc_id among themselves, do not
@@ -214,4 +214,4 @@ def dedup(docs: DataFrame, **settings) -> DataFrame:
     """
     texts = docs.select(F.col("doc_id").cast("long"), empty_text().alias("text")).withColumn("h", F.xxhash64("text"))
     gone = recurring_lines(docs, **settings).groupBy("doc_id", "h").agg(F.collect_set("line").alias("lines"))
-    return texts.join(gone, ["doc_id", "h"], "left").select("doc_id", "text", "lines").mapInArrow(_drop, KEPT_TYPE)
+    return texts.join(gone, ["doc_id", "h"], "left").select("doc_id", "h", "text", "lines").mapInArrow(_drop, KEPT_TYPE)

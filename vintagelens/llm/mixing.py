@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintagelens.llm.common import WORD, mix as mix_bits, stored
+from vintagelens.llm.common import WORD, empty_text, mix as mix_bits, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST_COPIES = 3.0
@@ -128,13 +128,14 @@ def mix(
     cell_rows: int = CELL_ROWS,
     fan_in: int = FAN_IN,
 ) -> DataFrame:
-    """Copies of each document: doc_id, source, size, source_size, target, copies, taken.
+    """Copies of each document: doc_id, h (hash of its text), source, size, source_size, target, copies, taken.
 
     Reads doc_id, text, source; other columns are left out. Null or blank text has size 0 and
     no copies. A null source is a source of its own, the last. Rows with equal doc_id are
     documents of their own. No rows give no rows. Runs with the same seed agree.
     """
-    sized = docs.select("doc_id", "source", count_words().alias("size"))
+    text_hash = F.xxhash64(empty_text()).alias("h")
+    sized = docs.select("doc_id", "source", count_words().alias("size"), text_hash)
     sized = stored(sized.withColumn("rid", F.monotonically_increasing_id()), "mix-sizes")
     targets = stored(source_targets(sized, weights, most_copies), "mix-targets").withColumnRenamed("source", "_source")
     rows = sized.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -142,7 +143,7 @@ def mix(
     bits = F.xxhash64(F.lit(seed), "doc_id", "size")
     cells = F.ceil(F.col("source_rows") / cell_rows).cast("long")
     rows = rows.select(
-        *["rid", "doc_id", "source", "size", "source_size", "target"],
+        *["rid", "doc_id", "h", "source", "size", "source_size", "target"],
         F.floor(x + CLOSE).cast("long").alias("whole"),
         F.greatest(x - F.floor(x + CLOSE), F.lit(0.0)).alias("fraction"),
         bits.alias("bits"),
@@ -188,6 +189,6 @@ def mix(
     return (
         rows.drop("fraction", "bits", "cell", "cells")
         .join(settled, "rid")
-        .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+        .select("doc_id", "h", "source", "size", "source_size", "target", copies.alias("copies"))
         .withColumn("taken", F.col("copies") * F.col("size"))
     )
