@@ -16,6 +16,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Half of the operator's default: workers of a long pipeline share memory with what went before.
 CHUNK_BYTES = 16 << 20
+# Near copies: shingles of five words, of which 80 percent are shared.
+NEAR_SHINGLE = 5
+NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +55,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows that repeat a doc_id stay or go together; rows without one stay.
     """
     prepare(spark)
-    later = jaccard.groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    found = jaccard.groups(docs, width=NEAR_SHINGLE, percent=NEAR_PERCENT)
+    later = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(later, "doc_id", "left_anti").select(*COLUMNS)
 
 

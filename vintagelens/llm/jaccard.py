@@ -7,10 +7,10 @@ the whole sets.
 
 To bring sets together that can link, without comparing all: two sets that link differ in at
 most D tokens, where D follows from the size. With more than D groups, at least one group of
-the two holds the same tokens. Each set therefore sends one key per group, the hash of the
+the two holds the same tokens. Each set therefore sends keys of its groups, the hash of the
 group's tokens, and sets that share a key, directly or through others, form a cluster. Groups
-with fewer than two tokens are common by chance; they are left out where enough groups remain
-for the argument to hold. Clusters are cut into blocks, and each pair of blocks is one task,
+with few tokens are common by chance; there are more groups than the argument needs, so that
+those with the fewest tokens are left out, and empty groups always. Clusters are cut into blocks, and each pair of blocks is one task,
 which sends on a forest of its links.
 """
 
@@ -72,7 +72,13 @@ def bands(largest: int, percent: int = PERCENT, ratio: float = BAND_RATIO) -> li
 
 
 def keys_of(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """One key per group of the set, for each size band in which it can have a partner."""
+    """Keys of the fullest groups of the set, for each size band in which it can have a partner.
+
+    Of D + 1 + spare groups, the D + 1 that come last by count and content are sent. Two sets that
+    link hold at least spare + 1 equal groups, and the last of these is among the last D + 1 of
+    both. Empty groups send no key: if that last equal group is empty, neither set fills more than
+    D groups, and sets that fill so few send each token as well, of which they share one.
+    """
     n, out = len(tokens), []
     smallest = -(-percent * n // 100)  # of a smaller partner
     with np.errstate(over="ignore"):
@@ -81,18 +87,19 @@ def keys_of(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
             if high <= smallest or low > n:
                 continue
             most_apart = (high - 1) * (100 - percent) // percent
-            spare = -(-(most_apart + 1) // 10) + 1
+            # Some three tokens a group or more, of which the groups sent hold two or more.
+            spare = -(-(most_apart + 1) * (1 if percent >= 90 else 4) // 10) + 1
             groups = most_apart + 1 + spare
             group = (tokens % np.uint64(groups)).astype(np.int64)
             order = np.argsort(group, kind="stable")
             counts = np.bincount(group, minlength=groups)
-            sums = np.zeros(groups, np.uint64)
             full = np.flatnonzero(counts)
-            sums[full] = np.add.reduceat(spread[order], (np.cumsum(counts) - counts)[full])
-            strong = np.flatnonzero(counts >= 2)
-            kept = strong if groups - len(strong) <= spare else np.arange(groups)
-            tag = (np.uint64(number) << np.uint64(40)) + kept.astype(np.uint64)
-            out.append(mix(sums[kept] + mix(tag) + counts[kept].astype(np.uint64)))
+            sums = np.add.reduceat(spread[order], (np.cumsum(counts) - counts)[full])
+            band = np.uint64(number) << np.uint64(40)
+            keys = mix(sums + mix(band + full.astype(np.uint64)) + counts[full].astype(np.uint64))
+            out.append(keys[np.lexsort((keys, counts[full]))[-(most_apart + 1) :]])
+            if len(full) <= most_apart:
+                out.append(mix(spread + mix(band + np.uint64(groups))))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
