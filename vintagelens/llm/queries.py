@@ -82,7 +82,9 @@ def op6_warc(spark, d):
     pages = table(spark, d, "pages")
     archives, index_folder = warc.new_folder(pages, "warc"), warc.new_folder(pages, "warc-index")
     captures = warc.write(pages, archives)
-    found = warc.lookup(warc.index(captures, index_folder), archives, captures.distinct(), payloads=False)
+    # Each capture key once: the lookup gives all records of a key, also those of repeated rows.
+    wanted = captures.select("key", "page_id").distinct()
+    found = warc.lookup(warc.index(captures, index_folder), archives, wanted, payloads=False)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
