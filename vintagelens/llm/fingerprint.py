@@ -1,8 +1,11 @@
 """Document fingerprints: invertible Bloom lookup tables of paragraph digests, in SQL functions only.
 
-A paragraph is a run of words that a word of the right hash closes, about one word in
-``2 ** level``; the level grows with the length of the text, so that a fingerprint covers the
-whole text with some seven to twenty paragraphs, and an edit moves no boundary but its own. The
+A paragraph is a run of words (characters, in scripts without blanks) that a hash of the last few
+words closes, or its length. Longer words close more often, so that boundaries follow characters
+whatever the script; ``level + 4`` words are hashed, so that texts of few distinct words have
+boundaries as well; and no paragraph is longer than the kept half of a text. The level grows with
+the length of the text, so that a fingerprint covers the whole text with some seven to twenty
+paragraphs, and an edit moves boundaries only until the next that both texts have. The
 table adds each distinct paragraph digest to three cells: a count, the digests' xor, and their
 checks' xor. Two tables of one level subtract cell by cell; peeling, cell by cell with a count
 of one and the right check, recovers the digests on either side. A difference that does not
@@ -28,7 +31,20 @@ ROUNDS = 10
 # Characters of a text per unit of 2 ** level.
 GRAIN = 40
 
-DIGESTS = "struct<h: bigint, out: array<bigint>>"
+# A word of n characters closes a paragraph with a chance of n to PER_CLOSE * 2 ** level, by a hash of
+# the last level + MORE_WORDS words; a paragraph of MOST * 2 ** level characters is closed in any case.
+PER_CLOSE = 6
+MORE_WORDS = 4
+MOST = 18
+LONG_WORD = 16
+# All characters but those of words with blanks between them: blanks of any kind, Thai to Myanmar, Khmer,
+# Chinese and Japanese, and what lies beyond the basic plane.
+CUTS = (
+    r"(?<=[^!-~\u00A1-\u0DFF\u10A0-\u167F\u1681-\u177F\u1800-\u1FFF\u2010-\u2027\u2030-\u205E\u2070-\u2E7F\uAC00-\uD7AF\uD800-\uDBFF])"
+    rf"|(?<=\S{{{LONG_WORD}}})"
+)
+
+DIGESTS = "struct<h: bigint, run: bigint, n: int, out: array<bigint>>"
 CELL = "struct<n: int, k: bigint, c: bigint>"
 
 
@@ -43,8 +59,12 @@ def let(value: Column, use) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The text cut at blanks; an empty text has no words."""
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
+    """The text cut after each blank; an empty text has no words. The words joined are the text.
+
+    Scripts without blanks, and what follows ``LONG_WORD`` characters without one, are cut into
+    characters.
+    """
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, CUTS, -1))
 
 
 def level(text: Column) -> Column:
@@ -52,21 +72,37 @@ def level(text: Column) -> Column:
     return F.greatest(F.lit(0), F.floor(F.log2(F.greatest(F.length(text), F.lit(1)) / GRAIN))).cast("int")
 
 
+def _shifted(value: Column, by: Column | int) -> Column:
+    return F.call_function("shiftleft", value, F.lit(by) if isinstance(by, int) else by)
+
+
 def digests(words_: Column, level_: Column) -> Column:
     """Distinct digests of the paragraphs at a level, as array of long."""
-    nothing = F.struct(F.lit(0).cast("bigint").alias("h"), F.array().cast("array<bigint>").alias("out")).cast(DIGESTS)
-    mask = (F.pow(F.lit(2), level_) - 1).cast("bigint")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    nothing = F.struct(zero.alias("h"), zero.alias("run"), F.lit(0).alias("n"), F.array().cast("array<bigint>").alias("out")).cast(DIGESTS)
+    bits = F.least(2 * (level_ + MORE_WORDS), F.lit(62)).cast("int")
+    scale = _shifted(one, F.least(level_, F.lit(40)))
+    settings = F.struct(
+        (_shifted(one, bits) - 1).alias("mask"),
+        F.when(level_ == 0, F.lit(2).cast("bigint")).otherwise(scale * PER_CLOSE).alias("chance"),
+        (scale * MOST).alias("most"),
+    )
 
-    def step(state: Column, word: Column) -> Column:
-        grown = F.xxhash64(state["h"], word)
-        closes = F.xxhash64(word).bitwiseAND(mask) == 0
-        done = F.struct(F.lit(0).cast("bigint").alias("h"), F.array_append(state["out"], grown).alias("out")).cast(DIGESTS)
-        return F.when(closes, done).otherwise(F.struct(grown.alias("h"), state["out"].alias("out")).cast(DIGESTS))
+    def cut(p: Column) -> Column:
+        def step(state: Column, word: Column) -> Column:
+            grown, n = F.xxhash64(state["h"], word), state["n"] + F.length(word)
+            run = _shifted(state["run"], 2).bitwiseXOR(F.xxhash64(word)).bitwiseAND(p["mask"])
+            closes = (F.pmod(F.xxhash64(run), p["chance"]) < F.length(word)) | (n >= p["most"])
+            done = F.struct(zero.alias("h"), run.alias("run"), F.lit(0).alias("n"), F.array_append(state["out"], grown).alias("out"))
+            open_ = F.struct(grown.alias("h"), run.alias("run"), n.alias("n"), state["out"].alias("out"))
+            return F.when(closes, done.cast(DIGESTS)).otherwise(open_.cast(DIGESTS))
 
-    def finish(state: Column) -> Column:
-        return F.array_distinct(F.when(state["h"] == 0, state["out"]).otherwise(F.array_append(state["out"], state["h"])))
+        def finish(state: Column) -> Column:
+            return F.array_distinct(F.when(state["n"] == 0, state["out"]).otherwise(F.array_append(state["out"], state["h"])))
+
+        return F.aggregate(words_, nothing, step, finish)
 
-    return F.aggregate(words_, nothing, step, finish)
+    return let(settings, cut)
 
 
 def _check(key: Column) -> Column:
