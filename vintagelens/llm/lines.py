@@ -4,7 +4,10 @@ A line goes to the leaf of its token count and its first tokens, where a token w
 a field. In a leaf, lines that agree in enough tokens form a template; tokens in which they
 differ become fields. A template that recurs, in at least two documents, stays in its first
 document, that of the smallest doc_id, and its lines are dropped from all others. Lines of few
-tokens, and templates with few constant ones, are left alone.
+tokens, and lines of templates with few constant ones, say too little for a template: they are
+dropped as copies, if an earlier document has the same tokens, digits included. A line of under
+``SHORT_BYTES`` bytes in few tokens must stand in ``SHORT_REPEATS`` documents for that. Blank
+lines have no tokens and stay.
 
 Only leaves that two documents share can hold a recurring template: counting leaves comes
 first, and only their lines travel. Equal masked lines are one row before templates are formed,
@@ -14,6 +17,7 @@ and templates are formed in salted parts of a leaf before the parts of a leaf ar
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +29,9 @@ from vintagelens.llm.common import IS_SPACE, empty_text, hash_spans, mix, steps,
 LEADING = 3
 FEWEST_TOKENS = 6
 FEWEST_CONSTANTS = 5
+# Lines of few tokens and fewer bytes are copies from so many documents on.
+SHORT_BYTES = 16
+SHORT_REPEATS = 3
 SIMILARITY = 0.8
 SALTS = 8
 FIELD = "<*>"
@@ -35,34 +42,44 @@ IS_DIGIT[ord("0") : ord("9") + 1] = True
 
 
 def line_tokens(data: np.ndarray, offsets: np.ndarray):
-    """Per token of a step: hash (fields alike), row, line number in the row; tokens in order."""
+    """Per token of a step: hash (fields alike), own hash, row, line number in the row, start and end."""
     starts, ends, rows = word_spans(data, offsets)
-    hashes = hash_spans(data, starts, ends)
+    own = hash_spans(data, starts, ends)
     digits = np.concatenate([[0], np.cumsum(IS_DIGIT[data])])
-    hashes = np.where(digits[ends] > digits[starts], FIELD_HASH, hashes)
+    hashes = np.where(digits[ends] > digits[starts], FIELD_HASH, own)
     breaks = np.concatenate([[0], np.cumsum(data == 0x0A)])
-    return hashes, rows, breaks[starts] - breaks[offsets[rows]]
+    return hashes, own, rows, breaks[starts] - breaks[offsets[rows]], starts, ends
+
+
+TEMPLATE, COPY, SHORT_COPY = 0, 1, 2
 
 
 def leaves(data: np.ndarray, offsets: np.ndarray, fewest: int = FEWEST_TOKENS, leading: int = LEADING):
-    """Row, line number and leaf of every line of a step that has enough tokens."""
-    hashes, rows, lines = line_tokens(data, offsets)
+    """Row, line number, leaf and kind of every line of a step that has tokens.
+
+    The leaf of a line of few tokens is its hash, and its kind a copy.
+    """
+    hashes, own, rows, lines, starts, ends = line_tokens(data, offsets)
     none = np.zeros(0, np.int64)
     if not len(hashes):
-        return none, none, none
+        return none, none, none, none
     first = np.flatnonzero(np.concatenate([[True], (rows[1:] != rows[:-1]) | (lines[1:] != lines[:-1])]))
     counts = np.diff(np.concatenate([first, [len(hashes)]]))
     long = counts >= max(fewest, leading)
-    first, counts = first[long], counts[long]
     with np.errstate(over="ignore"):
+        place = (np.arange(len(own)) - np.repeat(first, counts)).astype(np.uint64)
+        whole = mix(np.add.reduceat(mix(own + place * np.uint64(0x9E3779B97F4A7C15)), first) + counts.astype(np.uint64))
         leaf = mix(counts.astype(np.uint64))
         for k in range(leading):
-            leaf = mix(leaf * np.uint64(0x9E3779B97F4A7C15) + hashes[first + k])
-    return rows[first], lines[first], leaf.view(np.int64)
+            leaf = mix(leaf * np.uint64(0x9E3779B97F4A7C15) + hashes[np.minimum(first + k, len(hashes) - 1)])
+    length = ends[first + counts - 1] - starts[first]
+    kind = np.where(long, TEMPLATE, np.where(length >= SHORT_BYTES, COPY, SHORT_COPY))
+    leaf = np.where(long, leaf, whole)
+    return rows[first], lines[first], leaf.view(np.int64), kind
 
 
-def masked(line: str) -> list[str]:
-    return [FIELD if any("0" <= c <= "9" for c in token) else token for token in _split(line)]
+def _is_field(token: str) -> bool:
+    return any("0" <= c <= "9" for c in token)
 
 
 def _split(line: str) -> list[str]:
@@ -103,27 +120,32 @@ def form_templates(lines: list[list[str]], similarity: float = SIMILARITY) -> tu
 
 
 ROW_ARROW = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("line", pa.int32()), ("leaf", pa.int64())])
+FOUND_ARROW = pa.schema([*ROW_ARROW, ("kind", pa.int8())])
+FOUND_TYPE = "doc_id long, h long, line int, leaf long, kind tinyint"
 
 
 def _find_leaves(fewest: int, leading: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in steps(batches, "text"):
-            rows, lines, leaf = leaves(data, offsets, fewest, leading)
+            rows, lines, leaf, kind = leaves(data, offsets, fewest, leading)
             keys = [batch.column(c).take(pa.array(rows)) for c in ("doc_id", "h")]
-            yield pa.RecordBatch.from_arrays([*keys, pa.array(lines.astype(np.int32)), pa.array(leaf)], schema=ROW_ARROW)
+            columns = [*keys, pa.array(lines.astype(np.int32)), pa.array(leaf), pa.array(kind.astype(np.int8))]
+            yield pa.RecordBatch.from_arrays(columns, schema=FOUND_ARROW)
 
     return run
 
 
 def _take_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([*ROW_ARROW, ("masked", pa.string())])
+    schema = pa.schema([*ROW_ARROW, ("whole", pa.int64()), ("masked", pa.string())])
     for batch in batches:
         out = []
         for row in batch.to_pylist():
             lines = row["text"].split("\n")
             for place in row["places"]:
-                tokens = " ".join(masked(lines[place["line"]]))
-                out.append({"doc_id": row["doc_id"], "h": row["h"], **place, "masked": tokens})
+                own = _split(lines[place["line"]])
+                whole = int.from_bytes(blake2b(" ".join(own).encode(), digest_size=8).digest(), "little", signed=True)
+                tokens = " ".join(FIELD if _is_field(token) else token for token in own)
+                out.append({"doc_id": row["doc_id"], "h": row["h"], **place, "whole": whole, "masked": tokens})
         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
@@ -161,17 +183,22 @@ def recurring_lines(
     fewest_tokens: int = FEWEST_TOKENS,
     fewest_constants: int = FEWEST_CONSTANTS,
 ) -> DataFrame:
-    """doc_id, h (hash of the text), line (number from 0), template of every line to drop."""
+    """doc_id, h (hash of the text), line (number from 0), template of every line to drop.
+
+    The template is null for lines that are dropped as copies.
+    """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long"), empty_text().alias("text")).where("doc_id is not null")
     texts = texts.withColumn("h", F.xxhash64("text"))
-    rows = stored(texts.mapInArrow(_find_leaves(fewest_tokens, leading), "doc_id long, h long, line int, leaf long"), "line-leaves")
+    rows = stored(texts.mapInArrow(_find_leaves(fewest_tokens, leading), FOUND_TYPE), "line-leaves")
+    few = rows.where(F.col("kind") != TEMPLATE)
+    rows = rows.where(F.col("kind") == TEMPLATE).drop("kind")
     shared = rows.groupBy("leaf").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     # Stored, so that the join has a plain shuffle on either side and hot leaves can be split.
     shared = stored(shared.select("leaf"), "line-shared")
     places = rows.join(shared, "leaf").groupBy("doc_id", "h").agg(F.collect_set(F.struct("line", "leaf")).alias("places"))
     taken = texts.join(places, ["doc_id", "h"]).select("doc_id", "h", "text", "places")
-    lines = stored(taken.mapInArrow(_take_lines, "doc_id long, h long, line int, leaf long, masked string"), "line-texts")
+    lines = stored(taken.mapInArrow(_take_lines, "doc_id long, h long, line int, leaf long, whole long, masked string"), "line-texts")
 
     distinct = lines.groupBy("leaf", "masked").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     salted = distinct.withColumn("salt", F.pmod(F.xxhash64("masked"), F.lit(SALTS)))
@@ -183,11 +210,26 @@ def recurring_lines(
     second = stored(second, "line-merged")
     constant = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD))
     known = second.groupBy("leaf", "template").agg(F.min("low").alias("first"), F.max("high").alias("last"))
-    known = known.where((F.col("first") < F.col("last")) & (constant >= fewest_constants))
-    final = second.join(known, ["leaf", "template"]).select("leaf", F.col("masked").alias("_local"), "template", "first")
+    enough = constant >= fewest_constants
+    known = known.where(F.col("first") < F.col("last")).withColumn("enough", enough)
+    final = second.join(known, ["leaf", "template"]).select("leaf", F.col("masked").alias("_local"), "template", "first", "enough")
     local = first.select("leaf", "masked", F.col("template").alias("_local"))
-    dropped = local.join(final, ["leaf", "_local"]).select("leaf", "masked", "template", "first")
-    return lines.join(dropped, ["leaf", "masked"]).where("doc_id <> first").select("doc_id", "h", "line", "template")
+    dropped = local.join(final, ["leaf", "_local"]).select("leaf", "masked", "template", "first", "enough")
+    found = stored(lines.join(dropped, ["leaf", "masked"]).drop("masked"), "line-recurring")
+    by_template = found.where("enough and doc_id <> first").select("doc_id", "h", "line", "template")
+
+    # Copies: equal lines of weak templates, then of few tokens.
+    weak = found.where("not enough").select("doc_id", "h", "line", "whole")
+    kept_in = weak.groupBy("whole").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    alike = weak.join(stored(kept_in.select("whole", "low"), "line-weak"), "whole").where("doc_id <> low")
+    short = few.where(F.col("kind") == SHORT_COPY).select("leaf", "doc_id").distinct().groupBy("leaf")
+    short = short.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low")).where(F.col("n") >= SHORT_REPEATS)
+    longer = few.where(F.col("kind") == COPY).groupBy("leaf")
+    longer = longer.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    both = stored(short.select("leaf", "low").unionByName(longer.select("leaf", "low")), "line-copies")
+    copied = few.join(both, "leaf").where("doc_id <> low")
+    copies = [df.select("doc_id", "h", "line", F.lit(None).cast("string").alias("template")) for df in (alike, copied)]
+    return by_template.unionByName(copies[0]).unionByName(copies[1])
 
 
 KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("text", pa.string()), ("n_lines", pa.int64()), ("dropped", pa.list_(pa.int32()))])
