@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintagelens.llm import ann, bpe, fingerprint, jaccard, langid, lines, mixing, repeats, toxicity, warc
+from vintagelens.llm import ann, bpe, divergence, fingerprint, jaccard, langid, lines, mixing, repeats, tokencount, toxicity, warc, whitening
 from vintagelens.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,51 @@ def op10_fingerprints(spark, d):
     hashed = found.withColumn("edited_sha256", F.sha2(F.encode("edited", "UTF-8"), 256))
     marks = ["fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     return hashed.select("doc_id", "n_chars", "edited_sha256", *marks)
+
+
+@query
+def op11_token_counts(spark, d):
+    return tokencount.count(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+
+
+@query
+def op12_whitening(spark, d):
+    return whitening.whiten(table(spark, d, "embeddings"), components=16)
+
+
+@query
+def op13_divergence(spark, d):
+    return divergence.audit(table(spark, d, "documents"))
+
+
+ORACLES["op13_divergence"] = r"""
+with d as (
+  select row_number() over () doc, coalesce(text, '') t, coalesce(lang, '') lang, coalesce(source, '') source from documents),
+o as (
+  select doc, lang, source, unnest(regexp_extract_all(
+    translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) term from d),
+n as (select lang, source, term, count(*) n, count(distinct doc) docs from o group by all),
+k as (select lang, term, sum(n)::hugeint total from n group by all having sum(docs) >= 30),
+v as (select lang, count(*) terms, sum(total) lang_size from k group by all),
+g as (select distinct lang, source from d),
+gs as (
+  select lang, source, coalesce(sum(n.n) filter (k.term is not null), 0)::hugeint size
+  from g left join n using (lang, source) left join k using (lang, term) group by all),
+s as (
+  select lang, source, term, coalesce(n.n, 0) n,
+    1 + (1000000000 * (coalesce(n.n, 0)::hugeint + 5)) // (size + 5 * terms)::hugeint p,
+    1 + (1000000000 * (total + 5)) // (lang_size + 5 * terms)::hugeint q
+  from gs join v using (lang) join k using (lang) left join n using (lang, source, term)),
+f as (
+  select a.lang, a.source, b.source item, sum(abs(a.p - b.p)) far
+  from s a join s b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (
+  select a.lang, a.source, 'pair' part, b.source item, coalesce(far, 0)::bigint value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  left join f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+terms as (select lang, source, 'term' part, term item, (p - q)::bigint value from s where n > 0 and p > q),
+r as (
+  select *, row_number() over (partition by lang, source, part order by value desc, item)::integer rank
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, value, rank from r where part = 'pair' or rank <= 50
+"""
