@@ -27,8 +27,8 @@ OFFSET = 1_000_000
 MOST_ENTRY = 2.0**52
 BLOCK_ROWS = 4_096
 # Columns of the search space beyond the wanted, after which it is cut back to them.
-SPACE = 64
-INNER_STEPS = 8
+SPACE = 32
+INNER_STEPS = 6
 OUTER_STEPS = 200
 # Residuals relative to the largest eigenvalue, in units of the rounding of doubles.
 ROUNDING = 8
