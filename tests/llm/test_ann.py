@@ -59,3 +59,25 @@ def test_awkward_vectors(spark):
     assert sorted(found) == [(0, 1, 1, 0.5), (0, 2, 9, 0.5)]
     assert ann.search(df.where("false"), df, 20).count() == 0
     assert ann.search(df.where("vec_id = 0"), df.where("vec_id = 0"), 20).count() == 0
+
+
+def test_any_magnitude(spark):
+    """Finite vectors of every size: products may overflow or vanish, but no vector is lost."""
+    rng = np.random.default_rng(7)
+    for powers in (np.full(300, 160), np.full(300, -160), rng.integers(-150, 150, 300)):
+        vectors = rng.normal(size=(300, 16)) * 10.0 ** powers[:, None]
+        rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = {}
+        for r in ann.search(df, df.where("vec_id % 20 = 0"), 20, block_rows=64, group_rows=4).collect():
+            got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+        hits = 0
+        for q in range(0, 300, 20):
+            with np.errstate(over="ignore", invalid="ignore"):
+                scores = (vectors * vectors[q]).sum(axis=1)
+            scores[np.isnan(scores)] = -np.inf
+            order = [int(i) for i in np.lexsort((np.arange(300), -scores)) if i != q][:20]
+            own = sorted(got[q])
+            assert [k for k, _, _ in own] == list(range(1, 21)) and all(s == scores[i] for _, i, s in own)
+            hits += len({i for _, i, _ in own} & set(order))
+        assert hits >= 0.9 * 20 * 15

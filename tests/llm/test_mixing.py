@@ -67,3 +67,37 @@ def test_awkward_rows(spark):
     rows = mixing.mix(awkward(spark)).collect()
     assert len(rows) == 10 and all(r.copies == 0 for r in rows if r.size == 0)
     assert mixing.mix(empty(spark)).count() == 0
+
+
+def test_a_large_document_left_over_is_made_up_for():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        size = np.sort(rng.integers(1, 60, 40))[::-1].copy()
+        size[0] = rng.integers(100, 900)
+        x = rng.integers(0, 2, 40).astype(float)
+        x[0] = rng.uniform(0.01, 0.99)
+        before, held = (x * size).sum(), mixing.settle(size, x, 0, rng.random())
+        assert abs((x * size).sum() - before) < 1e-6
+        assert all(v in (0, 1) or i == held for i, v in enumerate(x))
+        # Only if all smaller documents together could not make up for it, it stays.
+        assert held != 0 or min((1 - x[0]) * size[0] - (x * size)[1:].sum(), x[0] * size[0] - ((1 - x) * size)[1:].sum()) > 0
+
+
+def test_every_source_meets_its_target(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows, by_source = mixing.mix(docs).collect(), {}
+    for r in rows:
+        by_source.setdefault(r.source, []).append(r)
+    for own in by_source.values():
+        small = sorted(r.size for r in own if r.size)[: max(1, len(own) // 10)][-1]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= max(small, 0.005 * own[0].target)
+
+
+def test_equal_rows_spread_and_runs_agree(spark):
+    rows = [(None, "one two three", "a")] * 25_000 + [(i, "w " * (i % 9), "ab"[i % 2]) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    count = lambda df: sorted(map(str, df.groupBy("doc_id", "source", "copies").count().collect()))
+    once, again = mixing.mix(docs.repartition(3)), mixing.mix(docs.repartition(11))
+    assert count(once) == count(again) and once.count() == len(rows)
+    for r in once.groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("g")).collect():
+        assert abs(r.t - r.g) <= 3

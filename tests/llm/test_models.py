@@ -76,3 +76,34 @@ def test_toxicity_awkward_rows(spark):
     assert len({r.score for r in rows if r.doc_id in (2, 3, 4)}) == 1
     assert toxicity.learn(empty(spark), labels) is None
     assert {r.score for r in toxicity.score(docs, None).collect()} == {0.0}
+
+
+def test_one_text_does_not_flood_the_language_sample(spark):
+    rng = np.random.default_rng(9)
+    word = lambda letters: "".join(rng.choice(list(letters), 6))
+    rows = [("the one text that is everywhere", "en")] * 20_000
+    for lang, letters, n in (("en", "abcdefgh", 600), ("fr", "ijklmnop", 300), ("de", "qrstuvwx", 300), ("xx", "yzéü", 7)):
+        rows += [(" ".join(word(letters) for _ in range(6)), lang) for _ in range(n)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    texts, languages = langid.sample(docs, per_language=100)
+    counts = {lang: languages.count(lang) for lang in set(languages)}
+    assert counts == {"en": 100, "fr": 100, "de": 100, "xx": 7} and len(set(texts)) == len(texts)
+
+
+def test_more_languages_than_are_learned(spark):
+    rows = [(f"text {i} in language {i % 9}", f"l{i % 9}") for i in range(90)] + [("more of zero", "l0")]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert set(langid.sample(docs, 5, most_languages=4)[1]) == {"l0", "l1", "l2", "l3"}
+
+
+def test_repeated_rows_do_not_flood_the_toxicity_sample(spark, monkeypatch):
+    rows = [(1, f"repeated {i % 2}", "en") for i in range(3_000)] + [(i, f"other text {i}", "en") for i in range(2, 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), *[(i, i % 2) for i in range(2, 12)]], "doc_id long, toxic int")
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda texts, marks, langs: seen.update(texts=texts, marks=marks))
+    toxicity.learn(docs, labels, 20, 20)
+    assert len(seen["texts"]) == 11 and sum(t.startswith("repeated") for t in seen["texts"]) == 1
+    assert dict(zip(seen["texts"], seen["marks"], strict=True))[next(t for t in seen["texts"] if t[0] == "r")] == 1
+    toxicity.learn(docs, labels, 3, 2)
+    assert seen["marks"].count(1) == 3 and seen["marks"].count(0) == 2

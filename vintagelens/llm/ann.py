@@ -23,6 +23,8 @@ GROUP_ROWS = 1_024
 # Width of the error bound in standard deviations of the estimate.
 SURENESS = 2.5
 SEED = 11
+# Vectors shorter than this share of the block's longest are always reranked.
+SHORT = 1e-30
 
 
 def rotation(size: int, seed: int = SEED) -> np.ndarray:
@@ -30,6 +32,17 @@ def rotation(size: int, seed: int = SEED) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
+def units(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors, and lengths as shares of the longest; no magnitude of doubles overflows."""
+    largest = np.abs(vectors).max(axis=1)
+    powers = np.frexp(largest)[1]
+    # In two steps, as 2 ** -1074 and its inverse are beyond the doubles.
+    reduced = np.ldexp(np.ldexp(vectors, -(powers // 2)[:, None]), -(powers - powers // 2)[:, None])
+    lengths = np.sqrt((reduced * reduced).sum(axis=1))
+    shares = np.ldexp(lengths, np.maximum(powers - powers.max(initial=0), -1000))
+    return reduced / lengths[:, None], shares / shares.max(initial=1e-300)
+
+
 def encode(vectors: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Packed bits, lengths, and alignments (inner product of the unit vector with its code)."""
     lengths = np.sqrt((vectors * vectors).sum(axis=1))
@@ -78,7 +91,8 @@ def search(
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest found of each query, without itself.
 
-    Ties go to the smaller vec_id. Vectors that are null, zero, hold null or non-finite parts,
+    Ties go to the smaller vec_id. Scores are sums of products in double precision, also where
+    these overflow; one that is not a number counts as the lowest. Vectors that are null, zero, hold null or non-finite parts,
     have no id, or are not of the most frequent length take no part, neither as candidates nor
     as queries. A repeated id is a candidate once a row. No vectors, or one, give no rows. Other
     columns are left out.
@@ -95,7 +109,9 @@ def search(
     def pack(chunk: pa.Table) -> pa.Table:
         order = np.argsort(chunk["key"].to_numpy(), kind="stable")
         matrix = _matrix(chunk["values"], size)[order]
-        bits, lengths, alignments = encode(matrix, rotation(size))
+        # Only the order counts, so lengths are shares of the block's longest.
+        unit, lengths = units(matrix)
+        bits, _, alignments = encode(unit, rotation(size))
         row = {
             "block": chunk["block"][0].as_py(), "ids": chunk["key"].to_numpy()[order].astype(np.int64).tobytes(),
             "bits": bits.tobytes(), "lengths": lengths.tobytes(), "alignments": alignments.tobytes(), "vectors": matrix.tobytes(),
@@ -120,14 +136,20 @@ def search(
                 lengths, alignments = np.frombuffer(row["lengths"]), np.frombuffer(row["alignments"])
                 for first in range(0, len(asked_ids), 64):
                     some = questions[first : first + 64]
-                    middle, error = estimate(bits, lengths, alignments, some, turn, sureness)
+                    middle, error = estimate(bits, lengths, alignments, units(some)[0], turn, sureness)
+                    # Where single precision cannot tell, the exact step does.
+                    error[:, ~(lengths >= SHORT)] = np.inf
+                    error[~np.isfinite(middle)] = np.inf
+                    middle[~np.isfinite(middle)] = 0
                     found = []
                     for i, own in enumerate(asked_ids[first : first + 64]):
                         other = ids != own
                         lower = (middle[i] - error[i])[other]
                         least = np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) > k else -np.inf
                         near = np.flatnonzero(other & (middle[i] + error[i] >= least))
-                        exact = (matrix[near] * some[i]).sum(axis=1)
+                        with np.errstate(over="ignore", invalid="ignore"):
+                            exact = (matrix[near] * some[i]).sum(axis=1)
+                        exact[np.isnan(exact)] = -np.inf
                         best = np.lexsort((ids[near], -exact))[:k]
                         found.append((np.full(len(best), own), ids[near][best], exact[best]))
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], schema=schema)

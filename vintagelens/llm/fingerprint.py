@@ -5,12 +5,14 @@ words closes, or its length. Longer words close more often, so that boundaries f
 whatever the script; ``level + 4`` words are hashed, so that texts of few distinct words have
 boundaries as well; and no paragraph is longer than the kept half of a text. The level grows with
 the length of the text, so that a fingerprint covers the whole text with some seven to twenty
-paragraphs, and an edit moves boundaries only until the next that both texts have. The
-table adds each distinct paragraph digest to three cells: a count, the digests' xor, and their
-checks' xor. Two tables of one level subtract cell by cell; peeling, cell by cell with a count
-of one and the right check, recovers the digests on either side. A difference that does not
-peel is taken anew in a table of twice the cells. Texts of unlike level are compared at
-the coarser one.
+paragraphs, and an edit moves boundaries only until the next that both texts have.
+
+A table adds each distinct paragraph digest to three cells: a count, the digests' xor, and their
+checks' xor. A fingerprint holds the tables of a text at its own level and at the next, coarser
+one, so that versions whose lengths differ by less than half can be compared. Two tables of one
+level subtract cell by cell; peeling, cell by cell with a count of one and the right check,
+recovers the digests on either side. If the difference of two fingerprints does not peel, both
+texts are asked for larger tables. Texts whose levels are further apart count as unlike.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ PER_CLOSE = 6
 MORE_WORDS = 4
 MOST = 18
 LONG_WORD = 16
+# Text bytes of a range of documents in which the next one is looked up.
+RANGE_BYTES = 32 << 20
 # All characters but those of words with blanks between them: blanks of any kind, Thai to Myanmar, Khmer,
 # Chinese and Japanese, and what lies beyond the basic plane.
 CUTS = (
@@ -44,7 +48,6 @@ CUTS = (
     rf"|(?<=\S{{{LONG_WORD}}})"
 )
 
-DIGESTS = "struct<h: bigint, run: bigint, n: int, out: array<bigint>>"
 CELL = "struct<n: int, k: bigint, c: bigint>"
 
 
@@ -76,33 +79,64 @@ def _shifted(value: Column, by: Column | int) -> Column:
     return F.call_function("shiftleft", value, F.lit(by) if isinstance(by, int) else by)
 
 
-def digests(words_: Column, level_: Column) -> Column:
-    """Distinct digests of the paragraphs at a level, as array of long."""
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    nothing = F.struct(zero.alias("h"), zero.alias("run"), F.lit(0).alias("n"), F.array().cast("array<bigint>").alias("out")).cast(DIGESTS)
+def _settings(level_: Column) -> Column:
     bits = F.least(2 * (level_ + MORE_WORDS), F.lit(62)).cast("int")
+    one = F.lit(1).cast("bigint")
     scale = _shifted(one, F.least(level_, F.lit(40)))
-    settings = F.struct(
+    return F.struct(
         (_shifted(one, bits) - 1).alias("mask"),
         F.when(level_ == 0, F.lit(2).cast("bigint")).otherwise(scale * PER_CLOSE).alias("chance"),
         (scale * MOST).alias("most"),
     )
 
+
+def paragraphs(words_: Column, level_: Column) -> Column:
+    """Distinct digests of the paragraphs at a level (``own``) and at the next (``coarse``), in one pass."""
+    zero, none = F.lit(0).cast("bigint"), F.array().cast("array<bigint>")
+    start = F.struct(
+        zero.alias("run"), zero.alias("h0"), F.lit(0).alias("n0"), none.alias("out0"),
+        zero.alias("h1"), F.lit(0).alias("n1"), none.alias("out1"),
+    )
+    marks = F.transform(words_, lambda w: F.struct(F.xxhash64(w).alias("w"), F.length(w).alias("n")))
+
     def cut(p: Column) -> Column:
-        def step(state: Column, word: Column) -> Column:
-            grown, n = F.xxhash64(state["h"], word), state["n"] + F.length(word)
-            run = _shifted(state["run"], 2).bitwiseXOR(F.xxhash64(word)).bitwiseAND(p["mask"])
-            closes = (F.pmod(F.xxhash64(run), p["chance"]) < F.length(word)) | (n >= p["most"])
-            done = F.struct(zero.alias("h"), run.alias("run"), F.lit(0).alias("n"), F.array_append(state["out"], grown).alias("out"))
-            open_ = F.struct(grown.alias("h"), run.alias("run"), n.alias("n"), state["out"].alias("out"))
-            return F.when(closes, done.cast(DIGESTS)).otherwise(open_.cast(DIGESTS))
+        def step(state: Column, mark: Column) -> Column:
+            run = _shifted(state["run"], 2).bitwiseXOR(mark["w"])
+            grown = [F.xxhash64(state[f"h{i}"], mark["w"]) for i in (0, 1)]
+            lengths = [state[f"n{i}"] + mark["n"] for i in (0, 1)]
+            closes = [
+                (F.pmod(F.xxhash64(run.bitwiseAND(p[s]["mask"])), p[s]["chance"]) < mark["n"]) | (lengths[i] >= p[s]["most"])
+                for i, s in ((0, "own"), (1, "coarse"))
+            ]
+
+            def after(closed: tuple[bool, bool]) -> Column:
+                parts = [run.alias("run")]
+                for i, done in enumerate(closed):
+                    out = state[f"out{i}"]
+                    parts += [
+                        (zero if done else grown[i]).alias(f"h{i}"),
+                        (F.lit(0) if done else lengths[i]).alias(f"n{i}"),
+                        (F.array_append(out, grown[i]) if done else out).alias(f"out{i}"),
+                    ]
+                return F.struct(*parts)
+
+            either = lambda first: F.when(closes[1], after((first, True))).otherwise(after((first, False)))
+            return F.when(closes[0], either(True)).otherwise(either(False))
 
         def finish(state: Column) -> Column:
-            return F.array_distinct(F.when(state["n"] == 0, state["out"]).otherwise(F.array_append(state["out"], state["h"])))
+            last = lambda i: F.when(state[f"n{i}"] == 0, state[f"out{i}"]).otherwise(
+                F.array_append(state[f"out{i}"], state[f"h{i}"])
+            )
+            return F.struct(F.array_distinct(last(0)).alias("own"), F.array_distinct(last(1)).alias("coarse"))
 
-        return F.aggregate(words_, nothing, step, finish)
+        return F.aggregate(marks, start, step, finish)
 
-    return let(settings, cut)
+    return let(F.struct(_settings(level_).alias("own"), _settings(level_ + 1).alias("coarse")), cut)
+
+
+def digests(words_: Column, level_: Column) -> Column:
+    """Distinct digests of the paragraphs at a level, as array of long."""
+    return paragraphs(words_, level_)["own"]
 
 
 def _check(key: Column) -> Column:
@@ -133,9 +167,19 @@ def _combined(cell: Column, number: Column, keys: Column, sign: int) -> Column:
 def sketch(digests_: Column, cells: Column | int = CELLS) -> Column:
     """The lookup table of the digests: an array of cells, whose number is a multiple of three."""
     cells = F.lit(cells) if isinstance(cells, int) else cells
+    third = (cells / 3).cast("int")
     keys = F.transform(digests_, lambda d: _placed(d, F.lit(1), cells))
-    numbers = F.sequence(F.lit(0), cells - 1)
-    return let(keys, lambda k: F.transform(numbers, lambda i: _combined(no_cell(), i, k, 1)))
+
+    def cell(i: Column, k: Column) -> Column:
+        here = lambda d: F.when(i < third, d["p0"]).when(i < 2 * third, d["p1"]).otherwise(d["p2"]) == i
+        return F.aggregate(F.filter(k, here), no_cell(), _added)
+
+    return let(keys, lambda k: F.transform(F.sequence(F.lit(0), cells - 1), lambda i: cell(i, k)))
+
+
+def _added(c: Column, d: Column) -> Column:
+    changed = F.struct((c["n"] + d["s"]).alias("n"), c["k"].bitwiseXOR(d["k"]).alias("k"), c["c"].bitwiseXOR(d["c"]).alias("c"))
+    return changed.cast(CELL)
 
 
 def subtract(one: Column, other: Column) -> Column:
@@ -193,40 +237,102 @@ def difference(one: Column, other: Column, retries: int = RETRIES) -> Column:
     return F.coalesce(*[attempt(k) for k in range(retries + 1)], plain)
 
 
+def _alike(together: Column, apart: Column) -> Column:
+    """Jaccard from the sizes of both sets and of their difference."""
+    value = lambda d: (together - d) / (together + d)
+    return F.when(together == 0, F.lit(1.0)).otherwise(let(apart.cast("double"), value))
+
+
 def likeness(one: Column, other: Column) -> Column:
     """Shared share of both digest sets (Jaccard), from their sizes and the peeled difference."""
-    apart = F.size(difference(one, other)).cast("double")
-    together = F.size(one) + F.size(other)
-    value = lambda d: (together - d) / (together + d)
-    return F.when(together == 0, F.lit(1.0)).otherwise(let(apart, value))
+    return _alike(F.size(one) + F.size(other), F.size(difference(one, other)))
 
 
-def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """doc_id, text and ``next_text``, the text of the next row by descending doc_id.
+def digest_sets(text: Column) -> Column:
+    """Level of a text, and its digests at that level (``own``) and at the next (``coarse``)."""
+    whole = lambda p: F.struct(level(text).alias("level"), p["own"].alias("own"), p["coarse"].alias("coarse"))
+    return let(paragraphs(words(text), level(text)), whole)
 
-    The last row is followed by the first. Rows with one doc_id follow each other by descending
-    hash of the text; a null doc_id comes last. Rows are dealt to ranges of doc_id, and the head
-    of each range is copied to the end of the range before it, so no task sees all rows.
+
+def fingerprint(sets: Column, cells: int = CELLS) -> Column:
+    """Level, numbers of digests and tables of both sets: all that a fingerprint holds."""
+    return F.struct(
+        sets["level"].alias("level"), F.size(sets["own"]).alias("n_own"), F.size(sets["coarse"]).alias("n_coarse"),
+        sketch(sets["own"], cells).alias("own"), sketch(sets["coarse"], cells).alias("coarse"),
+    )
+
+
+def compared(one: Column, other: Column, sets: Column, other_sets: Column, cells: int = CELLS) -> Column:
+    """Likeness of two fingerprints, by their tables of the coarser of both levels.
+
+    Tables that do not peel are taken anew from the digest ``sets``, larger. Fingerprints whose
+    levels differ by more than one are unlike, as one text is more than twice as long.
+    """
+
+    def at(mark: Column, far: Column, prefix: str = "") -> Column:
+        return F.when(mark["level"] >= far["level"], mark[f"{prefix}own"]).otherwise(mark[f"{prefix}coarse"])
+
+    apart = let(subtract(at(one, other), at(other, one)), lambda d: F.size(peel(d, F.lit(cells))))
+    # The size of NULL, a difference that did not peel, is NULL in ANSI mode and -1 otherwise.
+    larger = F.size(difference(at(sets, other_sets), at(other_sets, sets)))
+    counted = let(apart, lambda n: F.when(n >= 0, n).otherwise(larger))
+    together = at(one, other, "n_") + at(other, one, "n_")
+    near = F.abs(one["level"] - other["level"]) <= 1
+    return F.when(near, _alike(together, counted)).otherwise(F.lit(0.0))
+
+
+def as_text(mark: Column) -> Column:
+    """A fingerprint as text: level, paragraphs at both levels, and the cells of both tables in base 64.
+
+    A cell has two bytes of count, eight of the digests' xor and eight of the checks'.
     """
-    parts = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long"), empty_text().alias("text")).withColumn("h", F.xxhash64("text"))
+    cell = lambda c: F.concat(F.lpad(F.hex(c["n"]), 4, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["c"]), 16, "0"))
+    cells = F.array_join(F.transform(F.concat(mark["own"], mark["coarse"]), cell), "")
+    numbers = [mark[x].cast("string") for x in ("level", "n_own", "n_coarse")]
+    return F.concat_ws("-", *numbers, F.regexp_replace(F.base64(F.unhex(cells)), r"\s", ""))
+
+
+def with_next(docs: DataFrame, parts: int | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """doc_id, h (hash of the text), text, n (equal rows) and ``next_text``, of distinct (doc_id, text).
+
+    The next row is that by descending doc_id, rows with one doc_id by descending hash of the
+    text, a null doc_id last; the last row is followed by the first. ``next_text`` is what
+    follows the last of the n equal rows; the others are followed by their like. Rows are dealt
+    to ranges of doc_id, a doc_id with very many texts to ranges of their hash, and the head of
+    each range is copied to the end of the range before it, so no task sees all rows.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_text().alias("text")).withColumn("h", F.xxhash64("text"))
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(sums.bytes or 0) // range_bytes))
+    share = max(1, sums.n // parts)
     at = [i / parts for i in range(1, parts)] or [0.5]
-    cuts = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), at, 10_000).alias("cuts")).first().cuts or []
-    cuts = sorted(set(cuts))
+    cuts = rows.agg(F.percentile_approx("doc_id", at, 10_000).alias("cuts")).first().cuts or []
+    # Fewer than half as many as ranges: each has the rows of two.
+    hot = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * share).collect()
+    cuts = sorted({*cuts, *(d for r in hot if r.doc_id is not None for d in (r.doc_id - 1, r.doc_id))})
+    equal = rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text"))
     # Null ids have a range of their own, the last.
-    dealt = rows.withColumn("range", F.when(F.col("doc_id").isNull(), -1).otherwise(_search(cuts)))
+    dealt = equal.withColumn("range", F.when(F.col("doc_id").isNull(), -1).otherwise(_search(cuts)))
+    pieces = spark.createDataFrame([(r.doc_id, -(-r.n // share)) for r in hot], "hot_id long, pieces long")
+    dealt = dealt.join(F.broadcast(pieces), F.col("doc_id").eqNullSafe(F.col("hot_id")) & F.col("pieces").isNotNull(), "left")
+    place = F.col("h") / 2.0**64 + 0.5
+    piece = F.floor(F.least(place, F.lit(1 - 2.0**-53)) * F.coalesce("pieces", F.lit(1))).cast("int")
+    dealt = dealt.withColumn("piece", piece).drop("hot_id", "pieces")
     first = F.max(F.struct("doc_id", "h")).alias("head")
-    heads = dealt.groupBy("range").agg(first).select("range", "head.doc_id", "head.h").collect()  # a row per range
-    order = sorted((r["range"] for r in heads), reverse=True)
+    heads = dealt.groupBy("range", "piece").agg(first).select("range", "piece", "head.doc_id", "head.h").collect()  # a row per range
+    order = sorted(((r["range"], r.piece) for r in heads), reverse=True)
     before = {b: a for a, b in zip(order[-1:] + order[:-1], order, strict=True)}
-    ids = [(before[r["range"]], r.doc_id, r.h) for r in heads]
-    spark = docs.sparkSession
-    wanted = F.broadcast(spark.createDataFrame(ids, "to int, head_id long, head_h long"))
+    ids = [(*before[r["range"], r.piece], r.doc_id, r.h) for r in heads]
+    wanted = F.broadcast(spark.createDataFrame(ids, "to int, to_piece int, head_id long, head_h long"))
     is_head = F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("h") == F.col("head_h"))
-    copies = rows.join(wanted, is_head).select("doc_id", "text", "h", F.col("to").alias("range"), F.lit(1).alias("copy"))
-    both = dealt.select("doc_id", "text", "h", "range", F.lit(0).alias("copy")).unionByName(copies)
-    down = Window.partitionBy("range").orderBy("copy", F.desc_nulls_last("doc_id"), F.desc("h"))
-    return both.withColumn("next_text", F.lead("text").over(down)).where("copy = 0").select("doc_id", "text", "next_text")
+    copies = equal.join(wanted, is_head).withColumns({"range": F.col("to"), "piece": F.col("to_piece")})
+    both = dealt.withColumn("copy", F.lit(0)).unionByName(copies.drop(*wanted.columns).withColumn("copy", F.lit(1)))
+    return both.withColumn("next_text", F.lead("text").over(_down()))
+
+
+def _down():
+    return Window.partitionBy("range", "piece").orderBy("copy", F.desc_nulls_last("doc_id"), F.desc("h"))
 
 
 def _search(cuts: list[int]) -> Column:
@@ -249,51 +355,45 @@ def fingerprints(docs: DataFrame, cells: int = CELLS) -> DataFrame:
     A null or empty text has no paragraphs and an empty sketch. Other columns are left out.
     """
     rows = docs.select("doc_id", empty_text().alias("text"))
-    rows = rows.withColumn("level", level(F.col("text")))
-    rows = rows.withColumn("digests", digests(words(F.col("text")), F.col("level")))
-    return rows.withColumn("sketch", sketch(F.col("digests"), cells))
-
-
-def as_text(level_: Column, digests_: Column, sketch_: Column) -> Column:
-    """Short form of a fingerprint: level, paragraphs, and the hash of the whole table."""
-    numbers = F.flatten(F.transform(sketch_, lambda c: F.array(c["n"].cast("bigint"), c["k"], c["c"])))
-    table = F.sha2(F.array_join(numbers.cast("array<string>"), ","), 256)
-    return F.concat_ws("-", level_.cast("string"), F.size(digests_).cast("string"), table)
+    rows = rows.withColumn("sets", digest_sets(F.col("text")))
+    rows = rows.withColumn("mark", fingerprint(F.col("sets"), cells))
+    kept = [F.col("sets.level").alias("level"), F.col("sets.own").alias("digests"), F.col("mark.own").alias("sketch")]
+    return rows.select("doc_id", "text", *kept)
 
 
 def edits(docs: DataFrame, cells: int = CELLS) -> DataFrame:
     """Each text beside its edited form: the last half replaced by the start of the next text.
 
     doc_id, n_chars, edited (text), fingerprint, edited_fingerprint, near_edited, near_next.
-    Equal texts have equal fingerprints and likeness 1; so have two empty texts. One row is its
+    Equal texts have equal fingerprints and likeness 1; so have two empty texts. Equal rows (one
+    doc_id, one text) are worked on once and come out as often as they are there. One row is its
     own next row. No rows give no rows.
     """
+    rows = with_next(docs)
+    rows = rows.withColumn("sets", digest_sets(F.col("text")))
+    rows = rows.withColumn("mark", fingerprint(F.col("sets"), cells))
+    following = F.struct(F.col("next_text").alias("text"), F.lead("sets").over(_down()).alias("sets"), F.lead("mark").over(_down()).alias("mark"))
+    rows = rows.withColumn("after", following).where("copy = 0")
+    # All but the last of equal rows are followed by one like them.
+    like = F.struct(F.col("text"), F.col("sets"), F.col("mark"))
+    last = F.struct(F.lit(1).cast("bigint").alias("times"), F.col("after").alias("after"))
+    others = F.struct((F.col("n") - 1).alias("times"), like.alias("after"))
+    uses = F.when(F.col("n") == 1, F.array(last)).otherwise(F.array(last, others))
+    rows = rows.select("doc_id", "text", "sets", "mark", F.inline(uses))
     n, half = F.length("text"), F.floor(F.length("text") / 2).cast("int")
-    kept = F.substring("text", F.lit(1), n - half)
-    rows = with_next(docs).withColumn("edited", F.concat(kept, F.substring("next_text", F.lit(1), half)))
-    rows = rows.select("doc_id", "edited", n.cast("long").alias("n_chars"), *[
-        column.alias(f"{name}_{side}")
-        for side, text in (("own", F.col("text")), ("edit", F.col("edited")), ("next", F.col("next_text")))
-        for name, column in (("level", level(text)), ("words", words(text)))
-    ])
-    rows = rows.withColumns({f"set_{s}": digests(F.col(f"words_{s}"), F.col(f"level_{s}")) for s in ("own", "edit")})
-
-    def at(side: str, common: Column) -> Column:
-        """A set at a common level: the one at hand, or a coarser one."""
-        return F.when(F.col(f"level_{side}") == common, F.col(f"set_{side}")).otherwise(digests(F.col(f"words_{side}"), common))
-
-    for_edit, for_next = F.greatest("level_own", "level_edit"), F.greatest("level_own", "level_next")
-    rows = rows.withColumns({
-        "a_edit": at("own", for_edit), "b_edit": at("edit", for_edit),
-        "a_next": at("own", for_next), "b_next": digests(F.col("words_next"), for_next),
-    })
-    rows = rows.withColumns({f"sketch_{s}": sketch(F.col(f"set_{s}"), cells) for s in ("own", "edit")})
-    return rows.select(
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("after.text", F.lit(1), half))
+    rows = rows.withColumns({"edited": edited, "n_chars": n.cast("long")})
+    rows = rows.withColumn("edited_sets", digest_sets(F.col("edited")))
+    rows = rows.withColumn("edited_mark", fingerprint(F.col("edited_sets"), cells))
+    one, sets = F.col("mark"), F.col("sets")
+    found = rows.select(
         "doc_id",
         "n_chars",
         "edited",
-        as_text(F.col("level_own"), F.col("set_own"), F.col("sketch_own")).alias("fingerprint"),
-        as_text(F.col("level_edit"), F.col("set_edit"), F.col("sketch_edit")).alias("edited_fingerprint"),
-        likeness(F.col("a_edit"), F.col("b_edit")).alias("near_edited"),
-        likeness(F.col("a_next"), F.col("b_next")).alias("near_next"),
+        as_text(one).alias("fingerprint"),
+        as_text(F.col("edited_mark")).alias("edited_fingerprint"),
+        compared(one, F.col("edited_mark"), sets, F.col("edited_sets"), cells).alias("near_edited"),
+        compared(one, F.col("after.mark"), sets, F.col("after.sets"), cells).alias("near_next"),
+        "times",
     )
+    return found.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).drop("times", "_time")

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelens.llm.common import BYTE_VALUE, LOWER, mix, steps, steps_of, stream
@@ -24,7 +24,8 @@ SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 ORDERS = (2, 3, 4, 5)
 LANDMARKS = 128
-# The sample aims at this many texts of each language, and the driver learns no more languages.
+# The sample holds at most this many different texts of each language, and the most frequent
+# languages: texts of all others are predicted as one of these.
 TEXTS_PER_LANGUAGE = 400
 MOST_LANGUAGES = 500
 RIDGE = 1e-3
@@ -103,20 +104,28 @@ def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridg
     return Model(names, table)
 
 
-def sample(docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE) -> tuple[list[str], list[str]]:
-    """About ``per_language`` labelled texts of each language, chosen by the hash of the text."""
+def sample(
+    docs: DataFrame, per_language: int = TEXTS_PER_LANGUAGE, most_languages: int = MOST_LANGUAGES
+) -> tuple[list[str], list[str]]:
+    """Up to ``per_language`` different labelled texts of each language, those of smallest hash.
+
+    Copies of a text count once, so no text floods the sample and none of the
+    ``most_languages`` most frequent languages is left out.
+    """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    if not counts:
+    labelled = labelled.select("lang", "text", F.xxhash64("text").alias("h"))
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("h").alias("texts"))
+    sizes = sizes.orderBy(F.desc("n"), "lang").limit(most_languages).collect()
+    if not sizes:
         return [], []
-    # Twice the share, and the smallest hashes of it: short by chance hardly ever, and bounded.
-    limits = {r.lang: min(1.0, 2 * per_language / r.n) for r in counts}
+    # Twice the share of the different texts: short by chance hardly ever, and bounded.
+    limits = {r.lang: min(1.0, 2 * per_language / max(1, r.texts)) for r in sizes}
     share = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])[F.col("lang")]
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = labelled.where(place < share).select("lang", "text", place.alias("place"))
-    rows = drawn.orderBy(F.col("place") / share, "lang").limit(per_language * len(counts)).collect()
+    place = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    drawn = labelled.where(place < share).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    first = Window.partitionBy("lang").orderBy(place, "h")
+    chosen = drawn.withColumn("i", F.row_number().over(first)).where(F.col("i") <= per_language)
+    rows = chosen.orderBy("i", "lang").select("lang", "text").collect()
     return [r.text for r in rows], [r.lang for r in rows]
 
 

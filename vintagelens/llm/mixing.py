@@ -5,8 +5,10 @@ whole part is taken as it is. The fractions are rounded in pairs: words move at
 one document of the pair to the other until one of the two fractions is 0 or 1. A move keeps
 the words of the pair, and in expectation each fraction; so a source keeps its total up to the
 one document that stays fractional at the end. Inside a cell of a source, each document is
-paired with the cell's smaller documents taken together; the one residual of each cell goes up
-a reduction tree, which pairs residuals until a source has one.
+paired with the cell's smaller documents taken together. If a large document is left over, it
+becomes whole at random and its words are made up for by copies of smaller documents, so that
+what stays fractional is small. The one residual of each cell goes up a reduction tree, which
+pairs residuals until a source has one.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ MOST_COPIES = 3.0
 # Documents of a source that one task pairs, and residuals that one task of the tree combines.
 CELL_ROWS = 2_000
 FAN_IN = 1_000
+# Equal rows that one task tells off.
+EQUAL_ROWS = 10_000
 # Fractions closer than this to a whole number are whole.
 CLOSE = 1e-9
 
@@ -120,6 +124,36 @@ def round_pool(size: np.ndarray, fraction: float, chance: np.ndarray) -> tuple[n
     return x, -1
 
 
+def settle(size: np.ndarray, x: np.ndarray, held: int, draw: float) -> int:
+    """Makes the held document whole, if whole copies of smaller ones make up for it; who is held then.
+
+    Up with the chance of its fraction, or down; the words too many or too few are taken from
+    or given to smaller documents, large ones first, and the smallest of them that the rest
+    fits into stays fractional. Without enough of them nothing changes.
+    """
+    start = x[held]
+    order = [i for i in np.argsort(-size, kind="stable").tolist() if 0 < size[i] < size[held]]
+    for up in (draw < start, draw >= start):
+        rest = (1 - start if up else start) * size[held]
+        full = 1.0 if up else 0.0  # these can give words, or take them
+        changed, last = [], -1
+        for i in order:
+            if abs(x[i] - full) < CLOSE:
+                if size[i] <= rest + CLOSE:
+                    changed.append(i)
+                    rest -= size[i]
+                else:
+                    last = i
+        if rest < CLOSE or last >= 0:
+            x[held] = full
+            x[changed] = 1 - full
+            if rest < CLOSE:
+                return -1
+            x[last] = 1 - rest / size[last] if up else rest / size[last]
+            return last
+    return held
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -136,18 +170,24 @@ def mix(
     """
     text_hash = F.xxhash64(empty_text()).alias("h")
     sized = docs.select("doc_id", "source", count_words().alias("size"), text_hash)
+    # Equal rows are numbered without gathering them: counted, then told off in blocks.
+    equal = sized.groupBy("doc_id", "source", "size", "h").agg(F.count(F.lit(1)).alias("n"))
+    begins = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(EQUAL_ROWS).cast("long"))
+    blocks = equal.withColumn("from", F.explode(begins)).repartition("doc_id", "h", "from")
+    number = F.explode(F.sequence("from", F.least("n", F.col("from") + EQUAL_ROWS) - 1))
+    sized = blocks.withColumn("number", number).drop("n", "from")
     sized = stored(sized.withColumn("rid", F.monotonically_increasing_id()), "mix-sizes")
     targets = stored(source_targets(sized, weights, most_copies), "mix-targets").withColumnRenamed("source", "_source")
     rows = sized.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     x = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    bits = F.xxhash64(F.lit(seed), "doc_id", "size")
+    bits = F.xxhash64(F.lit(seed), "doc_id", "h", "number")
     cells = F.ceil(F.col("source_rows") / cell_rows).cast("long")
     rows = rows.select(
         *["rid", "doc_id", "h", "source", "size", "source_size", "target"],
         F.floor(x + CLOSE).cast("long").alias("whole"),
         F.greatest(x - F.floor(x + CLOSE), F.lit(0.0)).alias("fraction"),
         bits.alias("bits"),
-        F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), cells).alias("cell"),
+        F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "h", "number"), cells).alias("cell"),
         cells.alias("cells"),
     )
 
@@ -159,6 +199,8 @@ def mix(
             size, fraction = g["size"].to_numpy(), g["fraction"].to_numpy()
             equal = level == 0 and len(g) and fraction.min() == fraction.max()
             done, held = round_pool(size, fraction[0], chance) if equal else round_pairs(size, fraction, chance)
+            if held >= 0:
+                held = settle(size, done, held, chance[held])
             open_ = np.zeros(len(g), bool)
             if held >= 0 and last:
                 done[held] = float(done[held] >= 0.5)
