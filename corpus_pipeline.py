@@ -1,6 +1,7 @@
 """Corpus pipeline: each stage takes (spark, docs, sf_dir) and returns what it keeps.
 
-The stages read whole tables and keep the columns of ``documents``; the last returns token ids.
+The stages read whole tables and keep the columns of ``documents``; the last returns token ids
+and a digest of what they decode to.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ NEAR_PERCENT = 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the labelled ones, does not predict as toxic."""
+    """Documents that the classifier, trained on the labelled ones, does not predict as toxic.
+
+    Each row is judged by its own text: rows that share a doc_id, or have none, as well.
+    """
     prepare(spark)
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
-    rejected = toxicity.score(docs, model).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
+    return toxicity.drop_toxic(docs.select(*COLUMNS), model)
 
 
 def by_row(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -61,19 +64,27 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated as often as the mix takes them; a document without copies goes."""
+    """Documents repeated as often as the mix takes them; a document without copies goes.
+
+    Rows that are alike in doc_id, source and text are one document here: one of them stands
+    for all, and takes the copies of all.
+    """
     prepare(spark)
-    copies = mixing.mix(docs).where("copies > 0").select("doc_id", "h", "copies")
-    taken = by_row(docs, copies, "inner")
-    return taken.selectExpr(*COLUMNS, "explode(sequence(1L, copies)) as _copy").drop("_copy")
+    key = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("source").isNull(), F.col("source"), F.col("h")]
+    key = F.xxhash64(*key).alias("_key")
+    copies = mixing.mix(docs).select(key, "copies").groupBy("_key").agg(F.sum("copies").alias("_copies")).where("_copies > 0")
+    rows = docs.withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")))).select(*COLUMNS, key).dropDuplicates(["_key"])
+    taken = rows.join(copies, "_key")
+    return taken.selectExpr(*COLUMNS, "explode(sequence(1L, _copies)) as _copy").drop("_copy")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text: doc_id, n_tokens, ids."""
+    """Token ids of every text, and what they decode to: doc_id, n_tokens, ids, decoded_sha256."""
     prepare(spark)
     ranks = bpe.read_ranks(public_tokenizers.path(VOCABULARY))
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, chunk_bytes=CHUNK_BYTES)
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    decoded = bpe.decode(encoded, ranks)
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 STAGES = [
@@ -81,7 +92,7 @@ STAGES = [
     ("line dedup", drop_recurring_lines),
     ("n-gram Jaccard join", one_of_each_group),
     ("mixing sources to target weights", mix_sources),
-    ("byte-level BPE encoding", tokens),
+    ("byte-level BPE encoding and decoding", tokens),
 ]
 ORACLE_SQL = None
 
