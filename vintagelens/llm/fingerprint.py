@@ -152,14 +152,19 @@ def _placed(key: Column, sign: Column, cells: Column) -> Column:
     )
 
 
-def _combined(cell: Column, number: Column, keys: Column, sign: int) -> Column:
-    """The cell with the placed digests that fall into it added (sign 1) or taken away (-1)."""
+def _hits(number: Column, cells: Column, keys: Column) -> Column:
+    """The placed digests that fall into a cell."""
+    third = (cells / 3).cast("int")
+    place = lambda d: F.when(number < third, d["p0"]).when(number < 2 * third, d["p1"]).otherwise(d["p2"])
+    return F.filter(keys, lambda d: place(d) == number)
+
+
+def _changed(cell: Column, keys: Column, sign: int) -> Column:
+    """The cell with placed digests added (sign 1) or taken away (-1)."""
 
     def step(c: Column, d: Column) -> Column:
-        here = (d["p0"] == number) | (d["p1"] == number) | (d["p2"] == number)
         n = c["n"] + d["s"] if sign > 0 else c["n"] - d["s"]
-        changed = F.struct(n.alias("n"), c["k"].bitwiseXOR(d["k"]).alias("k"), c["c"].bitwiseXOR(d["c"]).alias("c"))
-        return F.when(here, changed.cast(CELL)).otherwise(c)
+        return F.struct(n.alias("n"), c["k"].bitwiseXOR(d["k"]).alias("k"), c["c"].bitwiseXOR(d["c"]).alias("c")).cast(CELL)
 
     return F.aggregate(keys, cell, step)
 
@@ -167,19 +172,9 @@ def _combined(cell: Column, number: Column, keys: Column, sign: int) -> Column:
 def sketch(digests_: Column, cells: Column | int = CELLS) -> Column:
     """The lookup table of the digests: an array of cells, whose number is a multiple of three."""
     cells = F.lit(cells) if isinstance(cells, int) else cells
-    third = (cells / 3).cast("int")
     keys = F.transform(digests_, lambda d: _placed(d, F.lit(1), cells))
-
-    def cell(i: Column, k: Column) -> Column:
-        here = lambda d: F.when(i < third, d["p0"]).when(i < 2 * third, d["p1"]).otherwise(d["p2"]) == i
-        return F.aggregate(F.filter(k, here), no_cell(), _added)
-
-    return let(keys, lambda k: F.transform(F.sequence(F.lit(0), cells - 1), lambda i: cell(i, k)))
-
-
-def _added(c: Column, d: Column) -> Column:
-    changed = F.struct((c["n"] + d["s"]).alias("n"), c["k"].bitwiseXOR(d["k"]).alias("k"), c["c"].bitwiseXOR(d["c"]).alias("c"))
-    return changed.cast(CELL)
+    numbers = F.sequence(F.lit(0), cells - 1)
+    return let(keys, lambda k: F.transform(numbers, lambda i: _changed(no_cell(), _hits(i, cells, k), 1)))
 
 
 def subtract(one: Column, other: Column) -> Column:
@@ -204,7 +199,7 @@ def peel(difference: Column, cells: Column, rounds: int = ROUNDS) -> Column:
 
         def apply(found: Column) -> Column:
             placed = F.transform(found, lambda d: _placed(d["k"], d["n"], cells))
-            left = let(placed, lambda p: F.transform(state["cells"], lambda c, i: _combined(c, i, p, -1)))
+            left = let(placed, lambda p: F.transform(state["cells"], lambda c, i: _changed(c, _hits(i, cells, p), -1)))
             more = F.struct(left.alias("cells"), F.concat(state["found"], found.cast(FOUND)).alias("found")).cast(STATE)
             return F.when(F.size(found) > 0, more).otherwise(state)
 
@@ -293,13 +288,14 @@ def as_text(mark: Column) -> Column:
 
 
 def with_next(docs: DataFrame, parts: int | None = None, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """doc_id, h (hash of the text), text, n (equal rows) and ``next_text``, of distinct (doc_id, text).
+    """doc_id, h (hash of the text), text, n and ``next_text``: each row with the text of the next.
 
     The next row is that by descending doc_id, rows with one doc_id by descending hash of the
-    text, a null doc_id last; the last row is followed by the first. ``next_text`` is what
-    follows the last of the n equal rows; the others are followed by their like. Rows are dealt
-    to ranges of doc_id, a doc_id with very many texts to ranges of their hash, and the head of
-    each range is copied to the end of the range before it, so no task sees all rows.
+    text, a null doc_id last; the last row is followed by the first. Rows are dealt to ranges of
+    doc_id, a doc_id with very many rows to ranges of their hash, and the head of each range
+    (``copy`` = 1) is copied to the end of the range before it, so no task sees all rows. More
+    equal rows than a range should hold are one row with their number n: ``next_text`` is what
+    follows the last of them, the others are followed by their like.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), empty_text().alias("text")).withColumn("h", F.xxhash64("text"))
@@ -311,7 +307,13 @@ def with_next(docs: DataFrame, parts: int | None = None, range_bytes: int = RANG
     # Fewer than half as many as ranges: each has the rows of two.
     hot = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * share).collect()
     cuts = sorted({*cuts, *(d for r in hot if r.doc_id is not None for d in (r.doc_id - 1, r.doc_id))})
-    equal = rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text"))
+    # Fewer than there are ranges: each fills one.
+    many = rows.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share).collect()
+    many = F.broadcast(spark.createDataFrame([tuple(r) for r in many], "many_id long, many_h long, n long"))
+    is_many = F.col("doc_id").eqNullSafe(F.col("many_id")) & (F.col("h") == F.col("many_h"))
+    single = rows.join(many, is_many, "left_anti").withColumn("n", F.lit(1).cast("bigint"))
+    equal = rows.join(many, is_many).groupBy("doc_id", "h", "n").agg(F.first("text").alias("text"))
+    equal = single.unionByName(equal.select(*single.columns))
     # Null ids have a range of their own, the last.
     dealt = equal.withColumn("range", F.when(F.col("doc_id").isNull(), -1).otherwise(_search(cuts)))
     pieces = spark.createDataFrame([(r.doc_id, -(-r.n // share)) for r in hot], "hot_id long, pieces long")
