@@ -6,7 +6,9 @@ the operator's result on its own, in a different way where there is one.
 
 from __future__ import annotations
 
-from checks.queries import DEVELOPMENT_END, FLAT_MONTH, LOAN_MONTH, MONTH, MOVED_FEATURES, RERUN_GONE, TRAIN_DATE
+from checks.queries import (
+    BACKFILL, DEVELOPMENT_END, FLAT_MONTH, LOAN_MONTH, MONTH, MOVED_FEATURES, RERUN_GONE, SCORECARD, TRAIN_DATE,
+)
 from vintagelens import schemas
 from vintagelens.sources.derived import TABLES, portable_sql
 
@@ -300,6 +302,34 @@ oracle(
 having count(case when month(snapshot_date) % 4 <> 0 then Changed_Credit_Limit end) = 0""",
 )
 
+# A blank field of a CSV file is NULL.
+oracle("csv_round_trip", f"select {', '.join(f"nullif({n}, '') as {n}" for n in LOANS)} from loan_feed ")
+_REASONS = ", ".join(
+    f"case when trim({n}) <> '' and {_CASTS[t](n)} is null then concat('{n}: ', {n}) end"
+    for n, t in schemas.LOAN_TYPES.items()
+    if t != "string"
+)
+oracle(
+    "quarantine_loans",
+    f"""select loan_id, installment_num, snapshot_date, reasons, true as has_file
+from (select *, concat_ws('; ', {_REASONS}) as reasons from loan_feed ) t where reasons <> ''""",
+)
+oracle(
+    "quarantine_counts",
+    f"""select snapshot_date, count(*) as n_raw, count(*) - count(nullif(reasons, '')) as n_kept, count(nullif(reasons, '')) as n_held
+from (select *, concat_ws('; ', {_REASONS}) as reasons from loan_feed ) t group by snapshot_date""",
+)
+oracle(
+    "backfill_resumed",
+    f"select * from ({labels(30, 6)}) t where snapshot_date between date '{BACKFILL[0]}' and date '{BACKFILL[1]}'",
+)
+oracle(
+    "write_interrupted",
+    f"""select loan_id, Customer_ID, 1 - label as label, label_def, snapshot_date from label_store
+where snapshot_date <> date '{RERUN_GONE}'
+union all select loan_id, Customer_ID, label, '60dpd_6mob' as label_def, snapshot_date from label_store """,
+)
+
 # Joins
 
 oracle(
@@ -343,6 +373,7 @@ def filled(direction: str) -> str:
 
 STEPS["features_filled"] = filled("both")
 oracle("forward_fill", filled("forward"))
+oracle("forward_fill_carried", filled("forward"))
 oracle("backward_fill", filled("backward"))
 oracle("two_way_fill", filled("both"))
 STEPS["features_doubled"] = f"""
@@ -470,6 +501,28 @@ join predictions p on g.snapshot_date = p.snapshot_date
 group by g.snapshot_date, g.point, g.score""",
 )
 
+oracle("psi_from_baselines", f"select 'm1' as model_name, snapshot_date, {nine('psi')} as psi from snapshot_psi ")
+STEPS["density_settings"] = """
+select snapshot_date, count(*) as n, min(model_predictions) as lo, max(model_predictions) as hi,
+       stddev_samp(model_predictions) * pow(cast(count(*) as double), -0.2) as h
+from predictions group by snapshot_date"""
+STEPS["density_bins"] = """
+select snapshot_date, bin, sum(share) as w from (
+  select snapshot_date, floor(place) as bin, 1 - (place - floor(place)) as share from places
+  union all select snapshot_date, floor(place) + 1, place - floor(place) from places ) b group by snapshot_date, bin"""
+STEPS["places"] = """
+select p.snapshot_date, (model_predictions - lo) / (h / 1000) as place
+from predictions p join density_settings s on p.snapshot_date = s.snapshot_date"""
+oracle(
+    "score_density_binned",
+    f"""select 'm1' as model_name, g.snapshot_date, g.point, {nine("g.score")} as score,
+       {nine("sum(w * exp(-0.5 * pow((g.score - (lo + bin * (h / 1000))) / h, 2))) / max(n * h * sqrt(2 * pi()))")} as density
+from (select *, lo - 3 * h + point * ((hi - lo + 6 * h) / 199) as score
+      from density_settings s, (select cast(i as int) as point from range(200) r(i)) points) g
+join density_bins b on g.snapshot_date = b.snapshot_date
+group by g.snapshot_date, g.point, g.score""",
+)
+
 _EARLY_RISK = f"(select * from cust_fin_risk where snapshot_date <= date '{DEVELOPMENT_END}') e"
 oracle(
     "scaler_fit",
@@ -573,6 +626,34 @@ oracle(
 )
 oracle("metric_trend", f"select model_name, snapshot_date, {nine('predict_psi')} as predict_psi from report ")
 
+# Scores
+
+STEPS["scored_features"] = f"""
+select Customer_ID, snapshot_date, {", ".join(f"max({x}) as {x}" for x in schemas.MODEL_FEATURES)}
+from (select r.Customer_ID, r.snapshot_date, {FEATURES} from cust_fin_risk r
+      left join engagement e on e.Customer_ID = r.Customer_ID and e.snapshot_date = r.snapshot_date) t
+group by Customer_ID, snapshot_date"""
+STEPS["scaled_features"] = (
+    "select Customer_ID, snapshot_date, "
+    + ", ".join(f"coalesce(({x} - m_{x}) / (case when s_{x} = 0 then 1 else s_{x} end), 0) as {x}" for x in schemas.MODEL_FEATURES)
+    + " from scored_features , (select "
+    + ", ".join(f"avg({x}) as m_{x}, stddev_pop({x}) as s_{x}" for x in schemas.MODEL_FEATURES)
+    + " from scored_features ) p"
+)
+
+
+def tree(node) -> str:
+    if isinstance(node, float):
+        return repr(node) + "::double"
+    return f"case when {node[0]} <= {node[1]!r}::double then {tree(node[2])} else {tree(node[3])} end"
+
+
+oracle(
+    "score_scorecard",
+    f"""select Customer_ID, snapshot_date, 'card' as model_name,
+       {nine("1 / (1 + exp(-2 * (" + " + ".join(map(tree, SCORECARD)) + ")))")} as model_predictions from scaled_features """,
+)
+
 # Pipelines
 
 oracle("label_store_pipeline", labels(30, 6))
@@ -600,6 +681,8 @@ oracle(
     """select split, count(*) as n_rows, cast(sum(label) as bigint) as n_bad, cast(sum(label) as double) / count(*) as label_mean
 from trained_rows group by split""",
 )
+for _name in ("model_reload", "score_by_stage"):
+    oracle(_name, "select count(*) as n_rows, cast(0 as bigint) as n_differ from trained_rows ")
 oracle(
     "score_backfill_keys",
     """select Customer_ID, snapshot_date, 'm1' as model_name, true as in_range from cust_fin_risk

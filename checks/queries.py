@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +14,9 @@ from vintagelens.functions import delinquency
 from vintagelens.functions.scores import gini
 from vintagelens.operators import drift, features, fills, impute, modelling, monitoring, ranking, rows, scaling
 from vintagelens.operators import silver, splits
-from vintagelens.plans import feature_store, label_store, scoring, training
+from vintagelens.operators.treesql import Ensemble, Scale
+from vintagelens.plans import backfill, feature_store, history, label_store, scoring, training
+from vintagelens.plans.datamart import Datamart
 from vintagelens.session import apply_settings, new_table_path
 from vintagelens.sources import calendar, feeds, snapshots
 from vintagelens.sources.derived import derive
@@ -33,6 +36,17 @@ MOVED_FEATURES = [*schemas.MODEL_FEATURES[1:], schemas.MODEL_FEATURES[0]]
 # folds and the refit, that is seven fits. Only the number of draws is lowered.
 CHECK_DRAWS = 2
 PIPELINE_DRAWS = 1
+# Periods of the carried fill and of the backfill that stops and goes on.
+FILL_PERIODS = [("2023-01-01", "2023-04-01"), ("2023-05-01", "2023-05-01"), ("2023-06-01", "2025-12-01")]
+BACKFILL = ("1996-01-01", "1999-12-01")
+BACKFILL_STOP = "1997-06-01"
+# A small fixed ensemble in the scaled features: (feature, threshold, left, right), leaves times weight.
+# It stands for a fitted one where SQL has to know the trees beforehand.
+SCORECARD = [
+    ("Num_Fin_Pdts", 0.137, ("click_6m", -0.271, -0.31, 0.12), ("Outstanding_Debt", 0.613, 0.27, ("Interest_Rate", -0.419, -0.08, 0.45))),
+    ("Credit_History_Age", -0.523, ("Loan_Extent", 0.211, 0.19, -0.23), ("click_1m", 0.333, -0.14, 0.09)),
+    ("Delay_from_due_date", 0.777, ("EMI_to_Salary", -0.101, 0.05, -0.17), 0.21),
+]
 FLAT_MONTH = "2023-05-01"
 RERUN_GONE = "2023-05-01"
 
@@ -171,6 +185,54 @@ def snapshot_calendar(spark, d):
     return calendar.snapshot_calendar(derive(spark, d, "loan_snapshots"), "snapshot_date")
 
 
+@query
+def csv_round_trip(spark, d):
+    """The loan feed written as CSV files and scanned again as text; blank fields are NULL."""
+    path = new_table_path(spark, "feed")
+    derive(spark, d, "loan_feed").write.option("header", True).csv(path)
+    return feeds.read_feed(spark, path)
+
+
+@query
+def quarantine_loans(spark, d):
+    """Rows of the scanned feed that hold text which does not parse, with line and reasons."""
+    path = new_table_path(spark, "feed")
+    derive(spark, d, "loan_feed").write.option("header", True).csv(path)
+    _, held = feeds.sort_out(feeds.read_feed(spark, path, with_file=True), schemas.LOAN_TYPES)
+    known = F.col("file").endswith(".csv").alias("has_file")
+    return held.select("loan_id", "installment_num", "snapshot_date", F.concat_ws("; ", "reasons").alias("reasons"), known)
+
+
+@query
+def quarantine_counts(spark, d):
+    return feeds.quarantine_counts(derive(spark, d, "loan_feed"), schemas.LOAN_TYPES)
+
+
+@query
+def backfill_resumed(spark, d):
+    """A backfill that stops after two stages of half its period, goes on, and meets changed rows."""
+    mart = Datamart(new_table_path(spark, "mart"))
+    ledger = derive(spark, d, "loan_snapshots")
+    late = F.col("snapshot_date") == F.lit(BACKFILL_STOP).cast("date")
+    # The last snapshot of the half arrives without its overdue amounts at first.
+    backfill.run(ledger.withColumn("overdue_amt", F.when(~late, F.col("overdue_amt"))), mart, BACKFILL[0], BACKFILL_STOP, stages=["bronze", "silver"])
+    backfill.run(ledger, mart, *BACKFILL)
+    return snapshots.read_all(spark, mart.label_store, schemas.LABELS).select(*schemas.LABEL_COLUMNS)
+
+
+@query
+def write_interrupted(spark, d):
+    """Labels whose rewrite dies after its intent was recorded; the next write finishes it first."""
+    labels, path, whole = derive(spark, d, "label_store"), new_table_path(spark, "labels"), ("1990-01-01", "2100-01-01")
+    columns = ["label_def", "snapshot_date"]
+    snapshots.write_snapshots(labels, path, columns, period=whole)
+    gone = F.col("snapshot_date") == F.lit(RERUN_GONE).cast("date")
+    snapshots.stage(labels.where(~gone).withColumn("label", 1 - F.col("label")), path, columns, whole)
+    other = labels.withColumn("label_def", F.lit("60dpd_6mob"))
+    snapshots.write_snapshots(other, path, columns, period=whole, within={"label_def": "60dpd_6mob"})
+    return snapshots.read_all(spark, path, schemas.LABELS).select(*schemas.LABEL_COLUMNS)
+
+
 # Projections, filters, predicates
 
 
@@ -461,6 +523,23 @@ def score_density(spark, d):
     return density.select("model_name", "snapshot_date", "point", *rounded)
 
 
+@query
+def score_density_binned(spark, d):
+    density = drift.score_density_binned(derive(spark, d, "predictions"), ["model_name", "snapshot_date"], "model_predictions")
+    rounded = [nine_places(x).alias(x) for x in ("score", "density")]
+    return density.select("model_name", "snapshot_date", "point", *rounded)
+
+
+@query
+def psi_from_baselines(spark, d):
+    """PSI of every snapshot against stored bin edges and counts of the one before."""
+    predictions, path = derive(spark, d, "predictions"), new_table_path(spark, "baselines")
+    snapshots.write_snapshots(drift.baselines(predictions, ["model_name"]), path, ["model_name", "snapshot_date"])
+    stored_ = snapshots.read_all(spark, path, schemas.BASELINES)
+    index = drift.psi_from_baselines(predictions, stored_, ["model_name"])
+    return index.select("model_name", "snapshot_date", nine_places("psi").alias("psi"))
+
+
 @query
 def scaler_fit(spark, d):
     fitted = scaling.scaler_fit(derive(spark, d, "cust_fin_risk"), schemas.RISK_FEATURES)
@@ -492,6 +571,15 @@ def forward_fill(spark, d):
     return _fill(spark, d, "forward")
 
 
+@query
+def forward_fill_carried(spark, d):
+    """The forward fill period by period, each from the stored state of the one before."""
+    rows_, path = feature_rows(spark, d), new_table_path(spark, "carried")
+    for start, end in FILL_PERIODS:
+        history.fill_period(rows_, f"{path}/filled", f"{path}/state", start, end, schemas.MODEL_FEATURES)
+    return snapshots.read_all(spark, f"{path}/filled", schemas.JOINED).select(*KEYS, *schemas.MODEL_FEATURES)
+
+
 @query
 def backward_fill(spark, d):
     return _fill(spark, d, "backward")
@@ -592,6 +680,44 @@ def _score(spark: SparkSession, d: str, start: str, end: str) -> DataFrame:
     return scoring.score_snapshots(model, MODEL, engagement, risk, start, end)
 
 
+def scorecard(spark: SparkSession, d: str) -> Ensemble:
+    """The fixed trees, with the scaler fitted on all features that are scored."""
+    names = schemas.MODEL_FEATURES
+    p = scaling.scaler_row(_model_features(spark, d, "risk"), names).first()
+
+    def placed(node):
+        return node if isinstance(node, float) else (names.index(node[0]), node[1], placed(node[2]), placed(node[3]))
+
+    return Ensemble(names, [Scale(p[f"mean_{c}"], p[f"std_{c}"] or 1.0) for c in names], [placed(t) for t in SCORECARD])
+
+
+@query
+def score_scorecard(spark, d):
+    """Scores of all snapshots by compiled trees: split values against SQL that scales first."""
+    _, engagement, risk = risk_tables(spark, d)
+    scores = scoring.score_snapshots(scorecard(spark, d), "card", engagement, risk, "2023-01-01", "2030-01-01")
+    return scores.withColumn("model_predictions", nine_places("model_predictions"))
+
+
+@query
+def model_reload(spark, d):
+    """Rows scored by the model in memory and by the stored one read back, and how many differ."""
+    kept = trained(spark, d)
+    rows_ = training_rows(spark, d)
+    loaded = modelling.ensemble(modelling.load_model(kept.registry.first().model_path))
+    both = loaded.with_score(modelling.ensemble(kept.model).with_score(rows_, "_memory"), "_loaded")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("_memory") != F.col("_loaded")).alias("n_differ"))
+
+
+@query
+def score_by_stage(spark, d):
+    """Rows scored by the compiled trees and by the library's own transformation, and how many differ."""
+    kept, rows_ = trained(spark, d), training_rows(spark, d)
+    both = modelling.ensemble(kept.model).with_score(kept.model.transform(rows_), "_compiled")
+    apart = F.abs(vector_to_array("probability")[1] - F.col("_compiled")) > 1e-12
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(apart).alias("n_differ"))
+
+
 @query
 def score_snapshot(spark, d):
     return _score(spark, d, TRAIN_DATE, TRAIN_DATE)

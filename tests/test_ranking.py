@@ -88,3 +88,35 @@ def test_percentiles_per_group(spark):
     for row in ranking.percentiles(df, ["g"], "v", [0.0, 0.1, 0.5, 1.0]).collect():
         own = [v for g, v in rows if g == row.g]
         assert row.n == len(own) and np.allclose(row.percentiles, np.quantile(own, [0.0, 0.1, 0.5, 1.0]), atol=1e-12)
+
+
+@pytest.mark.parametrize("most_values", [5, 40])
+def test_full_ranges_are_cut_again(spark, monkeypatch, most_values):
+    """Results do not change, and no window partition holds more than the stated number of values."""
+    pairs = {"big": random_pairs(7, 3_000, 400), "small": random_pairs(8, 40), None: random_pairs(9, 200)}
+    rows = [(g, y, s) for g, found in pairs.items() for y, s in found]
+    df = spark.createDataFrame(rows, "g string, label int, score double").cache()
+    monkeypatch.setattr(ranking, "BASE", 4)  # 16 ranges a cut
+    monkeypatch.setattr(ranking, "MOST_VALUES", most_values)
+    monkeypatch.setattr(ranking, "CUTS", 2)
+    got = {r.g: r.roc_auc for r in ranking.auc(df, ["g"]).collect()}
+    assert got == {g: pytest.approx(brute_auc(p), abs=1e-12) for g, p in pairs.items()}
+    exact = {r.g: r.percentiles for r in ranking.percentiles(df, ["g"], "score", [0.0, 0.1, 0.5, 0.93, 1.0]).collect()}
+    for g, found in pairs.items():
+        assert exact[g] == pytest.approx(np.percentile([s for _, s in found], [0, 10, 50, 93, 100]).tolist(), abs=1e-12)
+    ranged = ranking._ranged(df, ["g"], "score", [])
+    cells = ranged.groupBy("g", "_range", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    split = ranking.split_full_ranges(cells, ["g"], ["_n"])
+    sizes = [r["count"] for r in split.groupBy("g", "_range").count().collect()]
+    assert max(sizes) <= most_values and sum(sizes) == cells.count()
+    bounds = split.groupBy("g", "_range").agg(F.min("_value").alias("lo"), F.max("_value").alias("hi")).collect()
+    for g in pairs:
+        own = sorted((r["_range"], r.lo, r.hi) for r in bounds if r.g == g)
+        assert all(a[2] < b[1] for a, b in zip(own, own[1:]))
+
+
+def test_windows_run_over_refined_ranges(spark):
+    df = spark.createDataFrame([("a", 1, 0.5)], "g string, label int, score double")
+    for query in (ranking.auc(df, ["g"]), ranking.percentiles(df, ["g"], "score", [0.5])):
+        plan = query._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("percentile_approx") >= 1 + ranking.CUTS

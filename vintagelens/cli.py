@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import argparse
 
-from vintagelens.operators.modelling import DRAWS, PARALLELISM
-from vintagelens.plans import feature_store, label_store, monitoring, scoring, training
+from vintagelens.operators.modelling import DRAWS
+from vintagelens.plans import backfill, feature_store, history, label_store, monitoring, scoring, training
 from vintagelens.plans.datamart import FEATURE_FEEDS, Datamart
 from vintagelens.schemas import LABEL_DEFINITION
 from vintagelens.session import build_session
+from vintagelens.sources.feeds import read_feed
 
 
 def parser() -> argparse.ArgumentParser:
@@ -30,7 +31,9 @@ def parser() -> argparse.ArgumentParser:
     labels = commands.add_parser("label-store", help="loan feed to label store")
     for command in (ingest, labels):
         command.add_argument("--feed", default="data/lms_loan_daily.csv")
+        command.add_argument("--quarantine", action="store_true", help="rows that do not parse go to a side table")
         _period(command)
+    labels.add_argument("--resume", action="store_true", help="only snapshots that are not done, or whose input has changed")
     labels.add_argument("--dpd", type=int, default=30)
     labels.add_argument("--mob", type=int, default=6)
 
@@ -39,6 +42,9 @@ def parser() -> argparse.ArgumentParser:
         store.add_argument(f"--{feed}", required=True)
     _period(store)
 
+    fill = commands.add_parser("fill", help="model features of a period, filled forward from the state before it")
+    _period(fill)
+
     train = commands.add_parser("train", help="search, report and register a model")
     train.add_argument("--snapshotdate", required=True)
     train.add_argument("--modelname")
@@ -47,7 +53,7 @@ def parser() -> argparse.ArgumentParser:
     train.add_argument("--metric", choices=["auc", "auc_hard"], default="auc")
     train.add_argument("--fill", choices=["both", "forward"], default="both")
     train.add_argument("--firstsnapshot", help="first snapshot of the history; by default the first there is")
-    train.add_argument("--parallelism", type=int, default=PARALLELISM, help="fits that run at the same time")
+    train.add_argument("--parallelism", type=int, help="boosting runs that go at the same time; as many as fill the cluster by default")
 
     train.add_argument("--labeldef", default=LABEL_DEFINITION)
 
@@ -68,12 +74,17 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(master=a.master)
     mart = Datamart(a.datamart)
     if a.command == "bronze-loans":
-        label_store.ingest_loans(spark, a.feed, mart, a.start, a.end or a.start)
+        label_store.ingest_loans(spark, a.feed, mart, a.start, a.end or a.start, a.quarantine)
+    elif a.command == "label-store" and a.resume:
+        done = backfill.run(read_feed(spark, a.feed), mart, a.start, a.end or a.start, a.dpd, a.mob)
+        print("\n".join(f"{stage}: {', '.join(map(str, days)) or 'nothing to do'}" for stage, days in done.items()))
     elif a.command == "label-store":
-        label_store.run(spark, a.feed, mart, a.start, a.end or a.start, a.dpd, a.mob).show()
+        label_store.run(spark, a.feed, mart, a.start, a.end or a.start, a.dpd, a.mob, a.quarantine).show()
     elif a.command == "feature-store":
         feeds = {feed: getattr(a, feed) for feed in FEATURE_FEEDS}
         feature_store.run(spark, feeds, mart, a.start, a.end or a.start).show(5)
+    elif a.command == "fill":
+        history.run(spark, mart, a.start, a.end).show(5)
     elif a.command == "train":
         trained = training.run(
             spark, mart, a.snapshotdate, a.modelname, a.source, draws=a.draws, metric=a.metric, direction=a.fill,

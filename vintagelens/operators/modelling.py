@@ -3,6 +3,10 @@
 Trees of the distributed library take no NULL and have no L1/L2 leaf terms. Training uses
 complete rows; in scoring a missing feature is put at its training mean, so that every
 row is scored. The leaf terms are left out of the grids.
+
+The search boosts once for all drawn points that differ in the number of trees only: the first
+trees of a long run are those of a shorter one. Runs are compiled to column expressions, of the
+first 25, 50 or 75 trees, and each is evaluated on the fold that its run has not seen.
 """
 
 from __future__ import annotations
@@ -10,22 +14,24 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
+from pyspark.util import inheritable_thread_target
 
 from vintagelens.functions.scores import gini
 from vintagelens.operators.ranking import auc
 from vintagelens.operators.scaling import scaler_row
 from vintagelens.operators.splits import SEED, split_stats, stratified_folds
+from vintagelens.operators.treesql import Ensemble, Scale, parse_trees
 from vintagelens.session import shared_dir
 
 # The search spaces of the laboratory and of the scheduled trainer.
@@ -42,8 +48,10 @@ SCHEDULED_GRID = {**LAB_GRID, "n_estimators": [25, 50, 75], "max_depth": [2, 3,
 DRAWS = 100
 FOLDS = 3
 SEARCH_SEED = 42
-# Fits that run at the same time.
-PARALLELISM = 2
+# Training rows that one task reads: fewer rows make fewer tasks, and more runs go side by side.
+ROWS_PER_TASK = 100_000
+MOST_RUNS_AT_A_TIME = 16
+LENGTH = "n_estimators"
 
 # How the names of the grid map to parameters of the classifier.
 PARAMETER_NAMES = {
@@ -57,6 +65,7 @@ PARAMETER_NAMES = {
 }
 
 _SCALED = "_scaled"
+_TERM = re.compile(r"\(`([^`]+)` - double\('([^']+)'\)\) / double\('([^']+)'\)")
 
 
 @dataclass
@@ -108,6 +117,14 @@ def draw_params(grid: dict[str, list], draws: int, seed: int = SEARCH_SEED) -> l
     return random.Random(seed).sample(points, min(draws, len(points)))
 
 
+def shared_runs(points: list[dict]) -> dict[tuple, list[int]]:
+    """Places of the points that one boosting run serves: all but the number of trees is equal."""
+    runs: dict[tuple, list[int]] = {}
+    for place, point in enumerate(points):
+        runs.setdefault(tuple((k, v) for k, v in point.items() if k != LENGTH), []).append(place)
+    return runs
+
+
 def random_search(
     train: DataFrame,
     features: list[str],
@@ -117,56 +134,86 @@ def random_search(
     folds: int = FOLDS,
     metric: str = "auc",
     label: str = "label",
-    parallelism: int = PARALLELISM,
+    parallelism: int | None = None,
 ) -> SearchResult:
     """Cross-validated random search, then a refit of the best point on all of ``train``.
 
     ``metric`` is ``auc`` (on probabilities) or ``auc_hard`` (on predicted classes, which
     is balanced accuracy). Folds hold even counts of each label; they follow a hash of the key
-    and do not move between runs. The metric uses every distinct score.
+    and do not move between runs. The metric uses every distinct score. As many runs go at a
+    time as fill the cluster, or ``parallelism``.
     """
+    spark = train.sparkSession
     prepared = preparation(train, features)
     folded = stratified_folds(train, label, keys, folds, SEARCH_SEED)
-    vectors = prepared.transform(folded).select(F.col(label).cast("double").alias(label), "features", "fold")
+    vectors = prepared.transform(folded).select(F.col(label).cast("double").alias(label), "features", "fold", *features)
     points = draw_params(grid, draws)
-    gbt = classifier(label=label)
-    raw = {"auc": "rawPrediction", "auc_hard": "prediction"}[metric]
-    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw, metricName="areaUnderROC", numBins=0)
-    shared_dir(train.sparkSession)
-    search = CrossValidator(
-        estimator=gbt,
-        estimatorParamMaps=[_param_map(gbt, p) for p in points],
-        evaluator=evaluator,
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    runs = list(shared_runs(points).values())
+    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="score", metricName="areaUnderROC", numBins=0)
+    shared_dir(spark)
+    stored = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    tasks = max(1, math.ceil(stored.count() / ROWS_PER_TASK))
+    compact = stored.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found = search.fit(vectors)
+        held_out = [compact.where(F.col("fold") == k) for k in range(folds)]
+        learned = [compact.where(F.col("fold") != k).select(label, "features") for k in range(folds)]
+
+        def run(job: tuple[list[int], int]) -> list[tuple[int, float]]:
+            places, fold = job
+            longest = max((points[p] for p in places), key=lambda point: point.get(LENGTH, 0))
+            model = classifier(longest, label).fit(learned[fold])
+            trees = Ensemble(features, scales(prepared, features), parse_trees(model.toDebugString))
+            found = []
+            for place in places:
+                scored = trees.with_margin(held_out[fold].drop("features", "fold"), "score", points[place].get(LENGTH))
+                if metric == "auc_hard":
+                    scored = scored.withColumn("score", (F.col("score") > 0).cast("double"))
+                found.append((place, evaluator.evaluate(scored)))
+            return found
+
+        jobs = [(places, fold) for places in runs for fold in range(folds)]
+        at_a_time = parallelism or min(MOST_RUNS_AT_A_TIME, max(1, spark.sparkContext.defaultParallelism // tasks))
+        with ThreadPoolExecutor(at_a_time) as pool:
+            found = [x for part in pool.map(inheritable_thread_target(spark)(run), jobs) for x in part]
+        averages = [math.fsum(m for p, m in found if p == place) / folds for place in range(len(points))]
+        best = max(range(len(points)), key=lambda i: averages[i])
+        model = classifier(points[best], label).fit(compact.select(label, "features"))
     finally:
-        vectors.unpersist()
-    best = max(range(len(points)), key=lambda i: found.avgMetrics[i])
-    trials = train.sparkSession.createDataFrame(
-        [(i, _text(p), float(m), i == best) for i, (p, m) in enumerate(zip(points, found.avgMetrics))],
+        compact.unpersist()
+        stored.unpersist()
+    trials = spark.createDataFrame(
+        [(i, _text(p), float(m), i == best) for i, (p, m) in enumerate(zip(points, averages))],
         f"trial int, params map<string,string>, {metric} double, best boolean",
     )
-    return SearchResult(PipelineModel(stages=[*prepared.stages, found.bestModel]), points[best], trials)
+    return SearchResult(PipelineModel(stages=[*prepared.stages, model]), points[best], trials)
 
 
-def score(model: PipelineModel, features: DataFrame, model_name: str) -> DataFrame:
-    """Probability of default of every row, with its key. One snapshot or many."""
-    return model.transform(features).select(
-        "Customer_ID",
-        "snapshot_date",
-        F.lit(model_name).alias("model_name"),
-        vector_to_array("probability")[1].alias("model_predictions"),
-    )
+def scales(prepared: PipelineModel, features: list[str]) -> list[Scale]:
+    """Mean and deviation of every feature, read from the scaling step of a fitted pipeline."""
+    found = {m[0]: Scale(float(m[1]), float(m[2])) for m in _TERM.findall(prepared.stages[0].getStatement())}
+    return [found[c] for c in features]
+
+
+def ensemble(model: PipelineModel) -> Ensemble:
+    """Scaling and trees of a fitted or loaded pipeline as column expressions."""
+    features = [c.removesuffix(_SCALED) for c in model.stages[1].getInputCols()]
+    return Ensemble(features, scales(model, features), parse_trees(booster(model).toDebugString))
+
+
+def score(model: PipelineModel | Ensemble, features: DataFrame, model_name: str) -> DataFrame:
+    """Probability of default of every row, with its key. One snapshot or many.
+
+    A projection on the features as they are: no vectors and no ML stage.
+    """
+    trees = model if isinstance(model, Ensemble) else ensemble(model)
+    scored = trees.with_score(features.select("Customer_ID", "snapshot_date", *trees.features), "model_predictions")
+    return scored.select("Customer_ID", "snapshot_date", F.lit(model_name).alias("model_name"), "model_predictions")
 
 
 def split_report(model: PipelineModel, split_rows: DataFrame, label: str = "label") -> DataFrame:
     """Rows, label mean, AUC and Gini per split (train, test, oot)."""
-    scored = model.transform(split_rows).select("split", label, vector_to_array("probability")[1].alias("score"))
+    trees = ensemble(model)
+    scored = trees.with_score(split_rows.select("split", label, *trees.features), "score")
     quality = auc(scored, ["split"], label, "score")
     return (
         split_stats(split_rows, label)
@@ -187,9 +234,16 @@ def booster(model: PipelineModel) -> GBTClassificationModel:
 
 
 def registry_row(
-    spark: SparkSession, model_name: str, train_date: str, report: DataFrame, params: dict, windows: dict, path: str
+    spark: SparkSession,
+    model_name: str,
+    train_date: str,
+    report: DataFrame,
+    params: dict,
+    windows: dict,
+    dates: list[str],
+    path: str,
 ) -> DataFrame:
-    """What is kept beside a model: data windows, split statistics, results and parameters."""
+    """What is kept beside a model: data windows and snapshots, split statistics, results and parameters."""
     by_split = {r.split: r for r in report.collect()}  # one row per split
 
     def column(name: str) -> dict:
@@ -201,6 +255,7 @@ def registry_row(
                 model_name,
                 train_date,
                 {k: str(v) for k, v in windows.items()},
+                dates,
                 {s: r.n_rows for s, r in by_split.items()},
                 column("label_mean"),
                 column("roc_auc"),
@@ -209,7 +264,7 @@ def registry_row(
                 path,
             )
         ],
-        "model_name string, train_date string, windows map<string,string>, n_rows map<string,bigint>, "
+        "model_name string, train_date string, windows map<string,string>, data_dates array<string>, n_rows map<string,bigint>, "
         "label_mean map<string,double>, roc_auc map<string,double>, gini map<string,double>, "
         "params map<string,string>, model_path string",
     )

@@ -7,22 +7,27 @@ from pyspark.sql import functions as F
 
 from vintagelens import schemas
 from vintagelens.functions.scores import auc_status, psi_status
-from vintagelens.operators.drift import psi_by_snapshot
+from vintagelens.operators.drift import psi_by_snapshot, psi_from_baselines
 from vintagelens.operators.features import labelled_predictions
 from vintagelens.operators.ranking import auc
 
 RUN = ["model_name", "snapshot_date"]
 
 
-def monitor_report(predictions: DataFrame, labels: DataFrame) -> DataFrame:
+def monitor_report(predictions: DataFrame, labels: DataFrame, baselines: DataFrame | None = None) -> DataFrame:
     """One row per model and snapshot that has a snapshot one month before it.
 
-    PSI against that snapshot, AUC where labels have arrived, and a status for each.
+    PSI against that snapshot, AUC where labels have arrived, and a status for each. With stored
+    ``baselines`` the predictions of the snapshot before are not needed.
     """
-    drift = psi_by_snapshot(predictions, ["model_name"]).withColumnRenamed("psi", "predict_psi")
+    if baselines is None:
+        drift = psi_by_snapshot(predictions, ["model_name"])
+    else:
+        drift = psi_from_baselines(predictions, baselines, ["model_name"])
     quality = auc(labelled_predictions(labels, predictions), RUN, "label", "model_predictions").select(*RUN, "roc_auc")
     return (
-        drift.join(quality, RUN, "left")
+        drift.withColumnRenamed("psi", "predict_psi")
+        .join(quality, RUN, "left")
         .withColumns({"psi_status": psi_status("predict_psi"), "auc_status": auc_status("roc_auc")})
         .select(*schemas.MONITOR_COLUMNS)
     )

@@ -3,8 +3,9 @@
 A running count over all values of a group would put the whole group into one task.
 Instead the value axis is cut into ranges that hold about equally many rows (a sketch of
 fixed size, read by a scalar subquery), equal values are counted before the shuffle, and
-running counts are taken inside each (group, range). Range totals, a few rows per group,
-then give the counts below each range. The result does not depend on where the cuts lie.
+running counts are taken inside each (group, range). A range that still holds too many distinct
+values is cut again by a sketch of its own, and so on. Range totals then give the counts below
+each range. The result does not depend on where the cuts lie.
 """
 
 from __future__ import annotations
@@ -16,6 +17,13 @@ from pyspark.sql import functions as F
 
 # The value axis is cut into BASE * BASE ranges, found digit by digit.
 BASE = 16
+# Accuracy of the sketches: the rank of a cut is off by one part in so many.
+ACCURACY = 1_000
+# A range with more distinct values is cut again, up to so many times. A window partition then
+# holds about MOST_VALUES values at most while a group has fewer than MOST_VALUES * 256 ** (1 + CUTS),
+# which is 1e10 with one more cut.
+MOST_VALUES = 200_000
+CUTS = 1
 # Pair counts are summed in a lower part of this many bits and the rest.
 PART_BITS = 20
 
@@ -30,6 +38,7 @@ def percentiles(df: DataFrame, groups: list[str], value: str, probabilities: lis
         .groupBy(*groups, "_range", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    cells = split_full_ranges(cells, groups, ["_n"])
     ranked = _with_wanted_ranks(cells, groups, probabilities).select(
         *groups, "n", "_value", "_n", (F.col("_below") + F.col("_upto")).alias("_last"), F.explode("_wanted").alias("_w")
     )
@@ -105,6 +114,7 @@ def auc(df: DataFrame, groups: list[str], label: str = "label", score: str = "sc
         .groupBy(*groups, "_range", "_value")
         .agg(F.count_if(F.col("_label") == 1).alias("_pos"), F.count_if(F.col("_label") != 1).alias("_neg"))
     )
+    cells = split_full_ranges(cells, groups, ["_pos", "_neg"])
     below = F.sum("_neg").over(
         Window.partitionBy(*groups, "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ) - F.col("_neg")
@@ -141,24 +151,61 @@ def _ranged(df: DataFrame, groups: list[str], value: str, carried: list[Column])
     The cuts are the same for all groups, so no range of a group holds more than about
     1 in BASE * BASE of all distinct values, however large the group is.
     """
+    cuts = df.agg(_sketch(f"double(`{value}`)")).scalar()
+    rows = df.select(*groups, F.col(value).cast("double").alias("_value"), *carried, cuts.alias("_cuts"))
+    return _numbered(rows).withColumnRenamed("_inner", "_range").drop("_cuts")
+
+
+def split_full_ranges(
+    cells: DataFrame, groups: list[str], counts: list[str], most_values: int | None = None, cuts: int | None = None
+) -> DataFrame:
+    """``cells`` with ``_range`` made finer where a range holds more than ``most_values`` cells.
+
+    Each cut divides a full range into up to BASE * BASE by a sketch of its values. Ranges keep
+    their order. Where no range is full, the join meets an empty side and falls away at run time.
+    Both uses of the cells read the ``counts`` columns, so that they share one shuffle.
+    """
+    most_values = MOST_VALUES if most_values is None else most_values
+    keys = [*groups, "_range"]
+    cells = cells.withColumn("_range", F.col("_range").cast("long"))
+    for _ in range(CUTS if cuts is None else cuts):
+        counted = F.sum(sum((F.col(c) for c in counts), F.lit(0))).alias("_rows")
+        sizes = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cells"), counted, _sketch("_value"))
+        full = sizes.where((F.col("_cells") > most_values) & (F.col("_rows") > 0)).select(*keys, "_cuts")
+        joined = cells.alias("c").join(full.alias("t"), _same(keys), "left").select("c.*", "t._cuts")
+        finer = F.col("_range") * (BASE * BASE) + F.when(F.col("_cuts").isNull(), 0).otherwise(F.col("_inner"))
+        cells = _numbered(joined).withColumn("_range", finer).drop("_cuts", "_inner")
+    return cells
+
+
+def _same(keys: list[str]) -> list[Column]:
+    return [F.col(f"c.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+
+
+def _sketch(value: str) -> Column:
+    """Cuts between BASE * BASE ranges of about equally many rows, as the array ``_cuts``."""
     ranges = BASE * BASE
     steps = ", ".join(f"{i / ranges}D" for i in range(1, ranges))
-    cuts = df.agg(F.expr(f"percentile_approx(double(`{value}`), array({steps}), 10000)")).scalar()
+    return F.expr(f"percentile_approx({value}, array({steps}), {ACCURACY})").alias("_cuts")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows with ``_inner``: the number of the range, by their ``_cuts``, that ``_value`` lies in."""
     return (
-        df.select(*groups, F.col(value).cast("double").alias("_value"), *carried, cuts.alias("_cuts"))
-        .withColumn("_high", F.expr(_digit(lambda i: f"get(_cuts, {i * BASE + BASE - 1})")))
+        rows.withColumn("_high", F.expr(_digit(lambda i: f"get(_cuts, {i * BASE + BASE - 1})")))
         .withColumn("_low", F.expr(_digit(lambda i: f"get(_cuts, _high * {BASE} + {i})")))
-        .withColumn("_range", F.col("_high") * BASE + F.col("_low"))
-        .drop("_cuts", "_high", "_low")
+        .withColumn("_inner", F.col("_high") * BASE + F.col("_low"))
+        .drop("_high", "_low")
     )
 
 
-def _digit(cut: Callable[[int], str], first: int = 0, last: int = BASE - 1) -> str:
+def _digit(cut: Callable[[int], str], first: int = 0, last: int | None = None) -> str:
     """Binary search among sorted cuts as nested conditions, which stay inside generated code.
 
     One digit of base 16 keeps the generated method small enough to be compiled by the JVM;
     a single search among all cuts would not be.
     """
+    last = BASE - 1 if last is None else last
     if first == last:
         return str(first)
     middle = (first + last) // 2

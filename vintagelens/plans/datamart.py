@@ -20,6 +20,9 @@ class Datamart:
     def loan_bronze(self) -> str:
         return self._at("bronze", "lms")
 
+    def quarantine(self, feed: str) -> str:
+        return self._at("bronze", "quarantine", feed)
+
     @property
     def loan_silver(self) -> str:
         return self._at("silver", "loan_daily")
@@ -46,6 +49,26 @@ class Datamart:
     def risk(self) -> str:
         return self._at("gold", "feature_store", "cust_fin_risk")
 
+    @property
+    def joined_features(self) -> str:
+        return self._at("gold", "feature_store", "joined")
+
+    @property
+    def filled_features(self) -> str:
+        return self._at("gold", "feature_store", "filled")
+
+    @property
+    def fill_state(self) -> str:
+        return self._at("gold", "feature_store", "fill_state")
+
+    @property
+    def baselines(self) -> str:
+        return self._at("gold", "monitor", "baselines")
+
+    @property
+    def ledger(self) -> str:
+        return self._at("gold", "ledger")
+
     @property
     def training_sets(self) -> str:
         return self._at("gold", "training_set")

@@ -9,14 +9,16 @@ from vintagelens import schemas
 from vintagelens.operators import modelling
 from vintagelens.operators.features import model_features
 from vintagelens.operators.fills import fill_within_date
+from vintagelens.operators.treesql import Ensemble
 from vintagelens.plans.datamart import Datamart
+from vintagelens.plans.monitoring import store_baselines
 from vintagelens.sources.snapshots import read_all, snapshot_between, write_snapshots
 
 PREDICTION_PARTITIONS = ["model_name", "snapshot_date"]
 
 
 def score_snapshots(
-    model: PipelineModel, model_name: str, engagement: DataFrame, risk: DataFrame, start: str, end: str
+    model: PipelineModel | Ensemble, model_name: str, engagement: DataFrame, risk: DataFrame, start: str, end: str
 ) -> DataFrame:
     """Scores of a closed period, each snapshot by its own features only.
 
@@ -38,15 +40,20 @@ def write_predictions(
 def run(
     spark: SparkSession, mart: Datamart, model_name: str, start: str, end: str | None = None, source: str = "risk"
 ) -> DataFrame:
-    """Score one snapshot, or every snapshot of a period, and store the predictions."""
+    """Score one snapshot, or every snapshot of a period, and store the predictions.
+
+    The baselines that monitoring compares the next month with are stored beside them.
+    """
     end = end or start
     model = modelling.load_model(mart.model(model_name))
     if source == "clickstream":
         clicks = read_all(spark, mart.feature_silver("clickstream"))
         predictions = modelling.score(model, snapshot_between(clicks, start, end), model_name)
     else:
-        engagement, risk = read_all(spark, mart.engagement), read_all(spark, mart.risk)
+        engagement, risk = read_all(spark, mart.engagement, schemas.ENGAGEMENT), read_all(spark, mart.risk, schemas.RISK)
         predictions = score_snapshots(model, model_name, engagement, risk, start, end)
     write_predictions(predictions, mart.predictions, model_name, (start, end))
-    stored = read_all(spark, mart.predictions)
-    return snapshot_between(stored.where(stored.model_name == model_name), start, end)
+    stored = read_all(spark, mart.predictions, schemas.PREDICTIONS)
+    scored = snapshot_between(stored.where(stored.model_name == model_name), start, end)
+    store_baselines(scored, mart.baselines, model_name, (start, end))
+    return scored

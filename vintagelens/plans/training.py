@@ -91,7 +91,7 @@ def train(
     grid: dict[str, list] = modelling.SCHEDULED_GRID,
     draws: int = modelling.DRAWS,
     metric: str = "auc",
-    parallelism: int = modelling.PARALLELISM,
+    parallelism: int | None = None,
 ) -> Trained:
     """Search, report and save. ``rows`` should be a stored table: it is read several times."""
     spark = rows.sparkSession
@@ -100,7 +100,8 @@ def train(
     )
     modelling.save_model(found.model, path)
     report = modelling.split_report(found.model, rows)
-    registry = modelling.registry_row(spark, model_name, train_date, report, found.best, window_dates(train_date), path)
+    dates = [str(r.snapshot_date) for r in rows.select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
+    registry = modelling.registry_row(spark, model_name, train_date, report, found.best, window_dates(train_date), dates, path)
     return Trained(found.model, report, registry, found.trials)
 
 
@@ -116,7 +117,7 @@ def run(
     direction: str = "both",
     first_snapshot: str | None = None,
     label_def: str = schemas.LABEL_DEFINITION,
-    parallelism: int = modelling.PARALLELISM,
+    parallelism: int | None = None,
 ) -> Trained:
     """Train on the stored label and feature tables and register the model.
 
@@ -147,7 +148,8 @@ def run(
         wanted = day <= F.lit(train_date).cast("date")
         if first_snapshot:
             wanted = wanted & (day >= F.lit(first_snapshot).cast("date"))
-        tables = [read_all(spark, path).where(wanted) for path in (mart.label_store, mart.engagement, mart.risk)]
+        stores = ((mart.label_store, schemas.LABELS), (mart.engagement, schemas.ENGAGEMENT), (mart.risk, schemas.RISK))
+        tables = [read_all(spark, path, schema).where(wanted) for path, schema in stores]
         tables[0] = tables[0].where(F.col("label_def") == label_def)
         if not all(is_usable(t) for t in tables):
             raise ValueError(f"no labels or features up to {train_date}")
@@ -156,13 +158,15 @@ def run(
         grid = grid or modelling.SCHEDULED_GRID
     # The joined and filled rows are stored once: scaling, search and report all read them.
     rows.write.mode("overwrite").parquet(stored)
-    trained = train(spark.read.parquet(stored), features, name, train_date, mart.model(name), grid, draws, metric, parallelism)
+    trained = train(spark.read.schema(rows.schema).parquet(stored), features, name, train_date, mart.model(name), grid, draws, metric, parallelism)
     write_snapshots(trained.registry, mart.registry, ["model_name"])
     scores = trained.registry.select(
+        "model_name",
         F.lit(train_date).cast("date").alias("snapshot_date"),
         *[F.col("roc_auc")[s].alias(f"auc_{s}") for s in ("train", "test", "oot")],
     )
-    write_snapshots(scores, mart.training_metrics)
+    # By model and date: two models of one date stand beside each other.
+    write_snapshots(scores, mart.training_metrics, ["model_name", "snapshot_date"])
     return trained
 
 

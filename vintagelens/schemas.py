@@ -62,6 +62,7 @@ FEATURE_STORE_DROPS = [
     "Num_Credit_Card",
 ]
 
+# The clickstream family.
 CLICKSTREAM_PREFIX = "fe_"
 CLICKSTREAM_FAMILY = [f"{CLICKSTREAM_PREFIX}{i}" for i in range(1, 21)]
 
@@ -90,3 +91,15 @@ MONITOR_COLUMNS = [
 
 # Fixed value: the label definition that training and monitoring use unless told otherwise.
 LABEL_DEFINITION = "30dpd_6mob"
+
+# Stored tables of fixed layout. Reading with a schema needs no footers and guesses no types.
+LABELS = "loan_id string, Customer_ID string, label int, label_def string, snapshot_date date"
+PREDICTIONS = "Customer_ID string, model_predictions double, model_name string, snapshot_date date"
+MONITOR = (
+    "predict_psi double, roc_auc double, psi_status string, auc_status string, model_name string, snapshot_date date"
+)
+BASELINES = "edges array<double>, counts array<bigint>, model_name string, snapshot_date date"
+ENGAGEMENT = ", ".join(["Customer_ID string", *[f"{c} double" for c in ENGAGEMENT_FEATURES], "snapshot_date date"])
+RISK = ", ".join(["Customer_ID string", *[f"{c} double" for c in RISK_FEATURES], "snapshot_date date"])
+JOINED = ", ".join(["Customer_ID string", *[f"{c} double" for c in MODEL_FEATURES], "snapshot_date date"])
+LOAN_BRONZE = ", ".join(f"{c} {'date' if c == 'snapshot_date' else 'string'}" for c in LOAN_TYPES)

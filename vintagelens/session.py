@@ -16,6 +16,8 @@ SQL_SETTINGS = {
     # Hot join keys are split at run time, also where that costs one more shuffle downstream.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Generated methods beyond this are never compiled by the JVM: better no whole-stage code then.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
