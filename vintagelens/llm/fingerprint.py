@@ -257,23 +257,31 @@ def fingerprint(sets: Column, cells: int = CELLS) -> Column:
     )
 
 
-def compared(one: Column, other: Column, sets: Column, other_sets: Column, cells: int = CELLS) -> Column:
-    """Likeness of two fingerprints, by their tables of the coarser of both levels.
+def pair(one: Column, other: Column, sets: Column, other_sets: Column) -> Column:
+    """What ``compared`` needs of two fingerprints and their digest sets, at the coarser of both levels."""
+
+    def at(mark: Column, far: Column, of: Column, name: str = "") -> Column:
+        return F.when(mark["level"] >= far["level"], of[f"{name}own"]).otherwise(of[f"{name}coarse"])
+
+    return F.struct(
+        (F.abs(one["level"] - other["level"]) <= 1).alias("near"),
+        (at(one, other, one, "n_") + at(other, one, other, "n_")).alias("together"),
+        at(one, other, one).alias("table"), at(other, one, other).alias("other_table"),
+        at(one, other, sets).alias("set"), at(other, one, other_sets).alias("other_set"),
+    )
 
-    Tables that do not peel are taken anew from the digest ``sets``, larger. Fingerprints whose
-    levels differ by more than one are unlike, as one text is more than twice as long.
-    """
 
-    def at(mark: Column, far: Column, prefix: str = "") -> Column:
-        return F.when(mark["level"] >= far["level"], mark[f"{prefix}own"]).otherwise(mark[f"{prefix}coarse"])
+def compared(p: Column, cells: int = CELLS) -> Column:
+    """Likeness of a ``pair`` of fingerprints, by their tables.
 
-    apart = let(subtract(at(one, other), at(other, one)), lambda d: F.size(peel(d, F.lit(cells))))
+    Tables that do not peel are taken anew from the digest sets, larger. Fingerprints whose
+    levels differ by more than one are unlike, as one text is more than twice as long.
+    """
+    apart = let(subtract(p["table"], p["other_table"]), lambda d: F.size(peel(d, F.lit(cells))))
     # The size of NULL, a difference that did not peel, is NULL in ANSI mode and -1 otherwise.
-    larger = F.size(difference(at(sets, other_sets), at(other_sets, sets)))
+    larger = F.size(difference(p["set"], p["other_set"], retries=1))
     counted = let(apart, lambda n: F.when(n >= 0, n).otherwise(larger))
-    together = at(one, other, "n_") + at(other, one, "n_")
-    near = F.abs(one["level"] - other["level"]) <= 1
-    return F.when(near, _alike(together, counted)).otherwise(F.lit(0.0))
+    return F.when(p["near"], _alike(p["together"], counted)).otherwise(F.lit(0.0))
 
 
 def as_text(mark: Column) -> Column:
@@ -388,14 +396,17 @@ def edits(docs: DataFrame, cells: int = CELLS) -> DataFrame:
     rows = rows.withColumn("edited_sets", digest_sets(F.col("edited")))
     rows = rows.withColumn("edited_mark", fingerprint(F.col("edited_sets"), cells))
     one, sets = F.col("mark"), F.col("sets")
+    both = [pair(one, F.col("edited_mark"), sets, F.col("edited_sets")), pair(one, F.col("after.mark"), sets, F.col("after.sets"))]
+    rows = rows.withColumn("pairs", F.array(*both)).withColumn("near", F.transform("pairs", lambda p: compared(p, cells)))
+    rows = rows.withColumn("texts", F.transform(F.array("mark", "edited_mark"), as_text))
     found = rows.select(
         "doc_id",
         "n_chars",
         "edited",
-        as_text(one).alias("fingerprint"),
-        as_text(F.col("edited_mark")).alias("edited_fingerprint"),
-        compared(one, F.col("edited_mark"), sets, F.col("edited_sets"), cells).alias("near_edited"),
-        compared(one, F.col("after.mark"), sets, F.col("after.sets"), cells).alias("near_next"),
+        F.col("texts")[0].alias("fingerprint"),
+        F.col("texts")[1].alias("edited_fingerprint"),
+        F.col("near")[0].alias("near_edited"),
+        F.col("near")[1].alias("near_next"),
         "times",
     )
     return found.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("bigint"), "times"))).drop("times", "_time")
