@@ -25,7 +25,7 @@ from urllib.parse import urlsplit
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelens.llm.common import stored
@@ -34,6 +34,9 @@ from vintagelens.session import new_table_path
 SMALLEST_SHARED = 1_000  # payload bytes from which equal payloads are stored once
 ARCHIVE_BYTES = 256 << 20
 BLOCK_LINES = 1_000
+PART_LINES = 1_000_000  # captures of one index file
+REGION_BYTES = 16 << 20  # stretch of an archive whose records one task reads
+BATCH_BYTES = 32 << 20
 DATE = "2024-01-01T00:00:00Z"
 # Fixed value: the profile of revisit records for identical payloads.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -174,21 +177,21 @@ class Index:
     starts: list[tuple[str, str]]  # first line and name of each part, in order
 
 
-def _line(key: str, page_id) -> str:
+def _line(key: Column, page_id: Column) -> Column:
     """Sorting by this text sorts by key, then by page; null pages come first."""
-    return f"{key} {'' if page_id is None else f'{page_id + (1 << 63):020d}'}"
+    shifted = (page_id.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string")
+    return F.concat(key, F.lit(" "), F.coalesce(F.lpad(shifted, 20, "0"), F.lit("")))
 
 
 def index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> Index:
     """Sorted, compressed index of the captures, written to ``folder``.
 
-    Captures of one key are told apart by page, so that a frequent URL spreads over parts.
+    Captures of one key are told apart by page, so that a frequent URL spreads over parts. There
+    are as many parts as shuffle partitions, and more if these would exceed ``PART_LINES``.
     """
     spark = captures.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shifted = (F.col("page_id").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string")
-    line = F.concat("key", F.lit(" "), F.coalesce(F.lpad(shifted, 20, "0"), F.lit("")))
-    ordered = captures.withColumn("line", line).repartitionByRange(parts, "line").sortWithinPartitions("line")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-captures.count() // PART_LINES))
+    ordered = captures.withColumn("line", _line(F.col("key"), F.col("page_id"))).repartitionByRange(parts, "line").sortWithinPartitions("line")
     schema = pa.schema([("part", pa.string()), ("line", pa.string()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +222,7 @@ def index(captures: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> I
 
     kind = "part string, line string, file string, offset long, length long"
     directory = stored(ordered.select("line", "file", "offset", "length").mapInArrow(run, kind), "warc-directory")
-    # One line per index file, whose number is that of the shuffle partitions.
+    # One line per index file: one for some ``PART_LINES`` captures.
     starts = sorted((r.line, r.part) for r in directory.groupBy("part").agg(F.min("line").alias("line")).collect())
     return Index(folder, directory, starts)
 
@@ -233,67 +236,112 @@ RECORD_TYPE = (
 )
 
 
-def lookup(where: Index, archives: str, wanted: DataFrame, payloads: bool = True) -> DataFrame:
-    """The records of the wanted captures: ``key`` (with time) and ``page_id``, found by the index.
+def _blocks(where: Index, asked: DataFrame) -> DataFrame:
+    """Index blocks that may hold the asked lines: line, n, file, offset, length.
 
-    Size and digest of a response are taken from the payload that was read, those of a revisit
-    from its own fields; the digest is lower-case hex. A capture that the index does not hold
-    gives no row, one that is asked for or held several times gives as many rows.
+    The first level finds the part by binary search in the first lines of all parts. In a part
+    the sparse directory and the lines are one sorted run: a line belongs to the last block that
+    begins before it, and to every block that begins with it.
     """
-    spark, folder = wanted.sparkSession, where.folder
-    starts = spark.sparkContext.broadcast(where.starts)
-    asked = pa.schema([("part", pa.string()), ("line", pa.string())])
+    starts = where.directory.sparkSession.sparkContext.broadcast(where.starts)
+    routed_to = pa.schema([("part", pa.string()), ("line", pa.string()), ("n", pa.int64())])
 
     def route(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         firsts = [line for line, _ in starts.value]
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                line = _line(row["key"], row["page_id"])
-                at = bisect.bisect_right(firsts, line) - 1
+                at = bisect.bisect_right(firsts, row["line"]) - 1
                 if at >= 0:
-                    out.append({"part": starts.value[at][1], "line": line})
-                    # Equal lines may run over the end of a part.
-                    while at > 0 and firsts[at] == line:
-                        at -= 1
-                        out.append({"part": starts.value[at][1], "line": line})
-            yield pa.RecordBatch.from_pylist(out, schema=asked)
-
-    def fetch(lines: pa.Table, blocks: pa.Table) -> pa.Table:
-        entries = sorted(blocks.to_pylist(), key=lambda r: (r["line"], r["offset"]))
-        firsts = [e["line"] for e in entries]
-        files, ranges, loaded, held = _Files(folder), [], -1, []
-        for line in sorted(lines["line"].to_pylist()):
-            # The last block that begins before the line, and those that begin with it.
-            at = max(0, bisect.bisect_left(firsts, line) - 1)
-            while at < len(firsts) and (firsts[at] <= line):
-                if at != loaded:
-                    e = entries[at]
-                    raw = zlib.decompress(files.read(e["file"], e["offset"], e["length"]), 31).decode()
-                    loaded, held = at, [x.split("\t") for x in raw.split("\n")]
-                place = bisect.bisect_left(held, line, key=lambda x: x[0])
-                while place < len(held) and held[place][0] == line:
-                    ranges.append((held[place][1], int(held[place][2]), int(held[place][3])))
+                    out.append({**row, "part": starts.value[at][1]})
+            yield pa.RecordBatch.from_pylist(out, schema=routed_to)
+
+    routed = asked.mapInArrow(route, "part string, line string, n long")
+    block = F.struct("file", "offset", "length")
+    entries = where.directory.select("part", "line", F.lit(None).cast("long").alias("n"), block.alias("block"))
+    run = routed.withColumn("block", F.lit(None).cast(entries.schema["block"].dataType)).unionByName(entries)
+    # At equal lines the asked one comes first, so that its block is one that begins before it.
+    before = Window.partitionBy("part").orderBy("line", F.col("block").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
+    inside = run.withColumn("before", F.last("block", ignorenulls=True).over(before)).where("n is not null and before is not null")
+    begun = asked.join(where.directory.drop("part"), "line").select("line", "n", "file", "offset", "length")
+    return inside.select("line", "n", "before.*").unionByName(begun)
+
+
+def _find_lines(folder: str):
+    """Place of the record and number of askings of each asked line that its block holds."""
+    schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("n", pa.int64())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, loaded, held = _Files(folder), None, []
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                block = (row["file"], row["offset"], row["length"])
+                if block != loaded:
+                    raw = zlib.decompress(files.read(*block), 31).decode()
+                    loaded, held = block, [x.split("\t") for x in raw.split("\n")]
+                place = bisect.bisect_left(held, row["line"], key=lambda x: x[0])
+                while place < len(held) and held[place][0] == row["line"]:
+                    name, offset, length = held[place][1:]
+                    out.append({"file": name, "offset": int(offset), "length": int(length), "n": row["n"]})
                     place += 1
-                at += 1
-        out, store = [], _Files(archives)
-        for name, offset, length in sorted(ranges):
-            fields, payload, http = parse(zlib.decompress(store.read(name, offset, length), 31))
-            kind, page, first = fields["WARC-Type"], fields["Page-ID"], fields.get("Refers-To-Page-ID")
-            response = kind == "response"
-            stated = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
-            digest = hashlib.sha1(payload).hexdigest() if response else stated
-            if digest != stated:
-                raise ValueError(f"{name} at {offset}: the payload does not have its digest")
-            out.append({
-                "page_id": int(page) if page else None, "url": fields["WARC-Target-URI"], "record_type": kind,
-                "payload_bytes": len(payload) if response else int(http["Content-Length"]), "payload_digest": digest,
-                "refers_to": int(first) if first else None, "payload": payload if payloads and response else None,
-            })
-        return pa.Table.from_pylist(out, schema=RECORD_ARROW)
-
-    routed = wanted.select("key", F.col("page_id").cast("long")).mapInArrow(route, "part string, line string")
-    return routed.groupBy("part").cogroup(where.directory.groupBy("part")).applyInArrow(fetch, RECORD_TYPE)
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
+
+
+def _read_records(archives: str, payloads: bool):
+    """The records of the given ranges, in batches of at most ``BATCH_BYTES`` of payload."""
+
+    def read(store: _Files, row: dict) -> dict:
+        name, offset = row["file"], row["offset"]
+        fields, payload, http = parse(zlib.decompress(store.read(name, offset, row["length"]), 31))
+        kind, page, first = fields["WARC-Type"], fields["Page-ID"], fields.get("Refers-To-Page-ID")
+        response = kind == "response"
+        stated = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
+        digest = hashlib.sha1(payload).hexdigest() if response else stated
+        if digest != stated:
+            raise ValueError(f"{name} at {offset}: the payload does not have its digest")
+        return {
+            "page_id": int(page) if page else None, "url": fields["WARC-Target-URI"], "record_type": kind,
+            "payload_bytes": len(payload) if response else int(http["Content-Length"]), "payload_digest": digest,
+            "refers_to": int(first) if first else None, "payload": payload if payloads and response else None, "n": row["n"],
+        }
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, schema = _Files(archives), RECORD_ARROW.append(pa.field("n", pa.int64()))
+        for batch in batches:
+            out, held = [], 0
+            for row in batch.to_pylist():
+                out.append(read(store, row))
+                held += len(out[-1]["payload"] or b"")
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pylist(out, schema=schema)
+                    out, held = [], 0
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    return run
+
+
+def lookup(where: Index, archives: str, wanted: DataFrame, payloads: bool = True) -> DataFrame:
+    """The records of the wanted captures: ``key`` (with time) and ``page_id``, found by the index.
+
+    Size and digest of a response are taken from the payload that was read, those of a revisit
+    from its own fields; the digest is lower-case hex. A capture that the index does not hold
+    gives no row, one that is asked for or held several times gives as many rows.
+
+    Index blocks are dealt to the tasks one by one, and records by the region of the archive
+    they lie in, so that a block is read once and no task holds more than a batch of records.
+    """
+    tasks = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = wanted.withColumn("line", _line(F.col("key"), F.col("page_id").cast("long")))
+    asked = asked.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where("line is not null")
+    blocks = _blocks(where, asked).repartition(tasks, "file", "offset").sortWithinPartitions("file", "offset", "line")
+    ranges = blocks.mapInArrow(_find_lines(where.folder), "file string, offset long, length long, n long")
+    region = F.floor(F.col("offset") / REGION_BYTES)
+    ranges = ranges.repartition(tasks, F.col("file"), region).sortWithinPartitions("file", "offset")
+    records = ranges.mapInArrow(_read_records(archives, payloads), RECORD_TYPE + ", n long")
+    return records.withColumn("n", F.explode(F.expr("sequence(1L, n)"))).drop("n")
 
 
 def new_folder(df: DataFrame, name: str) -> str:
