@@ -81,3 +81,15 @@ def test_any_magnitude(spark):
             assert [k for k, _, _ in own] == list(range(1, 21)) and all(s == scores[i] for _, i, s in own)
             hits += len({i for _, i, _ in own} & set(order))
         assert hits >= 0.9 * 20 * 15
+
+
+def test_a_block_is_sent_once_for_many_groups(spark):
+    """However queries are gathered, the same rows come back, also where a block got no vector."""
+    rng = np.random.default_rng(3)
+    df = frame(spark, np.arange(120), rng.normal(size=(120, 8)))
+    asked = df.where("vec_id % 3 = 0")
+    found = []
+    for settings in ({"block_rows": 2, "group_rows": 1}, {"block_rows": 40, "group_rows": 7, "meeting_groups": 2}, {}):
+        rows = ann.search(df, asked, 5, sureness=20.0, **settings).collect()
+        found.append(sorted((r.query_id, r["rank"], r.vec_id) for r in rows))
+    assert len(found[0]) == 40 * 5 and found[0] == found[1] == found[2]

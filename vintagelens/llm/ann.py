@@ -7,7 +7,8 @@ block of vectors, those whose upper bound reaches the k-th highest lower bound a
 exact inner products in double precision. All vectors are indexed; nothing is fitted.
 
 Codes lie in blocks of fixed size, queries in groups of fixed size: each group of the stated
-query set meets each block once, and sends on at most k rows a query.
+query set meets each block once, and sends on at most k rows a query. A block is read once for
+many groups, which stream past it: what a task holds is one block and one group.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 # Vectors of one block, and queries of one group.
 BLOCK_ROWS = 16_384
 GROUP_ROWS = 1_024
+# Groups that a block meets in one go, fewer only where there would be less than one go a task.
+MEETING_GROUPS = 64
 # Width of the error bound in standard deviations of the estimate.
 SURENESS = 2.5
 SEED = 11
@@ -88,6 +91,7 @@ def search(
     sureness: float = SURENESS,
     block_rows: int = BLOCK_ROWS,
     group_rows: int = GROUP_ROWS,
+    meeting_groups: int = MEETING_GROUPS,
 ) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest found of each query, without itself.
 
@@ -121,46 +125,60 @@ def search(
 
     def pack_queries(chunk: pa.Table) -> pa.Table:
         ids, matrix = chunk["key"].to_numpy().astype(np.int64), _matrix(chunk["values"], size)
-        row = {"asked": ids.tobytes(), "questions": matrix.tobytes()}
-        return pa.Table.from_pylist([row], schema=pa.schema([("asked", pa.binary()), ("questions", pa.binary())]))
+        row = {"part": chunk["block"][0].as_py(), "asked": ids.tobytes(), "questions": matrix.tobytes()}
+        return pa.Table.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("asked", pa.binary()), ("questions", pa.binary())]))
+
+    def near_in_block(block: tuple, asked_ids: np.ndarray, questions: np.ndarray):
+        ids, matrix, bits, lengths, alignments, turn = block
+        middle, error = estimate(bits, lengths, alignments, units(questions)[0], turn, sureness)
+        # Where single precision cannot tell, the exact step does.
+        error[:, ~(lengths >= SHORT)] = np.inf
+        error[~np.isfinite(middle)] = np.inf
+        middle[~np.isfinite(middle)] = 0
+        found = []
+        for i, own in enumerate(asked_ids):
+            other = ids != own
+            lower = (middle[i] - error[i])[other]
+            least = np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) > k else -np.inf
+            near = np.flatnonzero(other & (middle[i] + error[i] >= least))
+            with np.errstate(over="ignore", invalid="ignore"):
+                exact = (matrix[near] * questions[i]).sum(axis=1)
+            exact[np.isnan(exact)] = -np.inf
+            best = np.lexsort((ids[near], -exact))[:k]
+            found.append((np.full(len(best), own), ids[near][best], exact[best]))
+        return [np.concatenate(x) for x in zip(*found, strict=True)]
 
     def meet(batches):
+        """Rows come sorted: each block, then the groups of queries that meet it."""
         schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
-        turn = rotation(size)
+        turn, block, number = rotation(size), None, -1
         for batch in batches:
-            for row in batch.to_pylist():
-                ids, asked_ids = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["asked"], np.int64)
-                matrix = np.frombuffer(row["vectors"]).reshape(-1, size)
-                questions = np.frombuffer(row["questions"]).reshape(-1, size)
-                bits = np.frombuffer(row["bits"], np.uint8).reshape(len(ids), -1)
-                lengths, alignments = np.frombuffer(row["lengths"]), np.frombuffer(row["alignments"])
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                if row["ids"] is not None:
+                    ids, matrix = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["vectors"]).reshape(-1, size)
+                    bits = np.frombuffer(row["bits"], np.uint8).reshape(len(ids), -1)
+                    number, block = row["block"], (ids, matrix, bits, np.frombuffer(row["lengths"]), np.frombuffer(row["alignments"]), turn)
+                if row["ids"] is not None or row["block"] != number:  # no vector was dealt to such a block
+                    continue
+                asked_ids, questions = np.frombuffer(row["asked"], np.int64), np.frombuffer(row["questions"]).reshape(-1, size)
                 for first in range(0, len(asked_ids), 64):
-                    some = questions[first : first + 64]
-                    middle, error = estimate(bits, lengths, alignments, units(some)[0], turn, sureness)
-                    # Where single precision cannot tell, the exact step does.
-                    error[:, ~(lengths >= SHORT)] = np.inf
-                    error[~np.isfinite(middle)] = np.inf
-                    middle[~np.isfinite(middle)] = 0
-                    found = []
-                    for i, own in enumerate(asked_ids[first : first + 64]):
-                        other = ids != own
-                        lower = (middle[i] - error[i])[other]
-                        least = np.partition(lower, len(lower) - k)[len(lower) - k] if len(lower) > k else -np.inf
-                        near = np.flatnonzero(other & (middle[i] + error[i] >= least))
-                        with np.errstate(over="ignore", invalid="ignore"):
-                            exact = (matrix[near] * some[i]).sum(axis=1)
-                        exact[np.isnan(exact)] = -np.inf
-                        best = np.lexsort((ids[near], -exact))[:k]
-                        found.append((np.full(len(best), own), ids[near][best], exact[best]))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], schema=schema)
+                    found = near_in_block(block, asked_ids[first : first + 64], questions[first : first + 64])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], schema=schema)
 
     def dealt(df: DataFrame, parts: int):
         return df.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
 
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    meetings = min(groups, max(-(-groups // meeting_groups), -(-tasks // blocks)))
     codes = dealt(rows, blocks).groupBy("block").applyInArrow(pack, packed_type)
-    asked = dealt(asked, groups).groupBy("block").applyInArrow(pack_queries, "asked binary, questions binary")
-    everywhere = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    met = codes.join(everywhere, "block").drop("block").mapInArrow(meet, out)
+    asked = dealt(asked, groups).groupBy("block").applyInArrow(pack_queries, "part int, asked binary, questions binary")
+    asked = asked.withColumn("meeting", F.pmod("part", F.lit(meetings))).drop("part")
+    sent = codes.withColumn("meeting", F.explode(F.sequence(F.lit(0), F.lit(meetings - 1))))
+    asking = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    both = sent.unionByName(asking, allowMissingColumns=True)
+    met = both.repartition(tasks, "block", "meeting").sortWithinPartitions("block", "meeting", F.col("ids").isNull())
+    met = met.mapInArrow(meet, out)
     nearest_first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = met.withColumn("rank", F.row_number().over(nearest_first))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
