@@ -11,7 +11,10 @@ lines have no tokens and stay.
 
 Only leaves that two documents share can hold a recurring template: counting leaves comes
 first, and only their lines travel. Equal masked lines are one row before templates are formed,
-and templates are formed in salted parts of a leaf before the parts of a leaf are merged.
+and templates are formed in salted parts of a leaf, as many as its lines ask for, before the parts
+of a leaf are merged. A leaf with more local templates than one part holds is merged in rounds:
+each round deals them by another share of their tokens, as templates that agree in most tokens
+are equal in one of the shares, and deals hot cells of a round to several parts.
 """
 
 from __future__ import annotations
@@ -34,6 +37,10 @@ SHORT_BYTES = 16
 SHORT_REPEATS = 3
 SIMILARITY = 0.8
 SALTS = 8
+# Distinct lines, or local templates, that one task compares with each other.
+PART_LINES = 10_000
+# Shares of the tokens by which the templates of a large leaf are dealt, one after the other.
+ROUNDS = 4
 FIELD = "<*>"
 FIELD_HASH = np.uint64(0xF1E1D)
 
@@ -136,7 +143,7 @@ def _find_leaves(fewest: int, leading: int):
 
 
 def _take_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([*ROW_ARROW, ("whole", pa.int64()), ("masked", pa.string())])
+    schema = pa.schema([*ROW_ARROW, ("salts", pa.int32()), ("whole", pa.int64()), ("masked", pa.string())])
     for batch in batches:
         out = []
         for row in batch.to_pylist():
@@ -149,6 +156,7 @@ def _take_lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
+TEXT_TYPE = "doc_id long, h long, line int, leaf long, salts int, whole long, masked string"
 GROUP_ARROW = pa.schema([("leaf", pa.int64()), ("masked", pa.string()), ("template", pa.string()), ("low", pa.int64()), ("high", pa.int64())])
 GROUP_TYPE = "leaf long, masked string, template string, low long, high long"
 
@@ -176,38 +184,78 @@ def _templates(similarity: float):
     return run
 
 
+def _formed(rows: DataFrame, similarity: float, name: str) -> DataFrame:
+    """Templates of the rows (leaf, salt, masked, low, high), part by part; stored."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_parts = rows.repartition(parts, "leaf", "salt").sortWithinPartitions("leaf", "salt", "masked")
+    return stored(sorted_parts.mapInArrow(_templates(similarity), GROUP_TYPE), name)
+
+
+def _distinct_templates(formed: DataFrame) -> DataFrame:
+    return formed.groupBy("leaf", F.col("template").alias("masked")).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def _salted(rows: DataFrame, keys: list[str], part_lines: int) -> DataFrame:
+    """A salt for each row, so that no group of ``keys`` has much more than ``part_lines`` rows a salt."""
+    crowded = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > part_lines)
+    salts = F.ceil(F.coalesce("_n", F.lit(1)) / part_lines).cast("long")
+    return rows.join(crowded, keys, "left").withColumn("salt", F.pmod(F.xxhash64("masked"), salts)).drop("_n")
+
+
+def _merged(first: DataFrame, similarity: float, part_lines: int) -> DataFrame:
+    """leaf, masked (local template), template, low, high: local templates merged within their leaves."""
+    templates = _distinct_templates(first)
+    counts = templates.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+    large = stored(counts.where(F.col("n") > part_lines).select("leaf"), "line-large")
+    if large.isEmpty():
+        return _formed(templates.withColumn("salt", F.lit(0).cast("long")), similarity, "line-merged")
+    rounds, current = [], stored(templates.join(large, "leaf", "left_semi"), "line-round")
+    for share in range(ROUNDS):
+        tokens = F.filter(F.split("masked", " "), lambda _, i: i % ROUNDS == share)  # noqa: B023
+        dealt = _salted(current.withColumn("cell", F.xxhash64(F.array_join(tokens, " "))), ["leaf", "cell"], part_lines)
+        dealt = dealt.withColumn("salt", F.xxhash64("cell", "salt")).drop("cell")
+        rounds.append(_formed(dealt, similarity, "line-round"))
+        current = _distinct_templates(rounds[-1])
+    small = templates.join(large, "leaf", "left_anti")
+    last = _formed(_salted(small.unionByName(current), ["leaf"], part_lines), similarity, "line-merged")
+    # From a local template to that of the last round, back through the rounds.
+    last = last.select("leaf", "masked", "template")
+    found = last.join(large, "leaf", "left_semi")
+    for formed in reversed(rounds):
+        step = formed.select("leaf", F.col("masked").alias("_local"), F.col("template").alias("masked"))
+        found = stored(step.join(found, ["leaf", "masked"]).select("leaf", F.col("_local").alias("masked"), "template"), "line-round")
+    found = found.unionByName(last.join(large, "leaf", "left_anti"))
+    return templates.join(found, ["leaf", "masked"]).select("leaf", "masked", "template", "low", "high")
+
+
 def recurring_lines(
     docs: DataFrame,
     similarity: float = SIMILARITY,
     leading: int = LEADING,
     fewest_tokens: int = FEWEST_TOKENS,
     fewest_constants: int = FEWEST_CONSTANTS,
+    part_lines: int = PART_LINES,
 ) -> DataFrame:
     """doc_id, h (hash of the text), line (number from 0), template of every line to drop.
 
     The template is null for lines that are dropped as copies.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long"), empty_text().alias("text")).where("doc_id is not null")
     texts = texts.withColumn("h", F.xxhash64("text"))
     rows = stored(texts.mapInArrow(_find_leaves(fewest_tokens, leading), FOUND_TYPE), "line-leaves")
     few = rows.where(F.col("kind") != TEMPLATE)
     rows = rows.where(F.col("kind") == TEMPLATE).drop("kind")
-    shared = rows.groupBy("leaf").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    shared = rows.groupBy("leaf").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n"))
+    salts = F.greatest(F.lit(SALTS), F.ceil(F.col("n") / part_lines)).cast("int").alias("salts")
     # Stored, so that the join has a plain shuffle on either side and hot leaves can be split.
-    shared = stored(shared.select("leaf"), "line-shared")
-    places = rows.join(shared, "leaf").groupBy("doc_id", "h").agg(F.collect_set(F.struct("line", "leaf")).alias("places"))
+    shared = stored(shared.where("low < high").select("leaf", salts), "line-shared")
+    places = rows.join(shared, "leaf").groupBy("doc_id", "h").agg(F.collect_set(F.struct("line", "leaf", "salts")).alias("places"))
     taken = texts.join(places, ["doc_id", "h"]).select("doc_id", "h", "text", "places")
-    lines = stored(taken.mapInArrow(_take_lines, "doc_id long, h long, line int, leaf long, whole long, masked string"), "line-texts")
-
-    distinct = lines.groupBy("leaf", "masked").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    salted = distinct.withColumn("salt", F.pmod(F.xxhash64("masked"), F.lit(SALTS)))
-    first = salted.repartition(parts, "leaf", "salt").sortWithinPartitions("leaf", "salt", "masked")
-    first = stored(first.mapInArrow(_templates(similarity), GROUP_TYPE), "line-templates")
-    merged = first.groupBy("leaf", F.col("template").alias("masked")).agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    merged = merged.withColumn("salt", F.lit(0).cast("long"))
-    second = merged.repartition(parts, "leaf").sortWithinPartitions("leaf", "masked").mapInArrow(_templates(similarity), GROUP_TYPE)
-    second = stored(second, "line-merged")
+    lines = stored(taken.mapInArrow(_take_lines, TEXT_TYPE), "line-texts")
+
+    distinct = lines.groupBy("leaf", "salts", "masked").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    first = _formed(distinct.withColumn("salt", F.pmod(F.xxhash64("masked"), F.col("salts"))), similarity, "line-templates")
+    second = _merged(first, similarity, part_lines)
     constant = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD))
     known = second.groupBy("leaf", "template").agg(F.min("low").alias("first"), F.max("high").alias("last"))
     enough = constant >= fewest_constants
