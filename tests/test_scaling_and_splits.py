@@ -96,3 +96,15 @@ def test_folds_have_even_counts_of_each_label(spark):
     assert all(max(c.values()) - min(c.values()) <= 1 for k, c in counts.items() if k != 7)
     again = splits.stratified_folds(df.repartition(5), "label", ["key"], 3)
     assert sorted(map(tuple, folded.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_rows_of_a_label_do_not_meet_in_one_task(spark):
+    rows = spark.range(0, 40_000, 1, 8).selectExpr("id", "cast(id % 2 as int) as label", "repeat(cast(id as string), 20) as wide")
+    tagged = splits.stratified_folds(rows, "label", ["id"], 3).persist()
+    try:
+        sizes = [r["count"] for r in tagged.groupBy(F.spark_partition_id()).count().collect()]
+        counts = {(r.label, r.fold): r["count"] for r in tagged.groupBy("label", "fold").count().collect()}
+    finally:
+        tagged.unpersist()
+    assert sum(sizes) == 40_000 and max(sizes) <= 2 * 40_000 / 8
+    assert len(counts) == 6 and set(counts.values()) <= {6_666, 6_667}
