@@ -107,3 +107,50 @@ def test_repeated_rows_do_not_flood_the_toxicity_sample(spark, monkeypatch):
     assert dict(zip(seen["texts"], seen["marks"], strict=True))[next(t for t in seen["texts"] if t[0] == "r")] == 1
     toxicity.learn(docs, labels, 3, 2)
     assert seen["marks"].count(1) == 3 and seen["marks"].count(0) == 2
+
+
+def test_toxicity_learns_from_every_labelled_text(spark, monkeypatch):
+    rows = [(i, f"word{i} and word{i + 1} of {'en' if i % 2 else 'fr'}", "en" if i % 2 else "fr") for i in range(6_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(6_000)], "doc_id long, toxic int")
+    seen, begin = {}, toxicity.begin
+    monkeypatch.setattr(toxicity, "begin", lambda counts, seed: seen.update(counts=counts) or begin(counts, seed))
+    toxicity.learn(docs, labels)
+    n_toxic, n_clean = seen["counts"].texts
+    assert n_toxic + n_clean == 4_500  # a quarter is held back for the cuts
+    assert {name: words.sum() for name, words in seen["counts"].words.items()} == {"en": 15_000, "fr": 15_000}
+
+
+def test_toxicity_shards_agree_with_one_task(spark):
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    rows = []
+    for i in range(1_200):
+        words = [word() for _ in range(20)]
+        if i % 4 == 0:
+            words[int(rng.integers(20))] = "qqqq" + word()
+        rows.append((i, int(i % 4 == 0), " ".join(words), ("en", "fr")[i % 2], int(rng.integers(1 << 40))))
+    frame = spark.createDataFrame(rows, "doc_id long, toxic int, text string, lang string, place long")
+    ordered = sorted(rows, key=lambda r: (r[4], r[0]))
+    local = toxicity.fit([r[2] for r in ordered], [r[1] for r in ordered], [r[3] for r in ordered])
+    one = toxicity._learn_in_shards(frame)
+    for name in ("table", "filters", "bias", "out", "language"):
+        assert np.allclose(getattr(local, name), getattr(one, name), atol=1e-5)
+    assert np.allclose(local.cuts, one.cuts, atol=1e-4)
+    many = toxicity._learn_in_shards(frame, shard_bytes=20_000)
+    again = toxicity._learn_in_shards(frame, shard_bytes=20_000)
+    assert all(np.array_equal(getattr(many, n), getattr(again, n)) for n in ("table", "filters", "bias", "out", "cuts"))
+    slots, edges = toxicity.word_slots(*utf8(pa.array([r[2] for r in rows])))
+    hits = (toxicity.logits(many, slots, edges) > many.cuts[0]) == (np.array([r[1] for r in rows]) == 1)
+    assert hits.mean() > 0.97
+
+
+def test_cuts_as_on_the_driver(spark):
+    rng = np.random.default_rng(6)
+    z, y, k = rng.normal(0, 2, 900).astype(np.float32), rng.integers(0, 2, 900), rng.integers(0, 3, 900)
+    z += y
+    scores = spark.createDataFrame([*zip(k.tolist(), z.astype(float).tolist(), y.tolist())], "k int, z double, y int")
+    model = toxicity.Model(*[None] * 6, np.zeros(4))
+    toxicity.best_cuts(model, scores)
+    wanted = [toxicity._best_cut(z[k == i], y[k == i].astype(np.float32)) for i in range(3)]
+    assert np.allclose(model.cuts, [*wanted, toxicity._best_cut(z, y.astype(np.float32))], atol=1e-6)
