@@ -189,7 +189,7 @@ def begin(counts: Counts, seed: int) -> tuple[Model, dict]:
     known = sorted(counts.words) or [""]
     word_counts = np.stack([counts.words.get(name, np.zeros(SLOTS)) for name in known], axis=1).astype(np.float32) + np.float32(0.1)
     language = np.log(word_counts / word_counts.sum(axis=0))
-    share = n_toxic / (n_toxic + n_clean) if n_toxic + n_clean else None
+    share = np.float32(n_toxic) / np.float32(n_toxic + n_clean) if n_toxic + n_clean else None
     base = -2.0 if share is None else float(np.log((share + 1e-3) / (1 - share + 1e-3)))
     model = Model(table, filters, np.full(FILTERS * len(WIDTHS), -0.5, np.float32), out, base, language, np.zeros(len(known)))
     grown = {name: np.full_like(getattr(model, name), 1e-2) for name in ("table", "filters", "bias", "out")}
@@ -248,7 +248,7 @@ def train_epoch(model: Model, grown: dict, shard: Shard, order: np.ndarray, rate
         for name, gradient in (("filters", d_filters), ("bias", d_bias), ("out", d_out)):
             grown[name] += gradient**2
             getattr(model, name)[...] -= rate * gradient / np.sqrt(grown[name])
-        grown["base"] += float(d_base**2)
+        grown["base"] += d_base**2
         model.base -= float(rate * d_base / np.sqrt(grown["base"]))
 
 
