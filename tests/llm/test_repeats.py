@@ -1,7 +1,8 @@
 from __future__ import annotations
 
 import random
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -57,3 +58,55 @@ def test_awkward_rows(spark):
     kept = {r.doc_id: bytes(r.kept) for r in rows}
     assert kept[5] == kept[6] == b"" and kept[2] == b"" and kept[7] == b"x"
     assert repeats.remove(empty(spark)).count() == 0
+
+
+def brute_passages(docs, words):
+    split = [re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode()) for _, t in docs]
+    places = defaultdict(set)
+    for (k, t), own in zip(docs, split, strict=True):
+        for i in range(len(own) - words + 1):
+            places[tuple(own[i : i + words])].add((k, t))
+    out = Counter()
+    for (k, _), own in zip(docs, split, strict=True):
+        hit = [i for i in range(len(own) - words + 1) if len(places[tuple(own[i : i + words])]) > 1]
+        out[k, tuple(repeats.merge_spans([(i, i + words) for i in hit]))] += 1
+    return out
+
+
+def found_passages(docs, **settings):
+    return Counter((r.doc_id, tuple((p.start, p.end) for p in r.passages)) for r in repeats.remove(docs, **settings).collect())
+
+
+@pytest.mark.parametrize(("words", "window", "gram"), [(9, 4, 2), (5, 2, 2), (12, 8, 4)])
+def test_passages_as_brute_force(spark, words, window, gram):
+    rng = random.Random(words)
+    letters = ["a", "b", "é"]
+    pool = [[rng.choice(letters) for _ in range(rng.randint(3, 30))] for _ in range(12)]
+
+    def piece():
+        if rng.random() < 0.5:
+            return rng.choice(pool)
+        return [rng.choice("xyz") + str(rng.randint(1, 9)) for _ in range(rng.randint(1, 12))]
+
+    def text():
+        return "".join(w + rng.choice([" ", "\n", "  "]) for _ in range(rng.randint(0, 6)) for w in piece())
+
+    docs = [(i, text()) for i in range(150)] + [(150, None), (151, "once " * 40), (151, "once " * 40), (152, "q r " * 30)]
+    docs += [(None, "s t u " * 20), (None, "s t u " * 20), (153, docs[3][1]), (3, "other words " * 9)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found_passages(frame, words=words, word_window=window, word_gram=gram) == brute_passages(docs, words)
+
+
+def test_passage_below_the_bytes_of_a_string(spark):
+    rng = random.Random(2)
+
+    def some(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+
+    passage, fifty = some(51), some(50)
+    docs = [(1, some(90) + " " + passage + " " + some(80)), (2, passage.replace(" ", "\n") + " " + some(70)), (3, some(200))]
+    docs += [(4, some(30) + " " + fifty + " " + some(5)), (5, some(9) + " " + fifty), (6, " ".join([passage[::-1]] * 2))]
+    rows = {r.doc_id: r for r in repeats.remove(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert len(passage) < repeats.LENGTH
+    assert {k: [tuple(p) for p in r.passages] for k, r in rows.items()} == {1: [(90, 141)], 2: [(0, 51)], 3: [], 4: [], 5: [], 6: []}
+    assert all(not r.removed for r in rows.values())

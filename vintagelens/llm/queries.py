@@ -68,6 +68,7 @@ def op4_repeats(spark, d):
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
         F.octet_length("kept").cast("long").alias("n_kept"),
+        F.size("passages").cast("long").alias("n_passages"),
     )
 
 

@@ -13,6 +13,10 @@ anchor; an anchor stands for the starts of one run, and for the bytes these cove
    places, sorted as well, tell which of them differ there (a maximal repeat) and how far the
    repeat reaches to the left. Reaches that add up to LENGTH are repeated.
 3. Very large groups take another exact way: all their strings are hashed and counted.
+
+Passages of ``WORDS`` words may have fewer bytes than LENGTH. They are found beside the strings,
+with hashed words in place of bytes: anchors of words whose whole context another document has are
+shared, and where only the part that all strings of an anchor share is there, its strings are counted.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintagelens.llm.common import BYTE_VALUE, empty_text, mix, steps, stored
+from vintagelens.llm.common import BYTE_VALUE, empty_text, hash_spans, mix, per_row, steps, stored, word_spans
 
 LENGTH = 400
 GRAM = 32
@@ -32,12 +36,26 @@ WINDOW = 256
 # Classes of one group that a task compares; beyond, strings are counted by hash.
 GROUP_CLASSES = 50_000
 PLACE_BITS = 28  # texts up to 256 MB
+# Passages: over 50 words.
+WORDS = 51
+WORD_WINDOW = 32
+WORD_GRAM = 16
 BASE = np.uint64(0x9E6C63D0676A9A99)
 INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
+def byte_letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return data, offsets
+
+
+def word_letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a step as 64-bit hashes, and the offsets of its rows in them."""
+    starts, ends, rows = word_spans(data, offsets)
+    return hash_spans(data, starts, ends), per_row(rows, len(offsets) - 1)
+
+
 class Hashes:
-    """Hashes of any substrings of a step by prefix sums."""
+    """Hashes of any substrings of a step, of bytes or of hashed words, by prefix sums."""
 
     powers = inverses = np.ones(1, np.uint64)
 
@@ -48,21 +66,23 @@ class Hashes:
             Hashes.powers[0] = Hashes.inverses[0] = 1
             Hashes.powers, Hashes.inverses = np.cumprod(Hashes.powers), np.cumprod(Hashes.inverses)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(mix(BYTE_VALUE + np.uint64(seed))[data] * Hashes.powers[: len(data)], out=self.sums[1:])
+        own = np.uint64(seed)
+        values = mix(BYTE_VALUE + own)[data] if data.dtype == np.uint8 else mix(data + own)
+        np.cumsum(values * Hashes.powers[: len(data)], out=self.sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * Hashes.inverses[starts] + (ends - starts).astype(np.uint64))
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, window: int = WINDOW, gram: int = GRAM):
-    """Row, place, first start and last start of every anchor of a step.
+    """Row, place, first start and last start of every anchor of a step of bytes or hashed words.
 
     ``window`` and ``gram`` are powers of two with window + gram <= length.
     """
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none, none
-    hashes, size = BYTE_VALUE[data], 1
+    hashes, size = BYTE_VALUE[data] if data.dtype == np.uint8 else data, 1
     factor = BASE
     with np.errstate(over="ignore"):
         while size < gram:
@@ -180,11 +200,12 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _find_anchors(length: int, window: int, gram: int):
+def _find_anchors(length: int, window: int, gram: int, letters=byte_letters):
     schema, always = pa.schema(ANCHOR_FIELDS), length - window + 1
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in steps(batches, "text"):
+            data, offsets = letters(data, offsets)
             rows, place, low, high = anchors(data, offsets, length, window, gram)
             if not len(rows):
                 continue
@@ -200,13 +221,35 @@ def _find_anchors(length: int, window: int, gram: int):
     return run
 
 
-def _contexts(length: int, group_classes: int):
-    """Contexts of anchors to compare (kind 0), or the hashes of their strings (kind 1)."""
+def _word_strings(texts: list[dict], words: int) -> pa.RecordBatch:
+    """Hashes of the strings of word anchors: kind 2, or 3 where two documents are known to have them."""
+    parts, rows = [], []
+    for number, row in enumerate(texts):
+        if not row["passages"]:
+            continue
+        raw = np.frombuffer(row["text"].encode(), np.uint8)
+        letters, _ = word_letters(raw, np.array([0, len(raw)]))
+        starts = np.concatenate([np.arange(a["low"], a["high"] + 1) for a in row["passages"]])
+        kinds = np.repeat([2 + a["shared"] for a in row["passages"]], [a["high"] + 1 - a["low"] for a in row["passages"]])
+        parts.append((kinds, *(Hashes(letters, seed).of(starts, starts + words) for seed in (0, 1)), starts))
+        rows.append(np.full(len(starts), number))
+    if not parts:
+        return pa.RecordBatch.from_pylist([], schema=CONTEXT_ARROW)
+    kinds, key, key2, starts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    rows, none = pa.array(np.concatenate(rows)), pa.nulls(len(starts), pa.int32())
+    own = [pa.array([r[c] for r in texts], pa.int64()).take(rows) for c in ("doc_id", "h")]
+    numbers = [pa.array(starts.astype(np.int32)), none, none, pa.nulls(len(starts), pa.binary())]
+    return pa.RecordBatch.from_arrays([pa.array(kinds.astype(np.int32)), _signed(key), _signed(key2), *own, *numbers], schema=CONTEXT_ARROW)
+
+
+def _contexts(length: int, group_classes: int, words: int):
+    """Contexts of anchors to compare (kind 0), or the hashes of their strings (kind 1; of words, kinds 2 and 3)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
+            out, texts = [], batch.to_pylist()
+            yield _word_strings(texts, words)
+            for row in texts:
                 text, plain = row["text"].encode(), {"doc_id": row["doc_id"], "h": row["h"]}
                 many = [a for a in row["anchors"] if a["classes"] > group_classes]
                 if many:
@@ -266,6 +309,34 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _word_anchors(texts: DataFrame, words: int, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """Spans, in words, of anchors whose whole context another document has; anchors to count strings of.
+
+    The latter share their head with another document. Those with ``shared`` stand for a class
+    that two documents have, so that its strings are known to be shared.
+    """
+    # Words and the blanks between them.
+    longer = texts.where(F.octet_length("text") >= 2 * words - 1)
+    found = stored(longer.mapInArrow(_find_anchors(words, window, gram, word_letters), ANCHOR_TYPE), "passage-anchors")
+    heads = stored(found.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("head"), "passage-heads")
+    again = stored(found.join(heads, "head").withColumn("doc", F.xxhash64("doc_id", "h")), "passage-groups")
+    classes = again.groupBy("head", "whole").agg(
+        F.min("doc").alias("least"), F.max("doc").alias("most"), F.min(F.struct("doc_id", "h", "place")).alias("one")
+    )
+    classes = stored(classes, "passage-classes")
+    groups = classes.groupBy("head").agg(
+        F.count(F.lit(1)).alias("classes"), F.min("least").alias("first"), F.max("most").alias("last")
+    )
+    groups = stored(groups.where("first <> last").drop("first", "last"), "passage-counts")
+    known = stored(classes.join(groups, "head"), "passage-known")
+    members = stored(again.drop("doc").join(known, ["head", "whole"]), "passage-members")
+    spans = members.where("least <> most").select("doc_id", "h", F.col("low").alias("start"), (F.col("high") + words).alias("end"))
+    is_one = F.struct("doc_id", "h", "place").eqNullSafe(F.col("one"))
+    picked = members.where((F.col("classes") > 1) & ((F.col("least") == F.col("most")) | is_one))
+    shared = (F.col("least") != F.col("most")).cast("int").alias("shared")
+    return spans, picked.select("doc_id", "h", F.struct("low", "high", shared).alias("passage"))
+
+
 def repeated_spans(
     docs: DataFrame, length: int = LENGTH, window: int = WINDOW, gram: int = GRAM, group_classes: int = GROUP_CLASSES
 ) -> DataFrame:
@@ -273,6 +344,13 @@ def repeated_spans(
 
     Spans of one text may overlap.
     """
+    return _spans(docs, length, window, gram, group_classes)[0]
+
+
+def _spans(
+    docs: DataFrame, length: int, window: int, gram: int, group_classes: int, words: int = 0, word_window: int = 0, word_gram: int = 0
+) -> tuple[DataFrame, DataFrame | None]:
+    """Spans of repeated strings, in bytes, and of passages, in words, if ``words`` are given."""
     texts = docs.select(F.col("doc_id").cast("long"), empty_text().alias("text")).withColumn("h", F.xxhash64("text"))
     longer = texts.where(F.octet_length("text") >= length)
     found = stored(longer.mapInArrow(_find_anchors(length, window, gram), ANCHOR_TYPE), "repeat-anchors")
@@ -297,11 +375,17 @@ def repeated_spans(
     picked = mixed.where(is_one).select(
         "doc_id", "h", F.struct("place", "low", "high", "head", "classes").alias("anchor")
     )
-    per_text = picked.groupBy("doc_id", "h").agg(F.collect_set("anchor").alias("anchors"))
-    per_text = per_text.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "anchors")
+    picked = picked.withColumn("passage", F.lit(None).cast("struct<low: int, high: int, shared: int>"))
+    if words:
+        shared, counted = _word_anchors(texts, words, word_window, word_gram)
+        picked = picked.unionByName(counted, allowMissingColumns=True)
+        longer = texts.where(F.octet_length("text") >= min(length, 2 * words - 1))
+    # Texts move once for both.
+    per_text = picked.groupBy("doc_id", "h").agg(F.collect_set("anchor").alias("anchors"), F.collect_set("passage").alias("passages"))
+    per_text = per_text.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "anchors", "passages")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
-    joined = longer.join(per_text, same).select("doc_id", "h", "text", "anchors")
-    contexts = stored(joined.mapInArrow(_contexts(length, group_classes), CONTEXT_TYPE), "repeat-contexts")
+    joined = longer.join(per_text, same).select("doc_id", "h", "text", "anchors", "passages")
+    contexts = stored(joined.mapInArrow(_contexts(length, group_classes, words), CONTEXT_TYPE), "repeat-contexts")
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     once = contexts.where("kind = 0").select("key", "doc_id", "h", "place", "low", "context")
@@ -310,14 +394,24 @@ def repeated_spans(
     strings = contexts.where("kind = 1").select("key", "key2", "doc_id", "h", F.col("place").alias("start"))
     twice = strings.groupBy("key", "key2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     hashed = strings.join(twice, ["key", "key2"]).select("doc_id", "h", "start", (F.col("start") + length).alias("end"))
-    return alike.unionByName(repeated).unionByName(compared).unionByName(hashed)
+    spans = alike.unionByName(repeated).unionByName(compared).unionByName(hashed)
+    if not words:
+        return spans, None
+
+    strings = contexts.where("kind > 1").select("key", "key2", "doc_id", "h", "kind", F.col("place").alias("start"))
+    doc = F.xxhash64("doc_id", "h")
+    twice = strings.groupBy("key", "key2").agg(F.min(doc).alias("least"), F.max(doc).alias("most"), F.max("kind").alias("kind"))
+    twice = stored(twice.where("least <> most or kind = 3").select("key", "key2"), "passage-strings")
+    hashed = strings.where("kind = 2").join(twice, ["key", "key2"])
+    hashed = hashed.select("doc_id", "h", "start", (F.col("start") + words).alias("end"))
+    return spans, shared.unionByName(hashed)
 
 
 KEPT_ARROW = pa.schema([
     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("kept", pa.binary()),
-    ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+    *((name, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))) for name in ("removed", "passages")),
 ])
-KEPT_TYPE = "doc_id long, n_bytes long, kept binary, removed array<struct<start: int, end: int>>"
+KEPT_TYPE = "doc_id long, n_bytes long, kept binary, removed array<struct<start: int, end: int>>, passages array<struct<start: int, end: int>>"
 
 
 def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,24 +419,38 @@ def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
         for key, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
             raw = text.encode()
-            runs = merge_spans([(s["start"], s["end"]) for s in spans or []])
+            runs, passages = (merge_spans([(s["start"], s["end"]) for s in spans or [] if s["words"] == words]) for words in (False, True))
             edges = [0, *[x for run in runs for x in run], len(raw)]
             kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if runs else raw
-            out.append({"doc_id": key, "n_bytes": len(raw), "kept": kept, "removed": [{"start": a, "end": b} for a, b in runs]})
+            found = {k: [{"start": a, "end": b} for a, b in v] for k, v in (("removed", runs), ("passages", passages))}
+            out.append({"doc_id": key, "n_bytes": len(raw), "kept": kept, **found})
         yield pa.RecordBatch.from_pylist(out, schema=KEPT_ARROW)
 
 
-def remove(docs: DataFrame, **settings) -> DataFrame:
-    """doc_id, n_bytes, kept (bytes), removed (maximal runs of removed bytes) of every text.
+def remove(
+    docs: DataFrame,
+    length: int = LENGTH,
+    window: int = WINDOW,
+    gram: int = GRAM,
+    group_classes: int = GROUP_CLASSES,
+    words: int = WORDS,
+    word_window: int = WORD_WINDOW,
+    word_gram: int = WORD_GRAM,
+) -> DataFrame:
+    """doc_id, n_bytes, kept (bytes), removed (maximal runs of removed bytes) of every text, and passages.
 
     Every byte that a string of ``length`` bytes covers is removed if that string starts at
     another place too, in any text, the same one included. Strings are judged on the input. A
     null text is empty; texts shorter than ``length`` keep all. Rows that repeat a text repeat
-    its strings. Reads doc_id and text, other columns are left out. No rows give no rows.
+    its strings. Passages are the maximal runs of words that a run of ``words`` words covers
+    which another document has too, whatever blanks part them: reported with the numbers of
+    their words, and not removed for it. Rows alike in doc_id and text are one document there.
+    Reads doc_id and text, other columns are left out. No rows give no rows.
     """
     texts = docs.select(F.col("doc_id").cast("long"), empty_text().alias("text")).withColumn("h", F.xxhash64("text"))
-    spans = repeated_spans(docs, **settings)
-    per_text = spans.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans, passages = _spans(docs, length, window, gram, group_classes, words, word_window, word_gram)
+    spans = spans.withColumn("words", F.lit(False)).unionByName(passages.withColumn("words", F.lit(True)))
+    per_text = spans.groupBy("doc_id", "h").agg(F.collect_set(F.struct("words", "start", "end")).alias("spans"))
     per_text = per_text.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "spans")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
     return texts.join(per_text, same, "left").select("doc_id", "text", "spans").mapInArrow(_remove, KEPT_TYPE)
