@@ -319,22 +319,21 @@ def _word_anchors(texts: DataFrame, words: int, window: int, gram: int) -> tuple
     longer = texts.where(F.octet_length("text") >= 2 * words - 1)
     found = stored(longer.mapInArrow(_find_anchors(words, window, gram, word_letters), ANCHOR_TYPE), "passage-anchors")
     heads = stored(found.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("head"), "passage-heads")
-    again = stored(found.join(heads, "head").withColumn("doc", F.xxhash64("doc_id", "h")), "passage-groups")
-    classes = again.groupBy("head", "whole").agg(
-        F.min("doc").alias("least"), F.max("doc").alias("most"), F.min(F.struct("doc_id", "h", "place")).alias("one")
-    )
+    again = stored(found.join(heads, "head"), "passage-groups")
+    doc, place = F.xxhash64("doc_id", "h"), F.struct("doc_id", "h", "place")
+    classes = again.groupBy("head", "whole").agg(F.min(doc).alias("least"), F.max(doc).alias("most"), F.min(place).alias("one"))
     classes = stored(classes, "passage-classes")
     groups = classes.groupBy("head").agg(
         F.count(F.lit(1)).alias("classes"), F.min("least").alias("first"), F.max("most").alias("last")
     )
     groups = stored(groups.where("first <> last").drop("first", "last"), "passage-counts")
-    known = stored(classes.join(groups, "head"), "passage-known")
-    members = stored(again.drop("doc").join(known, ["head", "whole"]), "passage-members")
-    spans = members.where("least <> most").select("doc_id", "h", F.col("low").alias("start"), (F.col("high") + words).alias("end"))
-    is_one = F.struct("doc_id", "h", "place").eqNullSafe(F.col("one"))
-    picked = members.where((F.col("classes") > 1) & ((F.col("least") == F.col("most")) | is_one))
     shared = (F.col("least") != F.col("most")).cast("int").alias("shared")
-    return spans, picked.select("doc_id", "h", F.struct("low", "high", shared).alias("passage"))
+    known = stored(classes.join(groups, "head").select("head", "whole", "one", "classes", shared), "passage-known")
+    counted = (F.col("classes") > 1) & ((F.col("shared") == 0) | place.eqNullSafe(F.col("one")))
+    members = again.join(known, ["head", "whole"]).select("doc_id", "h", "low", "high", "shared", counted.alias("counted"))
+    members = stored(members, "passage-members")
+    spans = members.where("shared = 1").select("doc_id", "h", F.col("low").alias("start"), (F.col("high") + words).alias("end"))
+    return spans, members.where("counted").select("doc_id", "h", F.struct("low", "high", "shared").alias("passage"))
 
 
 def repeated_spans(
