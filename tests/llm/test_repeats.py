@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tests.llm.helpers import awkward, empty
 from vintagelens.llm import repeats
 
@@ -110,3 +112,49 @@ def test_passage_below_the_bytes_of_a_string(spark):
     assert len(passage) < repeats.LENGTH
     assert {k: [tuple(p) for p in r.passages] for k, r in rows.items()} == {1: [(90, 141)], 2: [(0, 51)], 3: [], 4: [], 5: [], 6: []}
     assert all(not r.removed for r in rows.values())
+
+
+def moved(df):
+    """What the exchanges of a plan get their rows from."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [below for line, below in zip(lines[:-1], lines[1:], strict=True) if "Exchange" in line]
+
+
+def test_texts_do_not_move(spark, monkeypatch):
+    rng = random.Random(3)
+    pool = [" ".join(str(rng.random()) for _ in range(60)) for _ in range(4)]
+    docs = [(i, f"{i} " + rng.choice(pool)[: rng.randint(300, 1100)]) for i in range(40)]
+    plans, stored = [], repeats.stored
+
+    def seen(df, *rest):
+        plans.extend(moved(df))
+        return stored(df, *rest)
+
+    monkeypatch.setattr(repeats, "stored", seen)
+    # Tables of this size would be broadcast, large ones are not.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = repeats.remove(spark.createDataFrame(docs, "doc_id long, text string"))
+        rows = out.collect()
+        plans += moved(out)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert any(r.removed for r in rows) and any(r.passages for r in rows)
+    assert len(plans) > 10 and not [x for x in plans if re.search(r"\btext#", x)]
+
+
+def test_spans_over_many_chunks(spark):
+    rng = random.Random(8)
+    pool = ["".join(rng.choice("ab") for _ in range(60)) for _ in range(9)]
+    # More documents in a partition than a chunk has; copies under one doc_id and under none.
+    docs = [(i, "".join(rng.choice([*pool, f"x{i}y"]) for _ in range(3)) if i % 7 else f"{i}z") for i in range(1300)]
+    docs += [(5, docs[5][1]), (None, docs[6][1]), (None, docs[6][1]), (1300, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    settings = {"length": 70, "window": 32, "gram": 16}
+    assert found(frame, **settings) == brute(docs, 70)
+    spans = defaultdict(set)
+    for r in repeats.repeated_spans(frame, **settings).collect():
+        spans[r.doc_id, r.h].add((r.start, r.end))
+    own = {(r.doc_id, r.h): r.text for r in frame.withColumn("h", F.xxhash64("text")).collect()}
+    runs = Counter((k, len(own[k, h]), len(repeats.merge_spans(v))) for (k, h), v in spans.items())
+    assert runs == Counter(set((k, n, m) for k, n, m, _ in brute(docs, 70) if m))

@@ -14,6 +14,8 @@ anchor; an anchor stands for the starts of one run, and for the bytes these cove
    repeat reaches to the left. Reaches that add up to LENGTH are repeated.
 3. Very large groups take another exact way: all their strings are hashed and counted.
 
+Texts lie in buckets and do not move: what is wanted of them, and the spans found, go to their chunks.
+
 Passages of ``WORDS`` words may have fewer bytes than LENGTH. They are found beside the strings,
 with hashed words in place of bytes: anchors of words whose whole context another document has are
 shared, and where only the part that all strings of an anchor share is there, its strings are counted.
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintagelens.llm.common import BYTE_VALUE, empty_text, hash_spans, mix, per_row, steps, stored, word_spans
+from vintagelens.llm.common import BYTE_VALUE, empty_text, hash_spans, mix, per_row, steps, stored, stored_in_buckets, word_spans
 
 LENGTH = 400
 GRAM = 32
@@ -36,6 +38,7 @@ WINDOW = 256
 # Classes of one group that a task compares; beyond, strings are counted by hash.
 GROUP_CLASSES = 50_000
 PLACE_BITS = 28  # texts up to 256 MB
+CHUNK_BITS = 9  # of a document's number: 512 documents a chunk, as many as an Arrow batch has
 # Passages: over 50 words.
 WORDS = 51
 WORD_WINDOW = 32
@@ -188,20 +191,24 @@ def reaches(lefts: list[bytes], rights: list[bytes], length: int) -> tuple[np.nd
     return left, right
 
 
-ANCHOR_FIELDS = [("doc_id", pa.int64()), ("h", pa.int64()), ("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("head", pa.int64()), ("whole", pa.int64())]
-ANCHOR_TYPE = "doc_id long, h long, place int, low int, high int, head long, whole long"
-CONTEXT_TYPE = "kind int, key long, key2 long, doc_id long, h long, place int, low int, high int, context binary"
-CONTEXT_ARROW = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("key2", pa.int64()), *ANCHOR_FIELDS[:5], ("context", pa.binary())])
-SPAN_ARROW = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
-SPAN_TYPE = "doc_id long, h long, start int, end int"
+SPOT_FIELDS = [("place", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("head", pa.int64()), ("whole", pa.int64())]
+SPOT_TYPE = "place int, low int, high int, head long, whole long"
+CONTEXT_TYPE = "kind int, key long, key2 long, doc long, twin long, place int, low int, context binary"
+CONTEXT_ARROW = pa.schema([
+    ("kind", pa.int32()), ("key", pa.int64()), ("key2", pa.int64()), ("doc", pa.int64()), ("twin", pa.int64()),
+    ("place", pa.int32()), ("low", pa.int32()), ("context", pa.binary()),
+])
+SPAN_ARROW = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32())])
+SPAN_TYPE = "doc long, start int, end int"
 
 
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
-def _find_anchors(length: int, window: int, gram: int, letters=byte_letters):
-    schema, always = pa.schema(ANCHOR_FIELDS), length - window + 1
+def _find_anchors(length: int, window: int, gram: int, keys: list[str], letters=byte_letters):
+    """Anchors of the texts, with the columns ``keys`` of their rows."""
+    schema, always = pa.schema([*((k, pa.int64()) for k in keys), *SPOT_FIELDS]), length - window + 1
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in steps(batches, "text"):
@@ -213,59 +220,59 @@ def _find_anchors(length: int, window: int, gram: int, letters=byte_letters):
             head = hashes.of(place, place + always)
             shape = mix(((place - low) << 20 | (place - high)).astype(np.uint64))
             whole = mix(hashes.of(low, high + length) + shape)
-            own = [batch.column(c).to_numpy(zero_copy_only=False)[rows] for c in ("h",)]
-            ids = batch.column("doc_id").take(pa.array(rows))
+            own = [batch.column(k).take(pa.array(rows)) for k in keys]
             numbers = [pa.array((x - base).astype(np.int32)) for x in (place, low, high)]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(own[0]), *numbers, _signed(head), _signed(whole)], schema=schema)
+            yield pa.RecordBatch.from_arrays([*own, *numbers, _signed(head), _signed(whole)], schema=schema)
 
     return run
 
 
-def _word_strings(texts: list[dict], words: int) -> pa.RecordBatch:
+def _word_strings(text: bytes, doc: int, twin: int, passages: list[dict], words: int) -> pa.RecordBatch:
     """Hashes of the strings of word anchors: kind 2, or 3 where two documents are known to have them."""
-    parts, rows = [], []
-    for number, row in enumerate(texts):
-        if not row["passages"]:
-            continue
-        raw = np.frombuffer(row["text"].encode(), np.uint8)
-        letters, _ = word_letters(raw, np.array([0, len(raw)]))
-        starts = np.concatenate([np.arange(a["low"], a["high"] + 1) for a in row["passages"]])
-        kinds = np.repeat([2 + a["shared"] for a in row["passages"]], [a["high"] + 1 - a["low"] for a in row["passages"]])
-        parts.append((kinds, *(Hashes(letters, seed).of(starts, starts + words) for seed in (0, 1)), starts))
-        rows.append(np.full(len(starts), number))
-    if not parts:
-        return pa.RecordBatch.from_pylist([], schema=CONTEXT_ARROW)
-    kinds, key, key2, starts = (np.concatenate(x) for x in zip(*parts, strict=True))
-    rows, none = pa.array(np.concatenate(rows)), pa.nulls(len(starts), pa.int32())
-    own = [pa.array([r[c] for r in texts], pa.int64()).take(rows) for c in ("doc_id", "h")]
-    numbers = [pa.array(starts.astype(np.int32)), none, none, pa.nulls(len(starts), pa.binary())]
-    return pa.RecordBatch.from_arrays([pa.array(kinds.astype(np.int32)), _signed(key), _signed(key2), *own, *numbers], schema=CONTEXT_ARROW)
+    raw = np.frombuffer(text, np.uint8)
+    letters, _ = word_letters(raw, np.array([0, len(raw)]))
+    starts = np.concatenate([np.arange(a["low"], a["high"] + 1) for a in passages])
+    kinds = np.repeat([2 + a["shared"] for a in passages], [a["high"] + 1 - a["low"] for a in passages])
+    return _strings(kinds, [Hashes(letters, seed).of(starts, starts + words) for seed in (0, 1)], doc, twin, starts)
+
+
+def _strings(kinds: np.ndarray, keys: list[np.ndarray], doc: int, twin: int, starts: np.ndarray) -> pa.RecordBatch:
+    n = len(starts)
+    own = [pa.repeat(pa.scalar(x, pa.int64()), n) for x in (doc, twin)]
+    columns = [pa.array(kinds.astype(np.int32)), *map(_signed, keys), *own, pa.array(starts.astype(np.int32))]
+    return pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=CONTEXT_ARROW)
 
 
 def _contexts(length: int, group_classes: int, words: int):
     """Contexts of anchors to compare (kind 0), or the hashes of their strings (kind 1; of words, kinds 2 and 3)."""
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out, texts = [], batch.to_pylist()
-            yield _word_strings(texts, words)
-            for row in texts:
-                text, plain = row["text"].encode(), {"doc_id": row["doc_id"], "h": row["h"]}
-                many = [a for a in row["anchors"] if a["classes"] > group_classes]
-                if many:
-                    data = np.frombuffer(text, np.uint8)
-                    one, two = Hashes(data), Hashes(data, 1)
-                for a in row["anchors"]:
-                    if a["classes"] <= group_classes:
-                        context = text[a["low"] : a["high"] + length]
-                        own = {k: a[k] for k in ("place", "low", "high")}
-                        out.append({"kind": 0, "key": a["head"], "key2": 0, **plain, **own, "context": context})
-                        continue
-                    starts = np.arange(a["low"], a["high"] + 1)
-                    keys = zip(*(h.of(starts, starts + length).view(np.int64).tolist() for h in (one, two)), strict=True)
-                    for start, (key, key2) in zip(starts.tolist(), keys, strict=True):
-                        out.append({"kind": 1, "key": key, "key2": key2, **plain, "place": start, "low": start, "high": start, "context": None})
-            yield pa.RecordBatch.from_pylist(out, schema=CONTEXT_ARROW)
+    def run(chunk: pa.Table, wanted: pa.Table) -> pa.Table:
+        by_doc: dict[int, list[dict]] = {}
+        for a in wanted.to_pylist():
+            by_doc.setdefault(a["doc"], []).append(a)
+        out, plain = [], []
+        for doc, twin, text in zip(chunk["doc"].to_pylist(), chunk["twin"].to_pylist(), chunk["text"], strict=True):
+            own = by_doc.get(doc)
+            if not own:
+                continue
+            text = text.as_py().encode()
+            passages = [a for a in own if a["shared"] is not None]
+            if passages:
+                out.append(_word_strings(text, doc, twin, passages, words))
+            found = [a for a in own if a["shared"] is None]
+            for a in found:
+                if a["classes"] <= group_classes:
+                    context = text[a["low"] : a["high"] + length]
+                    plain.append((0, a["head"], 0, doc, twin, a["place"], a["low"], context))
+            many = [np.arange(a["low"], a["high"] + 1) for a in found if a["classes"] > group_classes]
+            if many:
+                data, starts = np.frombuffer(text, np.uint8), np.concatenate(many)
+                keys = [Hashes(data, seed).of(starts, starts + length) for seed in (0, 1)]
+                out.append(_strings(np.ones(len(starts)), keys, doc, twin, starts))
+        if plain:
+            columns = [pa.array(x, field.type) for x, field in zip(zip(*plain, strict=True), CONTEXT_ARROW, strict=True)]
+            out.append(pa.RecordBatch.from_arrays(columns, schema=CONTEXT_ARROW))
+        return pa.Table.from_batches(out, schema=CONTEXT_ARROW).combine_chunks()
 
     return run
 
@@ -278,7 +285,7 @@ def _compare(length: int):
         rights = [r["context"][r["place"] - r["low"] :] for r in group]
         left, right = reaches(lefts, rights, length)
         return [
-            {"doc_id": r["doc_id"], "h": r["h"], "start": r["place"] - a, "end": r["place"] + b}
+            {"doc": r["doc"], "start": r["place"] - a, "end": r["place"] + b}
             for r, a, b in zip(group, left.tolist(), right.tolist(), strict=True)
             if a + b >= length
         ]
@@ -309,6 +316,18 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The texts with the number of their row, that of its chunk, and a hash that rows alike in doc_id and text share."""
+    texts = docs.select(F.col("doc_id").cast("long"), empty_text().alias("text"), F.monotonically_increasing_id().alias("doc"))
+    twin = F.xxhash64("doc_id", F.xxhash64("text"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored_in_buckets(texts.select(_chunk(), "doc", twin.alias("twin"), "doc_id", "text"), "repeat-texts", "chunk", parts)
+
+
+def _chunk():
+    return F.shiftright("doc", CHUNK_BITS).alias("chunk")
+
+
 def _word_anchors(texts: DataFrame, words: int, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
     """Spans, in words, of anchors whose whole context another document has; anchors to count strings of.
 
@@ -316,12 +335,14 @@ def _word_anchors(texts: DataFrame, words: int, window: int, gram: int) -> tuple
     that two documents have, so that its strings are known to be shared.
     """
     # Words and the blanks between them.
-    longer = texts.where(F.octet_length("text") >= 2 * words - 1)
-    found = stored(longer.mapInArrow(_find_anchors(words, window, gram, word_letters), ANCHOR_TYPE), "passage-anchors")
+    longer = texts.where(F.octet_length("text") >= 2 * words - 1).select("doc", "twin", "text")
+    find = _find_anchors(words, window, gram, ["doc", "twin"], word_letters)
+    # Where an anchor lies among its starts is not asked again.
+    found = stored(longer.mapInArrow(find, f"doc long, twin long, {SPOT_TYPE}").drop("place"), "passage-anchors")
     heads = stored(found.groupBy("head").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("head"), "passage-heads")
     again = stored(found.join(heads, "head"), "passage-groups")
-    doc, place = F.xxhash64("doc_id", "h"), F.struct("doc_id", "h", "place")
-    classes = again.groupBy("head", "whole").agg(F.min(doc).alias("least"), F.max(doc).alias("most"), F.min(place).alias("one"))
+    place = F.struct("doc", "low")
+    classes = again.groupBy("head", "whole").agg(F.min("twin").alias("least"), F.max("twin").alias("most"), F.min(place).alias("one"))
     classes = stored(classes, "passage-classes")
     groups = classes.groupBy("head").agg(
         F.count(F.lit(1)).alias("classes"), F.min("least").alias("first"), F.max("most").alias("last")
@@ -330,10 +351,10 @@ def _word_anchors(texts: DataFrame, words: int, window: int, gram: int) -> tuple
     shared = (F.col("least") != F.col("most")).cast("int").alias("shared")
     known = stored(classes.join(groups, "head").select("head", "whole", "one", "classes", shared), "passage-known")
     counted = (F.col("classes") > 1) & ((F.col("shared") == 0) | place.eqNullSafe(F.col("one")))
-    members = again.join(known, ["head", "whole"]).select("doc_id", "h", "low", "high", "shared", counted.alias("counted"))
+    members = again.join(known, ["head", "whole"]).select("doc", "low", "high", "shared", counted.alias("counted"))
     members = stored(members, "passage-members")
-    spans = members.where("shared = 1").select("doc_id", "h", F.col("low").alias("start"), (F.col("high") + words).alias("end"))
-    return spans, members.where("counted").select("doc_id", "h", F.struct("low", "high", "shared").alias("passage"))
+    spans = members.where("shared = 1").select("doc", F.col("low").alias("start"), (F.col("high") + words).alias("end"))
+    return spans, members.where("counted").select("doc", "low", "high", "shared")
 
 
 def repeated_spans(
@@ -343,66 +364,60 @@ def repeated_spans(
 
     Spans of one text may overlap.
     """
-    return _spans(docs, length, window, gram, group_classes)[0]
+    texts = _numbered(docs)
+    spans = _spans(texts, length, window, gram, group_classes)[0]
+    own = texts.select("doc", "doc_id", F.xxhash64("text").alias("h"))
+    return spans.join(own, "doc").select("doc_id", "h", "start", "end")
 
 
 def _spans(
-    docs: DataFrame, length: int, window: int, gram: int, group_classes: int, words: int = 0, word_window: int = 0, word_gram: int = 0
+    texts: DataFrame, length: int, window: int, gram: int, group_classes: int, words: int = 0, word_window: int = 0, word_gram: int = 0
 ) -> tuple[DataFrame, DataFrame | None]:
     """Spans of repeated strings, in bytes, and of passages, in words, if ``words`` are given."""
-    texts = docs.select(F.col("doc_id").cast("long"), empty_text().alias("text")).withColumn("h", F.xxhash64("text"))
     longer = texts.where(F.octet_length("text") >= length)
-    found = stored(longer.mapInArrow(_find_anchors(length, window, gram), ANCHOR_TYPE), "repeat-anchors")
+    find = _find_anchors(length, window, gram, ["doc"])
+    found = stored(longer.select("doc", "text").mapInArrow(find, f"doc long, {SPOT_TYPE}"), "repeat-anchors")
     groups = found.groupBy("head").agg(
         F.count(F.lit(1)).alias("n"), F.min("whole").alias("least"), F.max("whole").alias("most")
     )
     # Stored, so that the join has a plain shuffle on either side and hot groups can be split.
     groups = stored(groups.where("n > 1").drop("n"), "repeat-heads")
     again = stored(found.join(groups, "head"), "repeat-groups")
-    covered = lambda df: df.select("doc_id", "h", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
+    covered = lambda df: df.select("doc", F.col("low").alias("start"), (F.col("high") + length).alias("end"))
     alike = covered(again.where("least = most"))
 
     mixed = again.where("least < most").drop("least", "most")
-    classes = mixed.groupBy("head", "whole").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "h", "place")).alias("one")
-    )
+    classes = mixed.groupBy("head", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "place")).alias("one"))
     counts = classes.groupBy("head").agg(F.count(F.lit(1)).alias("classes"))
     known = stored(classes.join(stored(counts, "repeat-counts"), "head"), "repeat-known")
     mixed = stored(mixed.join(known, ["head", "whole"]), "repeat-classes")
     repeated = covered(mixed.where("n > 1"))
-    is_one = F.struct("doc_id", "h", "place").eqNullSafe(F.col("one"))
-    picked = mixed.where(is_one).select(
-        "doc_id", "h", F.struct("place", "low", "high", "head", "classes").alias("anchor")
-    )
-    picked = picked.withColumn("passage", F.lit(None).cast("struct<low: int, high: int, shared: int>"))
+    is_one = F.struct("doc", "place").eqNullSafe(F.col("one"))
+    picked = mixed.where(is_one).select("doc", "place", "low", "high", "head", "classes")
+    picked = picked.withColumn("shared", F.lit(None).cast("int"))
     if words:
         shared, counted = _word_anchors(texts, words, word_window, word_gram)
         picked = picked.unionByName(counted, allowMissingColumns=True)
         longer = texts.where(F.octet_length("text") >= min(length, 2 * words - 1))
-    # Texts move once for both.
-    per_text = picked.groupBy("doc_id", "h").agg(F.collect_set("anchor").alias("anchors"), F.collect_set("passage").alias("passages"))
-    per_text = per_text.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "anchors", "passages")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
-    joined = longer.join(per_text, same).select("doc_id", "h", "text", "anchors", "passages")
-    contexts = stored(joined.mapInArrow(_contexts(length, group_classes, words), CONTEXT_TYPE), "repeat-contexts")
+    asked = longer.select("chunk", "doc", "twin", "text").groupBy("chunk").cogroup(picked.withColumn("chunk", _chunk()).groupBy("chunk"))
+    contexts = stored(asked.applyInArrow(_contexts(length, group_classes, words), CONTEXT_TYPE), "repeat-contexts")
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    once = contexts.where("kind = 0").select("key", "doc_id", "h", "place", "low", "context")
-    compared = once.repartition(parts, "key").sortWithinPartitions("key", "doc_id", "h", "place")
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    once = contexts.where("kind = 0").select("key", "doc", "place", "low", "context")
+    compared = once.repartition(parts, "key").sortWithinPartitions("key", "doc", "place")
     compared = compared.mapInArrow(_compare(length), SPAN_TYPE)
-    strings = contexts.where("kind = 1").select("key", "key2", "doc_id", "h", F.col("place").alias("start"))
+    strings = contexts.where("kind = 1").select("key", "key2", "doc", F.col("place").alias("start"))
     twice = strings.groupBy("key", "key2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    hashed = strings.join(twice, ["key", "key2"]).select("doc_id", "h", "start", (F.col("start") + length).alias("end"))
+    hashed = strings.join(twice, ["key", "key2"]).select("doc", "start", (F.col("start") + length).alias("end"))
     spans = alike.unionByName(repeated).unionByName(compared).unionByName(hashed)
     if not words:
         return spans, None
 
-    strings = contexts.where("kind > 1").select("key", "key2", "doc_id", "h", "kind", F.col("place").alias("start"))
-    doc = F.xxhash64("doc_id", "h")
-    twice = strings.groupBy("key", "key2").agg(F.min(doc).alias("least"), F.max(doc).alias("most"), F.max("kind").alias("kind"))
+    strings = contexts.where("kind > 1").select("key", "key2", "doc", "twin", "kind", F.col("place").alias("start"))
+    twice = strings.groupBy("key", "key2").agg(F.min("twin").alias("least"), F.max("twin").alias("most"), F.max("kind").alias("kind"))
     twice = stored(twice.where("least <> most or kind = 3").select("key", "key2"), "passage-strings")
-    hashed = strings.where("kind = 2").join(twice, ["key", "key2"])
-    hashed = hashed.select("doc_id", "h", "start", (F.col("start") + words).alias("end"))
+    hashed = strings.where("kind = 2").select("key", "key2", "doc", "start").join(twice, ["key", "key2"])
+    hashed = hashed.select("doc", "start", (F.col("start") + words).alias("end"))
     return spans, shared.unionByName(hashed)
 
 
@@ -413,17 +428,19 @@ KEPT_ARROW = pa.schema([
 KEPT_TYPE = "doc_id long, n_bytes long, kept binary, removed array<struct<start: int, end: int>>, passages array<struct<start: int, end: int>>"
 
 
-def _remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out = []
-        for key, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "spans")), strict=True):
-            raw = text.encode()
-            runs, passages = (merge_spans([(s["start"], s["end"]) for s in spans or [] if s["words"] == words]) for words in (False, True))
-            edges = [0, *[x for run in runs for x in run], len(raw)]
-            kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if runs else raw
-            found = {k: [{"start": a, "end": b} for a, b in v] for k, v in (("removed", runs), ("passages", passages))}
-            out.append({"doc_id": key, "n_bytes": len(raw), "kept": kept, **found})
-        yield pa.RecordBatch.from_pylist(out, schema=KEPT_ARROW)
+def _remove(chunk: pa.Table, spans: pa.Table) -> pa.Table:
+    found: dict[tuple, list[tuple[int, int]]] = {}
+    for doc, words, start, end in zip(*(spans[c].to_pylist() for c in ("doc", "words", "start", "end")), strict=True):
+        found.setdefault((doc, words), []).append((start, end))
+    out = []
+    for key, doc, text in zip(chunk["doc_id"].to_pylist(), chunk["doc"].to_pylist(), chunk["text"], strict=True):
+        raw = text.as_py().encode()
+        runs, passages = (merge_spans(found.get((doc, words), [])) for words in (False, True))
+        edges = [0, *[x for run in runs for x in run], len(raw)]
+        kept = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) if runs else raw
+        lists = {k: [{"start": a, "end": b} for a, b in v] for k, v in (("removed", runs), ("passages", passages))}
+        out.append({"doc_id": key, "n_bytes": len(raw), "kept": kept, **lists})
+    return pa.Table.from_pylist(out, schema=KEPT_ARROW)
 
 
 def remove(
@@ -446,10 +463,8 @@ def remove(
     their words, and not removed for it. Rows alike in doc_id and text are one document there.
     Reads doc_id and text, other columns are left out. No rows give no rows.
     """
-    texts = docs.select(F.col("doc_id").cast("long"), empty_text().alias("text")).withColumn("h", F.xxhash64("text"))
-    spans, passages = _spans(docs, length, window, gram, group_classes, words, word_window, word_gram)
+    texts = _numbered(docs)
+    spans, passages = _spans(texts, length, window, gram, group_classes, words, word_window, word_gram)
     spans = spans.withColumn("words", F.lit(False)).unionByName(passages.withColumn("words", F.lit(True)))
-    per_text = spans.groupBy("doc_id", "h").agg(F.collect_set(F.struct("words", "start", "end")).alias("spans"))
-    per_text = per_text.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "spans")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
-    return texts.join(per_text, same, "left").select("doc_id", "text", "spans").mapInArrow(_remove, KEPT_TYPE)
+    by_chunk = texts.select("chunk", "doc", "doc_id", "text").groupBy("chunk")
+    return by_chunk.cogroup(spans.withColumn("chunk", _chunk()).groupBy("chunk")).applyInArrow(_remove, KEPT_TYPE)
