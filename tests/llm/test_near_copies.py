@@ -82,3 +82,36 @@ def test_no_key_for_empty_groups():
         tokens = np.unique(np.array([rng.getrandbits(63) for _ in range(rng.choice([4, 5, 8, 30, 100]))], np.uint64))
         seen.update(set(jaccard.keys_of(tokens, PERCENT).tolist()))
     assert max(seen.values()) == 1
+
+
+def test_a_passage_that_many_hold_makes_no_cluster(spark, monkeypatch):
+    """Texts that have a passage in common are not dealt to tasks as one cluster of near copies."""
+    rng = random.Random(3)
+    passage = [f"p{i}" for i in range(24)]
+    docs = []
+    for i in range(400):
+        own = [f"w{rng.getrandbits(40)}" for _ in range(40)]
+        docs.append((2 * i, " ".join(own[:20] + passage + own[20:])))
+        if i % 10 == 0:
+            docs.append((2 * i + 1, " ".join(own[:20] + passage + own[20:-1] + ["z"])))
+    blocks, write = [], jaccard.stored
+
+    def stored(df, name, *more):
+        out = write(df, name, *more)
+        if name == "jaccard-clusters":
+            blocks.append(max((r.blocks for r in out.collect()), default=0))
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", stored)
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 8)
+    found = jaccard.groups(spark.createDataFrame(docs, "doc_id long, text string"), width=WIDTH, percent=PERCENT)
+    assert {r.doc_id: r.component_id for r in found.collect()} == brute(docs)
+    assert blocks[0] > 16 and blocks[-1] <= 2
+
+
+def test_large_clusters_as_brute_force(spark, monkeypatch):
+    """All clusters are clustered again by their rarest groups, and cut into blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 1)
+    docs = varied(6)
+    found = jaccard.groups(spark.createDataFrame(docs, "doc_id long, text string"), width=WIDTH, percent=PERCENT)
+    assert {r.doc_id: r.component_id for r in found.collect()} == brute(docs)

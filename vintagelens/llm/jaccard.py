@@ -12,6 +12,10 @@ group's tokens, and sets that share a key, directly or through others, form a cl
 with few tokens are common by chance; there are more groups than the argument needs, so that
 those with the fewest tokens are left out, and empty groups always. Clusters are cut into blocks, and each pair of blocks is one task,
 which sends on a forest of its links.
+
+Texts that share a passage share some keys by chance, and with many texts such clusters run
+together. The sets of a cluster of more than one block therefore send all their groups, the
+rarest first, and are clustered again: keys of a passage that many hold are not among those.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintagelens.llm.common import LOWER, hash_spans, mix, per_row, steps, stored, word_spans
@@ -71,15 +75,16 @@ def bands(largest: int, percent: int = PERCENT, ratio: float = BAND_RATIO) -> li
     return out
 
 
-def keys_of(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Keys of the fullest groups of the set, for each size band in which it can have a partner.
+def groups_of(tokens: np.ndarray, percent: int = PERCENT) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """D, the keys of the groups that hold tokens, their counts, and at times a key for each token.
 
-    Of D + 1 + spare groups, the D + 1 that come last by count and content are sent. Two sets that
-    link hold at least spare + 1 equal groups, and the last of these is among the last D + 1 of
-    both. Empty groups send no key: if that last equal group is empty, neither set fills more than
+    One entry for each size band in which the set can have a partner. Of D + 1 + spare groups, two
+    sets that link hold at least spare + 1 equal ones. In any order that depends on the keys only,
+    empty groups last, the first of these is among the first D + 1 of both: those are to be sent.
+    Empty groups have no key: if that first equal group is empty, neither set fills more than
     D groups, and sets that fill so few send each token as well, of which they share one.
     """
-    n, out = len(tokens), []
+    n = len(tokens)
     smallest = -(-percent * n // 100)  # of a smaller partner
     with np.errstate(over="ignore"):
         spread = mix(tokens + np.uint64(0x51ED270B))
@@ -97,9 +102,17 @@ def keys_of(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
             sums = np.add.reduceat(spread[order], (np.cumsum(counts) - counts)[full])
             band = np.uint64(number) << np.uint64(40)
             keys = mix(sums + mix(band + full.astype(np.uint64)) + counts[full].astype(np.uint64))
-            out.append(keys[np.lexsort((keys, counts[full]))[-(most_apart + 1) :]])
-            if len(full) <= most_apart:
-                out.append(mix(spread + mix(band + np.uint64(groups))))
+            few = len(full) <= most_apart
+            yield most_apart, keys, counts[full], mix(spread + mix(band + np.uint64(groups))) if few else None
+
+
+def keys_of(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Keys of the fullest groups of the set: the D + 1 that come last by count and content."""
+    out = []
+    for most_apart, keys, counts, single in groups_of(tokens, percent):
+        out.append(keys[np.lexsort((keys, counts))[-(most_apart + 1) :]])
+        if single is not None:
+            out.append(single)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -161,6 +174,12 @@ def forest(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, in
     return links
 
 
+def hash_sets(sets: list[np.ndarray]) -> np.ndarray:
+    """64-bit hash of each set of shingles."""
+    with np.errstate(over="ignore"):
+        return np.array([mix(np.array([s.sum() + mix(s).sum() * np.uint64(3) + np.uint64(len(s))]))[0] for s in sets], np.uint64)
+
+
 def _as_long(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
@@ -171,8 +190,7 @@ def _outlines(width: int, percent: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in steps(batches, "text"):
             sets = shingle_sets(data, offsets, width)
-            with np.errstate(over="ignore"):
-                ids = np.array([mix(np.array([s.sum() + mix(s).sum() * np.uint64(3) + np.uint64(len(s))]))[0] for s in sets], np.uint64)
+            ids = hash_sets(sets)
             keys = [keys_of(s, percent) for s in sets]
             flat = _as_long(np.concatenate([np.zeros(0, np.uint64), *keys]))
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
@@ -184,6 +202,30 @@ def _outlines(width: int, percent: int):
     return run
 
 
+_GROUPS = "set_id long, row long, part int, most int, filled int, keys array<long>"
+
+
+def _all_groups(width: int, percent: int):
+    """Keys of all groups of a text; ``most`` of them are to be sent, or all if it is null."""
+    names = ["set_id", "row", "part", "most", "filled", "keys"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in steps(batches, "text"):
+            out = []
+            for set_id, tokens in zip(batch.column("set_id").to_pylist(), shingle_sets(data, offsets, width)):
+                # A doc_id that comes with several texts: each is a row of its own.
+                row = int(_as_long(hash_sets([tokens]) ^ mix(np.array([set_id], np.int64).view(np.uint64)))[0])
+                for part, (most_apart, keys, _, single) in enumerate(groups_of(tokens, percent)):
+                    out.append((set_id, row, 2 * part, most_apart + 1, len(keys), _as_long(keys)))
+                    if single is not None:
+                        out.append((set_id, row, 2 * part + 1, None, len(single), _as_long(single)))
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+            columns = [pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
 def _verify(width: int, percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -200,6 +242,41 @@ def _verify(width: int, percent: int):
     return run
 
 
+def stars(keys: DataFrame) -> DataFrame:
+    """A star (a, b) per key of ``keys`` (set_id, key): enough to connect all sets that share it.
+
+    The keys move once. A key has a row for each text that holds it at most, of hundreds of keys a text.
+    """
+    low = F.min("set_id").over(Window.partitionBy("key"))
+    return keys.select(low.alias("a"), F.col("set_id").alias("b")).where("a <> b")
+
+
+def clusters_of(firsts: DataFrame) -> DataFrame:
+    """label, blocks: into how many blocks the sets of each cluster are cut."""
+    sizes = firsts.groupBy("label").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
+    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
+    return stored(sizes.select("label", blocks.alias("blocks")), "jaccard-clusters")
+
+
+def parted(texts: DataFrame, firsts: DataFrame, width: int, percent: int) -> DataFrame:
+    """node, label: clusters of the sets of ``firsts`` by the rarest of all their groups; ``texts`` are (set_id, text).
+
+    How many rows hold a key is the same for all that hold it, so that the D + 1 rarest hold one
+    that two sets that link share. A key that one row has alone takes a place and is not sent.
+    """
+    wanted = texts.join(firsts.select("set_id"), "set_id", "left_semi")
+    rows = stored(wanted.mapInArrow(_all_groups(width, percent), _GROUPS), "jaccard-groups")
+    keys = rows.select("set_id", "row", "part", "most", "filled", F.explode("keys").alias("key"))
+    of_key = Window.partitionBy("key")
+    held = keys.select("*", F.count(F.lit(1)).over(of_key).alias("held"), *[f("row").over(of_key).alias(f.__name__) for f in (F.min, F.max)])
+    found = held.where("min < max").groupBy("set_id", "row", "part", "most", "filled")
+    ranked = found.agg(F.array_sort(F.collect_set(F.struct("held", "key"))).alias("shared"))
+    places = F.greatest(F.lit(0), F.col("most") - (F.col("filled") - F.size("shared")))
+    sent = F.slice("shared", F.lit(1), F.when(F.col("most").isNull(), F.size("shared")).otherwise(places))
+    sent = ranked.select("set_id", F.explode(sent.getField("key")).alias("key"))
+    return components(stars(stored(sent, "jaccard-sent")))
+
+
 def join(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Members (doc_id, n, set_id) and links (a, b: set ids) that connect all sets that link.
 
@@ -209,28 +286,26 @@ def join(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> tuple
     outlines = stored(
         texts.mapInArrow(_outlines(width, percent), "doc_id long, n long, set_id long, keys array<long>"), "jaccard-sets"
     )
-    keys = outlines.select("set_id", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-    # Stored, so that the join has a plain shuffle on either side and hot keys can be split.
-    shared = stored(shared.where("low < high").select("key", "low"), "jaccard-shared")
-    # A star per key: enough to connect all sets that share it. The shared keys grow with the
-    # input, so they are merged with all keys and not sent to every executor at any size.
-    stars = keys.join(shared.hint("merge"), "key").where("set_id <> low").select(F.col("low").alias("a"), F.col("set_id").alias("b"))
-    clusters = components(stars)
+    clusters = components(stars(outlines.select("set_id", F.explode("keys").alias("key"))))
 
     members = outlines.select("doc_id", "n", "set_id")
     firsts = members.join(clusters.withColumnRenamed("node", "set_id"), "set_id")
     firsts = firsts.groupBy("set_id", "label", "n").agg(F.min("doc_id").alias("doc_id"))
     firsts = stored(firsts, "jaccard-candidates")
-    sizes = firsts.groupBy("label").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("tokens"))
-    blocks = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
-    sizes = stored(sizes.select("label", blocks.alias("blocks")), "jaccard-clusters")
+    # Repeated rows of one doc_id: any of them whose set is the wanted one would do, so take each text once.
+    texts = stored(texts.join(firsts.select("doc_id", "set_id"), "doc_id").select("set_id", "text"), "jaccard-texts")
+    sizes = clusters_of(firsts)
+    if not sizes.where("blocks > 1").isEmpty():
+        finer = parted(texts, firsts.join(sizes.where("blocks > 1"), "label"), width, percent)
+        small = firsts.join(sizes.where("blocks = 1"), "label").select(firsts.columns)
+        large = firsts.drop("label").join(finer.withColumnRenamed("node", "set_id"), "set_id").select(firsts.columns)
+        firsts = stored(small.unionByName(large), "jaccard-parted")
+        sizes = clusters_of(firsts)
     placed = firsts.join(sizes, "label")
     block = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(F.least(block, x).alias("i"), F.greatest(block, x).alias("j")))
-    # Repeated rows of one doc_id: any of them whose set is the wanted one would do, so take each text once.
-    wanted = placed.select("doc_id", "set_id", "label", others.alias("pairs"))
-    rows = texts.join(wanted, "doc_id").select("label", "set_id", "text", F.explode("pairs").alias("pair"))
+    wanted = placed.select("set_id", "label", others.alias("pairs"))
+    rows = texts.join(wanted, "set_id").select("label", "set_id", "text", F.explode("pairs").alias("pair"))
     tasks = rows.select("label", "pair.i", "pair.j", "set_id", "text").groupBy("label", "i", "j")
     links = tasks.applyInArrow(_verify(width, percent), "a long, b long")
     return members, stored(links, "jaccard-links")
