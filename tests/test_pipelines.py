@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import inspect
+
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from vintagelens import cli, schemas
 from vintagelens.operators import modelling, silver
 from vintagelens.plans import feature_store, label_store, monitoring, scoring, training
@@ -139,3 +142,22 @@ def test_rerun_leaves_no_label_that_has_gone(spark, sf_dir, tmp_path):
     left = {(r.label_def, r.snapshot_date) for r in read_all(spark, path).select("label_def", "snapshot_date").distinct().collect()}
     # The last snapshot is outside of the period that was run again.
     assert left == {("30dpd_3mob", d) for d in days} | {("30dpd_6mob", d) for d in days if d != days[1]}
+
+
+def test_train_pipeline_searches_with_all_draws(spark, sf_dir, monkeypatch):
+    """The whole search of the scheduled trainer; no fit is run here."""
+    asked = {}
+
+    class Asked(Exception):
+        pass
+
+    def train(*args, **more):
+        asked.update(inspect.signature(real).bind(*args, **more).arguments)
+        raise Asked
+
+    real = training.train
+    monkeypatch.setattr(training, "train", train)
+    with pytest.raises(Asked):
+        queries.QUERIES["train_pipeline"](spark, sf_dir)
+    assert asked.get("draws", modelling.DRAWS) == modelling.DRAWS == 100
+    assert asked.get("grid", modelling.SCHEDULED_GRID) == modelling.SCHEDULED_GRID
